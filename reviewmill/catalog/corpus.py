@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.schema import REVIEW_COLUMNS, SEQ
+from reviewmill.session import spread
 
 MIN_REVIEWS = 20
 
@@ -14,9 +15,14 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str, name: str = "documents") -> DataFrame:
+    """A table with long texts, shared out over the cores."""
+    return spread(load(spark, folder, name))
+
+
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Typed review table: ``documents`` with ``labels``."""
-    docs = load(spark, folder, "documents")
+    docs = texts(spark, folder).drop("n_chars")
     labels = load(spark, folder, "labels").select("doc_id", "quality")
     i = F.col("doc_id")
     start = F.lit("2014-01-01 00:00:00").cast("timestamp")

@@ -235,7 +235,7 @@ def build() -> dict[str, str]:
         SELECT r.seq, r.record FROM rec r JOIN hit h ON h.seq = r.seq // 2 WHERE NOT h.review_text
         GROUP BY 1, 2 ORDER BY 1 LIMIT 3"""
 
-    kept = f"list_filter({_split('text')}, t -> length(t) >= 3 AND t NOT IN ({STOP}))"
+    kept = f"[t for t in {_split('text')} if length(t) >= 3 AND t NOT IN ({STOP})]"
     q["tokens_by_doc"] = f"SELECT doc_id, array_to_string({kept}, ' ') AS tokens, len({kept}) AS n FROM documents"
     q["stopword_anti"] = f"""SELECT word, count(*) AS n FROM (SELECT unnest({_split('text')}) AS word FROM documents)
         WHERE word NOT IN ({STOP}) GROUP BY 1"""

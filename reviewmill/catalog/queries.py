@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.catalog.corpus import MIN_REVIEWS, load, raw_strings, reviews, tagged
+from reviewmill.catalog.corpus import MIN_REVIEWS, load, raw_strings, reviews, tagged, texts
 from reviewmill.functions import clean, convert
 from reviewmill.functions import tokens as tk
 from reviewmill.operators import extract, insights, nest, preview, summary, table, tokenise, validate, vectors, vocabulary
 from reviewmill.plans.jobs import staged_tokens
 from reviewmill.schema import PRODUCT, REVIEW_COLUMNS, SEQ
+from reviewmill.session import stage
 from reviewmill.sources import nested, tagged_text
 
 REGISTRY: dict = {}
@@ -42,12 +43,13 @@ def _records(spark: SparkSession, folder: str, leave_out: bool = False) -> DataF
     return found.select((F.col("row") * 2 + F.col("pos")).alias(SEQ), "record")
 
 
-def _tokens(spark: SparkSession, folder: str) -> DataFrame:
-    return staged_tokens(_standard(spark, folder), MIN_REVIEWS)
+def _texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Product and clean text, written once: counting and tokenising both read it."""
+    return stage(_standard(spark, folder).select(PRODUCT, SEQ, "review_text"), "texts")
 
 
-def _lazy_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    return tokenise.review_tokens(summary.qualified_reviews(_standard(spark, folder), MIN_REVIEWS))
+def _tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return staged_tokens(_texts(spark, folder), MIN_REVIEWS)
 
 
 # ---- summaries --------------------------------------------------------------------
@@ -74,8 +76,8 @@ def semi_qualified(spark, folder):
 
 @query
 def clean_text(spark, folder):
-    docs = load(spark, folder, "documents").select(F.col("doc_id").alias("id"), F.lit("document").alias("kind"), "text")
-    pages = load(spark, folder, "pages").select(F.col("page_id").alias("id"), F.lit("page").alias("kind"), F.col("html").alias("text"))
+    docs = texts(spark, folder).select(F.col("doc_id").alias("id"), F.lit("document").alias("kind"), "text")
+    pages = texts(spark, folder, "pages").select(F.col("page_id").alias("id"), F.lit("page").alias("kind"), F.col("html").alias("text"))
     marked = F.concat(F.lit("☕<b>"), "text", F.lit("</b>\U0001f603 ok\U0001f1e6"))
     return docs.unionByName(pages).select(
         "kind",
@@ -89,7 +91,7 @@ def clean_text(spark, folder):
 @query
 def html_strip_pages(spark, folder):
     html = F.col("html")
-    return load(spark, folder, "pages").select(
+    return texts(spark, folder, "pages").select(
         "page_id",
         clean.strip_html(html).alias("text"),
         F.length(clean.strip_unprintable(clean.strip_html(html))).cast("bigint").alias("printable"),
@@ -181,7 +183,7 @@ def unmatched_preview(spark, folder):
 
 @query
 def tokens_by_doc(spark, folder):
-    docs = load(spark, folder, "documents")
+    docs = texts(spark, folder)
     kept = tk.long_enough(tk.without_stopwords(tk.words(F.col("text")), tk.STOPWORDS))
     listed = docs.select("doc_id", kept.alias("tokens"))
     return listed.select("doc_id", F.array_join("tokens", " ").alias("tokens"), F.size("tokens").cast("bigint").alias("n"))
@@ -189,20 +191,20 @@ def tokens_by_doc(spark, folder):
 
 @query
 def stopword_anti(spark, folder):
-    words = load(spark, folder, "documents").select(F.explode(tk.words(F.col("text"))).alias("word"))
+    words = texts(spark, folder).select(F.explode(tk.words(F.col("text"))).alias("word"))
     stop = spark.createDataFrame([(w,) for w in tk.STOPWORDS], "word string")
     return tokenise.without_stopwords(words, stop).groupBy("word").agg(F.count("*").alias("n"))
 
 
 @query
 def porter_stem(spark, folder):
-    words = load(spark, folder, "documents").select(F.explode(tk.words(F.col("text"))).alias("word")).distinct()
+    words = texts(spark, folder).select(F.explode(tk.words(F.col("text"))).alias("word")).distinct()
     return words.select("word", tk.stem_word("word").alias("stem"))
 
 
 @query
 def product_tokens(spark, folder):
-    return tokenise.term_counts(_lazy_tokens(spark, folder))
+    return tokenise.term_counts(_tokens(spark, folder))
 
 
 @query
@@ -213,7 +215,7 @@ def doc_freq_band(spark, folder):
 @query
 def bigram_freq(spark, folder):
     tokens = _tokens(spark, folder)
-    terms = vocabulary.stage(vocabulary.band_terms(tokens), "unigrams")
+    terms = stage(vocabulary.band_terms(tokens), "unigrams")
     return vocabulary.pair_counts(tokens, terms).filter(F.col("n") >= vocabulary.MIN_PAIR_COUNT)
 
 

@@ -63,8 +63,7 @@ p3 AS (SELECT word, CASE
          WHEN {_has('b', DOUBLED)} THEN left(b, length(b) - 1)
          WHEN {_has('b', SHORT)} THEN b || 'e'
          ELSE b END AS s FROM p2),
-p4 AS (SELECT word, CASE WHEN {_has('s', '.([^aeiouy]|[aeiou]y)y$')} OR {_has('s', '^[aeiou]yy$')}
-         OR {_has('s', '^.[^aeiouy]y$')} THEN {_cut(1)} || 'i' ELSE s END AS s FROM p3),
+p4 AS (SELECT word, CASE WHEN {_has('s', '.([^aeiouy])y$')} OR {_has('s', '[aeiou]yy$')} THEN {_cut(1)} || 'i' ELSE s END AS s FROM p3),
 p5 AS (SELECT word, CASE WHEN suffix(s, 'alli') AND {_has(_cut(4), SOME)} THEN {_cut(2)} ELSE s END AS s FROM p4),
 p6 AS (SELECT word, CASE {_rules(STEP_2)}
          WHEN suffix(s, 'logi') AND {_has(_cut(3), SOME)} THEN {_cut(1)} ELSE s END AS s FROM p5),

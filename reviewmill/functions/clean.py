@@ -43,7 +43,8 @@ def clean_review(x: Column) -> Column:
     """Tags, symbols and unprintable characters removed, blanks trimmed.
 
     Each emoji range lies outside 0x20-0x7F, so the last replacement removes them
-    as well and a separate pass over the text is not needed.
+    as well and a separate pass over the text is not needed.  The result is ASCII: the test
+    for English text that follows in the classic order can no longer fail.
     """
     return F.trim(strip_unprintable(strip_html(x)))
 
@@ -57,5 +58,5 @@ def english_or_missing(x: Column) -> Column:
 
 
 def has_text(x: Column) -> Column:
-    """The value is there and is not the sentinel, in any case."""
-    return x.isNotNull() & (F.lower(x) != MISSING)
+    """The value is not the sentinel, in any case; null for null, which filters and counts drop."""
+    return F.lower(x) != MISSING

@@ -11,6 +11,8 @@ from reviewmill.schema import MISSING, TIMESTAMP_FORMAT
 # Fixed value: what counts as a number when a string is converted.
 NUMBER_PATTERN = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 
+EMPTY = r"^\z"
+
 WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
 
@@ -64,8 +66,8 @@ def text_form(x: Column, data_type: T.DataType) -> Column:
 
 
 def filled(x: Column) -> Column:
-    """Null or empty string to the sentinel."""
-    return F.when(x.isNull() | (x == ""), MISSING).otherwise(x)
+    """Null or empty string to the sentinel; ``x`` appears, and is worked out, only once."""
+    return F.coalesce(F.regexp_replace(x, EMPTY, MISSING), F.lit(MISSING))
 
 
 def drop_prefixed(df: DataFrame, prefix: str = "X") -> DataFrame:

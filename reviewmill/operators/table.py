@@ -37,7 +37,7 @@ def cleaned(reviews: DataFrame, compat: bool = False) -> DataFrame:
     text = F.col("review_text")
     if compat:
         text = F.coalesce(text, F.lit("nan"))
-    return reviews.withColumn("review_text", clean.english_or_missing(clean.clean_review(text)))
+    return reviews.withColumn("review_text", clean.clean_review(text))
 
 
 def standard(reviews: DataFrame) -> DataFrame:

@@ -47,8 +47,13 @@ def staged_tokens(
     min_reviews: int = summary.MIN_REVIEWS,
     stopwords: list[str] | DataFrame = STOPWORDS,
 ) -> DataFrame:
-    """Token lists of the reviews of products with enough texts, written once for all later steps."""
-    return stage(review_tokens(summary.qualified_reviews(reviews, min_reviews), stopwords), "tokens")
+    """Token lists of the reviews of products with enough texts, written once for all later steps.
+
+    The product list is written first: its true size decides how the texts are joined with it.
+    """
+    products = stage(summary.frequent_products(reviews, min_reviews), "products")
+    kept = summary.of_products(summary.with_text(reviews), products)
+    return stage(review_tokens(kept, stopwords), "tokens")
 
 
 def vectorise(

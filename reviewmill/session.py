@@ -41,3 +41,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = spark._jvm.org.apache.hadoop.fs.Path(location)
     path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(path)
     return spark.read.schema(df.schema).parquet(location)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Share out rows when a scan has fewer partitions than there are cores.
+
+    Files that cannot be split leave most cores idle.  Inputs with enough partitions, so all
+    large ones, pass through untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
