@@ -221,7 +221,7 @@ def build() -> dict[str, str]:
     q["drop_prefixed_columns"] = f"WITH {REVIEWS_SQL} SELECT parent_product_id, seq, rating FROM rv"
     q["dedup_rows"] = f"{BASE} SELECT category, parent_product_id, review_text, min(seq) AS seq FROM std GROUP BY 1, 2, 3"
     q["dedup_all_columns"] = f"""{BASE} SELECT min(seq) AS seq, parent_product_id, product_id, reviewer_id FROM (
-        SELECT * FROM std UNION ALL SELECT std.* REPLACE (seq + 1099511627776 AS seq) FROM std WHERE seq % 3 = 0)
+        SELECT * FROM std UNION ALL SELECT std.* REPLACE (seq + 1099511627776 AS seq) FROM std)
         GROUP BY {', '.join(REVIEW_COLUMNS)}"""
     q["union_sources"] = f"""WITH {REVIEWS_SQL} SELECT parent_product_id, seq, rating,
         CASE WHEN seq % 3 = 2 THEN NULL ELSE helpful_votes END AS helpful_votes FROM rv"""
@@ -265,7 +265,7 @@ def build() -> dict[str, str]:
     q["weekday_counts"] = f"""WITH {REVIEWS_SQL},{WEEK},
         c AS (SELECT dayname(review_timestamp) AS weekday, count(*) AS n FROM rv GROUP BY 1) {week}"""
     q["weekday_counts_events"] = f"""WITH {WEEK},
-        c AS (SELECT dayname(ts) AS weekday, count(*) AS n FROM events WHERE dayofweek(ts) IN (0, 3) GROUP BY 1) {week}"""
+        c AS (SELECT dayname(ts) AS weekday, count(*) AS n FROM events GROUP BY 1) {week}"""
     q["yearly_counts"] = f"""WITH {REVIEWS_SQL} SELECT year(review_timestamp) AS year, count(*) AS n
         FROM rv WHERE seq % 10 <> 0 GROUP BY 1"""
     q["yearly_counts_orders"] = "SELECT year(o_orderdate) AS year, count(*) AS n FROM orders GROUP BY 1"

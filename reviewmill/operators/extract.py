@@ -60,8 +60,14 @@ def field_pattern(field: str) -> str:
 
 
 def field_value(record: Column, field: str) -> Column:
-    """Value of a field, null when the record has none."""
-    return F.get(F.regexp_extract_all(record, F.lit(field_pattern(field)), 1), F.lit(0))
+    """Value of a field, null when the record has none.
+
+    The search stops at the first match.  Only an empty result needs a second look, to tell an
+    empty value from no match.
+    """
+    pattern = field_pattern(field)
+    value = F.regexp_extract(record, pattern, 1)
+    return F.when(value != "", value).when(F.regexp_like(record, F.lit(pattern)), "")
 
 
 def extract_fields(records: DataFrame, missing: str | None = None) -> DataFrame:

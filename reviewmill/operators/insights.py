@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from reviewmill.functions import convert
 from reviewmill.functions.tokens import word_count
 from reviewmill.schema import MISSING, PRODUCT
+from reviewmill.session import stage
 
 # Defaults of the reports.
 TRIM_SHARE = 0.95
@@ -62,7 +63,7 @@ def trimmed(histogram: DataFrame, share: float = TRIM_SHARE) -> DataFrame:
 
 def length_by_rating(reviews: DataFrame, share: float = TRIM_SHARE) -> DataFrame:
     """Number, mean, median and extremes of the trimmed lengths per rating."""
-    kept = trimmed(length_histogram(reviews), share)
+    kept = trimmed(stage(length_histogram(reviews), "lengths"), share)
     length, n = F.col("review_length"), F.col("n")
     return kept.groupBy("rating").agg(
         F.sum("n").alias("reviews"),
@@ -80,7 +81,7 @@ def length_density(reviews: DataFrame, share: float = TRIM_SHARE, points: int =
     bandwidths beyond the extremes.  Ratings with fewer than two distinct lengths have no
     density.  Work is the number of distinct lengths times the grid size.
     """
-    kept = trimmed(length_histogram(reviews), share).filter(F.col("rating").isNotNull())
+    kept = trimmed(stage(length_histogram(reviews), "lengths"), share).filter(F.col("rating").isNotNull())
     length, n = F.col("review_length").cast("double"), F.col("n").cast("double")
     shape = kept.groupBy("rating").agg(
         F.sum(n).alias("total"),
@@ -209,15 +210,16 @@ def helpful_terms(vectors: DataFrame, flags: DataFrame, terms: DataFrame) -> Dat
     return weighted.join(terms, "idx").select("idx", "term", "n")
 
 
-def or_empty(totals: DataFrame) -> DataFrame:
-    """A single row ``empty`` when there is no term at all."""
-    stand_in = totals.sparkSession.range(1).select(
-        F.lit(0).cast("bigint").alias("idx"), F.lit("empty").alias("term"), F.lit(1).cast("bigint").alias("n")
-    )
-    return totals.unionByName(stand_in.filter(~totals.exists()))
-
-
 def cloud_weights(totals: DataFrame, top: int = CLOUD_TERMS) -> DataFrame:
-    """The most frequent terms with weights relative to the first."""
-    best = or_empty(totals).orderBy(F.desc("n"), "idx").limit(top)
-    return best.select("term", "n", (F.col("n") / or_empty(totals).agg(F.max("n")).scalar()).alias("weight"))
+    """The most frequent terms with weights relative to the first.
+
+    Without any term there is a single row ``empty``.  The list that is gathered has at most
+    ``top`` items.
+    """
+    best = totals.orderBy(F.desc("n"), "idx").limit(top)
+    item = F.struct((-F.col("n")).alias("rank"), "idx", "term", "n")
+    listed = best.agg(F.sort_array(F.collect_list(item)).alias("items"))
+    stand_in = F.array(F.struct(F.lit(-1), F.lit(0), F.lit("empty"), F.lit(1)))
+    items = F.when(F.size("items") == 0, stand_in.cast(listed.schema["items"].dataType)).otherwise(F.col("items"))
+    rows = listed.select(items.alias("items")).select(F.col("items")[0]["n"].alias("first"), F.explode("items").alias("i"))
+    return rows.select("i.term", "i.n", (F.col("i.n") / F.col("first")).alias("weight"))

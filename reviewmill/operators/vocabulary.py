@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewmill.operators.tokenise import term_counts
 from reviewmill.schema import PRODUCT, SEQ
-from reviewmill.session import shared_folder, stage
+from reviewmill.session import stage
 
 # Defaults of the vocabulary.
 LOW_SHARE = 0.05
@@ -18,10 +23,10 @@ HIGH_SHARE = 0.95
 MIN_PAIR_COUNT = 2
 TOP_PAIRS = 200
 
-# Up to this many terms the filter on tokens is an expression; beyond, a join.
-MAX_TERMS_IN_EXPRESSION = 20_000
+# Up to this many terms are sent to the tasks that filter tokens; more are joined.
+MAX_LISTED_TERMS = 1_000_000
 
-ROW_BITS = 33  # width of the row number inside monotonically_increasing_id
+INDEX_PREFIX = 3
 
 
 def term_frequency(counts: DataFrame) -> DataFrame:
@@ -43,36 +48,52 @@ def in_band(
     return frequency.filter((df >= F.lit(low) * total) & (df < F.lit(high) * total))
 
 
-def _term_list(terms: DataFrame, at_most: int) -> list[str] | None:
-    found = terms.select("term").limit(at_most + 1).toPandas()["term"].tolist()
-    return sorted(found) if len(found) <= at_most else None
+def _term_array(terms: DataFrame, at_most: int) -> pa.Array | None:
+    """The terms, when there are no more than ``at_most``, else ``None``."""
+    found = terms.select("term").limit(at_most + 1).toArrow()["term"].combine_chunks()
+    return found if len(found) <= at_most else None
 
 
-def pair_counts(
-    tokens: DataFrame, terms: DataFrame, max_in_expression: int = MAX_TERMS_IN_EXPRESSION
-) -> DataFrame:
+def _keep_only(terms: Broadcast):
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def keep_only(tokens: pa.Array) -> pa.Array:
+        values = tokens.flatten()
+        kept = pc.is_in(values, value_set=terms.value)
+        # Positions of the list borders among the kept values.
+        running = np.concatenate([[0], np.cumsum(kept.to_numpy(zero_copy_only=False))])
+        offsets = tokens.offsets.to_numpy() - tokens.offsets[0].as_py()
+        return pa.ListArray.from_arrays(pa.array(running[offsets], pa.int32()), values.filter(kept))
+
+    return keep_only
+
+
+def _neighbours_in_lists(tokens: DataFrame, terms: pa.Array) -> DataFrame:
+    keep_only = _keep_only(tokens.sparkSession.sparkContext.broadcast(terms))
+    kept = tokens.select(keep_only("tokens").alias("kept")).filter(F.size("kept") > 1)
+    left = F.slice("kept", F.lit(1), F.size("kept") - 1)
+    right = F.slice("kept", F.lit(2), F.size("kept") - 1)
+    return kept.select(F.inline(F.arrays_zip(left.alias("w1"), right.alias("w2"))))
+
+
+def _neighbours_in_rows(tokens: DataFrame, terms: DataFrame) -> DataFrame:
+    spread = tokens.select(PRODUCT, SEQ, F.posexplode("tokens").alias("pos", "term"))
+    kept = spread.join(terms.select("term"), "term", "left_semi")
+    following = F.lead("term").over(W.partitionBy(PRODUCT, SEQ).orderBy("pos"))
+    return kept.select(F.col("term").alias("w1"), following.alias("w2")).filter(F.col("w2").isNotNull())
+
+
+def pair_counts(tokens: DataFrame, terms: DataFrame, max_listed: int = MAX_LISTED_TERMS) -> DataFrame:
     """``(w1, w2, n)``: neighbours inside a review once all other tokens are removed.
 
-    With few terms the filter runs inside the token arrays and nothing but pair counts is
-    shuffled.  With many, tokens are spread into rows, joined with the terms, and
-    brought back into order review by review.
+    Up to ``max_listed`` terms, counted first, are sent to the tasks and the token lists are
+    filtered where they are: only pair counts are shuffled.  With more terms, tokens are spread
+    into rows, joined with the terms, and put back into order review by review.
+
+    A term of the band lies in a fixed share of all products, so there are at most
+    ``1 / low`` times as many terms as an average product has.
     """
-    listed = _term_list(terms, max_in_expression)
-    if listed is None:
-        spread = tokens.select(PRODUCT, SEQ, F.posexplode("tokens").alias("pos", "term"))
-        kept = spread.join(terms.select("term"), "term", "left_semi")
-        following = F.lead("term").over(W.partitionBy(PRODUCT, SEQ).orderBy("pos"))
-        pairs = kept.select(F.col("term").alias("w1"), following.alias("w2")).filter(F.col("w2").isNotNull())
-    else:
-        # Terms are runs of the letters a-z and need no quoting.
-        known = ",".join(f"'{t}'" for t in listed) or "''"
-        kept = tokens.select(F.expr(f"filter(tokens, t -> t IN ({known}))").alias("kept"))
-        left = F.slice("kept", F.lit(1), F.size("kept") - 1)
-        right = F.slice("kept", F.lit(2), F.size("kept") - 1)
-        pairs = kept.filter(F.size("kept") > 1).select(
-            F.explode(F.arrays_zip(left.alias("w1"), right.alias("w2"))).alias("pair")
-        )
-        pairs = pairs.select("pair.w1", "pair.w2")
+    listed = _term_array(terms, max_listed)
+    pairs = _neighbours_in_rows(tokens, terms) if listed is None else _neighbours_in_lists(tokens, listed)
     return pairs.groupBy("w1", "w2").agg(F.count("*").alias("n"))
 
 
@@ -101,22 +122,19 @@ def top_pairs(
     )
 
 
-def dense_index(df: DataFrame, column: str, name: str = "idx") -> DataFrame:
-    """Number the rows 0, 1, ... in order of ``column`` without gathering them in one task.
+def dense_index(df: DataFrame, column: str, name: str = "idx", prefix: int = INDEX_PREFIX) -> DataFrame:
+    """Number distinct values 0, 1, ... in order without sorting them in one task.
 
-    The sorted rows are checkpointed so that their partitions stay as they are; only
-    partition sizes, one row each, are added up in a single task.
+    Rows are ranked among those with the same first letters; the sizes of the earlier prefixes
+    are added.  Only prefix counts meet in a single task.
     """
-    shared_folder(df.sparkSession)
-    at = F.col("at")
-    placed = df.orderBy(column).checkpoint().withColumn("at", F.monotonically_increasing_id())
-    placed = placed.withColumn("part", F.shiftright(at, ROW_BITS))
-    sizes = placed.groupBy("part").agg(F.count("*").alias("rows"))
-    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
-    # One row per partition of the sort: the number of shuffle partitions bounds it.
-    numbered = placed.join(F.broadcast(starts), "part")
-    return numbered.select(*df.columns, (F.col("start") + at.bitwiseAND((1 << ROW_BITS) - 1)).alias(name))
+    head = F.substring(column, 1, prefix).alias("head")
+    sizes = df.groupBy(head).agg(F.count("*").alias("size"))
+    before = W.orderBy("head").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select("head", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+    place = F.row_number().over(W.partitionBy("head").orderBy(column)) - 1
+    ranked = df.select(*df.columns, head).withColumn("place", place)
+    return ranked.join(starts, "head").select(*df.columns, (F.col("start") + F.col("place")).alias(name))
 
 
 @dataclass
@@ -144,10 +162,10 @@ def fit(
     high: float = HIGH_SHARE,
     min_count: int = MIN_PAIR_COUNT,
     top: int = TOP_PAIRS,
-    max_in_expression: int = MAX_TERMS_IN_EXPRESSION,
+    max_listed: int = MAX_LISTED_TERMS,
 ) -> Vocabulary:
     """Fit a vocabulary on staged token lists."""
     counts = stage(term_counts(tokens), "counts")
     unigrams = stage(in_band(term_frequency(counts), tokens, low, high), "unigrams")
-    pairs = stage(top_pairs(pair_counts(tokens, unigrams, max_in_expression), unigrams, min_count, top), "pairs")
+    pairs = stage(top_pairs(pair_counts(tokens, unigrams, max_listed), unigrams, min_count, top), "pairs")
     return Vocabulary(counts, unigrams, pairs, stage(vocabulary_terms(unigrams, pairs), "terms"))

@@ -64,7 +64,7 @@ def vectorise(
     stopwords: list[str] | DataFrame = STOPWORDS,
 ) -> vocabulary.Vocabulary:
     """Nested JSON to vocabulary and vector files."""
-    texts = nested.product_texts(nested.read_documents(spark, nested_path))
+    texts = stage(nested.product_texts(nested.read_documents(spark, nested_path)), "texts")
     tokens = staged_tokens(texts, min_reviews, stopwords)
     fitted = vocabulary.fit(tokens)
     files.write_vocabulary(fitted.terms, f"{folder}/vocabulary")

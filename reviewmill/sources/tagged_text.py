@@ -31,11 +31,16 @@ def count_files(spark: SparkSession, folder: str, pattern: str = "*.txt", recurs
 
 
 def split_records(df: DataFrame, value: str = "value", keep_count: bool = False) -> DataFrame:
-    """One row per record block of ``value``; ``pos`` is its place in the text."""
+    """One row per record block of ``value``; ``pos`` is its place in the text.
+
+    The outer form of explode keeps the optimizer from adding a size filter, which would run
+    the pattern over the text a second time.
+    """
     others = [c for c in df.columns if c != value]
     found = df.select(*others, F.regexp_extract_all(F.col(value), F.lit(RECORD_PATTERN), 1).alias("found"))
     count = [F.size("found").alias("records")] if keep_count else []
-    return found.select(*others, *count, F.posexplode("found").alias("pos", "record"))
+    rows = found.select(*others, *count, F.posexplode_outer("found").alias("pos", "record"))
+    return rows.filter(F.col("record").isNotNull())
 
 
 def _scan(spark: SparkSession, folder: str, pattern: str, **how) -> DataFrame:
