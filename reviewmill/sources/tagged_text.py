@@ -11,6 +11,7 @@ from reviewmill.session import stage
 # Fixed value: a record runs to the nearest closing tag, over lines, in any case.
 RECORD_PATTERN = r"(?is)<record>(.*?)</record>"
 CLOSE_TAG = "</record>"
+OPEN_TAIL = r"(?is)<record>(?!.*</record>)"
 
 WHOLE_FILE_LIMIT = 32 * 1024 * 1024
 
@@ -58,7 +59,7 @@ def _cut_off_tails(lines: DataFrame) -> DataFrame:
     Each piece but an unterminated last one was followed by a closing tag, so the
     pieces add up to more bytes than the file has exactly when its end is open.
     """
-    opens = F.regexp_like("value", F.lit("(?i)<record>")).cast("long")
+    opens = F.regexp_like("value", F.lit(OPEN_TAIL)).cast("long")
     per_file = lines.groupBy("file_path", "file_size").agg(
         F.sum(F.octet_length("value") + len(CLOSE_TAG)).alias("size"),
         F.max(F.col("piece") * 2 + opens).alias("last"),
