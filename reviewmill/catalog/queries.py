@@ -189,7 +189,7 @@ def tokens_by_doc(spark, folder):
 @query
 def stopword_anti(spark, folder):
     words = texts(spark, folder).select(F.explode(tk.words(F.col("text"))).alias("word"))
-    stop = spark.createDataFrame([(w,) for w in tk.STOPWORDS], "word string")
+    stop = stage(spark.createDataFrame([(w,) for w in tk.STOPWORDS], "word string"), "stopwords")
     return tokenise.without_stopwords(words, stop).groupBy("word").agg(F.count("*").alias("n"))
 
 

@@ -76,15 +76,9 @@ def review_tokens(text: Column, stopwords: list[str]) -> Column:
 
 
 def adjacent_pairs(tokens: Column) -> Column:
-    """Neighbouring tokens of one array as ``w1_w2``."""
-    return F.when(
-        F.size(tokens) > 1,
-        F.zip_with(
-            F.slice(tokens, F.lit(1), F.size(tokens) - 1),
-            F.slice(tokens, F.lit(2), F.size(tokens) - 1),
-            lambda a, b: F.concat_ws("_", a, b),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
+    """Neighbouring tokens of an array as structs ``(w1, w2)``."""
+    n = F.greatest(F.size(tokens) - 1, F.lit(0))
+    return F.arrays_zip(F.slice(tokens, F.lit(1), n).alias("w1"), F.slice(tokens, F.lit(2), n).alias("w2"))
 
 
 def word_count(text: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.functions.clean import has_text
 from reviewmill.schema import PRODUCT
+from reviewmill.session import stage
 
 MIN_REVIEWS = 50
 
@@ -34,5 +35,8 @@ def of_products(reviews: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def qualified_reviews(reviews: DataFrame, at_least: int = MIN_REVIEWS) -> DataFrame:
-    """Reviews with text of the products that have enough of them."""
-    return of_products(with_text(reviews), frequent_products(reviews, at_least))
+    """Reviews with text of the products that have enough of them.
+
+    The product list is written first: its true size decides how the texts are joined with it.
+    """
+    return of_products(with_text(reviews), stage(frequent_products(reviews, at_least), "products"))

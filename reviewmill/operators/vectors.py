@@ -12,12 +12,12 @@ from reviewmill.schema import PRODUCT, SEQ, run_of
 
 
 def inner_pairs(tokens: DataFrame) -> DataFrame:
-    """Neighbours inside each review."""
-    return tokens.select(PRODUCT, F.explode(adjacent_pairs(F.col("tokens"))).alias("term"))
+    """``(product, w1, w2)``: neighbours inside each review."""
+    return tokens.select(PRODUCT, F.inline(adjacent_pairs(F.col("tokens"))))
 
 
 def border_pairs(tokens: DataFrame) -> DataFrame:
-    """Last token of a review with the first token of the product's next review.
+    """``(product, w1, w2)``: last token of a review and first token of the product's next one.
 
     Only the two end tokens of each review with tokens take part.  They meet first within
     a run, then one row per run meets the next run of the product.
@@ -44,9 +44,8 @@ def border_pairs(tokens: DataFrame) -> DataFrame:
     )
     runs = runs.withColumn("next_head", F.lead("head").over(W.partitionBy(PRODUCT).orderBy("run")))
     both = ends.select(PRODUCT, "tail", "next_head").unionByName(runs.select(PRODUCT, "tail", "next_head"))
-    return both.filter(F.col("next_head").isNotNull()).select(
-        PRODUCT, F.concat_ws("_", "tail", "next_head").alias("term")
-    )
+    met = both.filter(F.col("next_head").isNotNull())
+    return met.select(PRODUCT, F.col("tail").alias("w1"), F.col("next_head").alias("w2"))
 
 
 def count_vectors(tokens: DataFrame, vocabulary: Vocabulary, boundary: str = "product") -> DataFrame:
@@ -58,9 +57,9 @@ def count_vectors(tokens: DataFrame, vocabulary: Vocabulary, boundary: str = "pr
     pairs = inner_pairs(tokens)
     if boundary == "product":
         pairs = pairs.unionByName(border_pairs(tokens))
-    # The vocabulary holds at most a few hundred pairs, by its own limit.
-    wanted = F.broadcast(vocabulary.pairs.select("term"))
-    paired = pairs.join(wanted, "term", "left_semi").groupBy(PRODUCT, "term").agg(F.count("*").alias("n"))
+    # A few hundred rows by default: the size of the staged table lets Spark broadcast it.
+    wanted = vocabulary.pairs.select("w1", "w2", "term")
+    paired = pairs.join(wanted, ["w1", "w2"]).groupBy(PRODUCT, "term").agg(F.count("*").alias("n"))
     every = vocabulary.counts.unionByName(paired)
     return every.join(vocabulary.terms, "term").select(PRODUCT, "idx", "n")
 

@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reviewmill.functions.tokens import adjacent_pairs
 from reviewmill.operators.tokenise import term_counts
 from reviewmill.schema import PRODUCT, SEQ
 from reviewmill.session import stage
@@ -69,10 +70,7 @@ def _keep_only(terms: Broadcast):
 
 def _neighbours_in_lists(tokens: DataFrame, terms: pa.Array) -> DataFrame:
     keep_only = _keep_only(tokens.sparkSession.sparkContext.broadcast(terms))
-    kept = tokens.select(keep_only("tokens").alias("kept")).filter(F.size("kept") > 1)
-    left = F.slice("kept", F.lit(1), F.size("kept") - 1)
-    right = F.slice("kept", F.lit(2), F.size("kept") - 1)
-    return kept.select(F.inline(F.arrays_zip(left.alias("w1"), right.alias("w2"))))
+    return tokens.select(keep_only("tokens").alias("kept")).select(F.inline(adjacent_pairs(F.col("kept"))))
 
 
 def _neighbours_in_rows(tokens: DataFrame, terms: DataFrame) -> DataFrame:

@@ -22,6 +22,11 @@ def write_summary(summary: DataFrame, path: str, mode: str = "error") -> None:
     write_csv(summary.orderBy(PRODUCT), path, mode)
 
 
+def write_helpful_flags(flags: DataFrame, path: str, mode: str = "error") -> None:
+    """``product, rating, is_helpful`` per review; flags as ``True`` and ``False``."""
+    write_csv(flags.withColumn("is_helpful", F.initcap(F.col("is_helpful").cast("string"))), path, mode)
+
+
 def write_nested(reviews: DataFrame, path: str, mode: str = "error", max_bytes: int = MAX_DOCUMENT_BYTES) -> None:
     """One JSON document per line; see :func:`reviewmill.operators.nest.nest`."""
     document_lines(nest(reviews, max_bytes)).select("value").write.mode(mode).text(path)

@@ -4,6 +4,7 @@ import pytest
 from helpers import random_texts, token_list, write_workbook
 from pyspark.sql import functions as F
 
+from reviewmill import session
 from reviewmill.operators import nest, table, validate
 from reviewmill.plans import jobs
 from reviewmill.schema import NESTED_KEYS, REVIEW_COLUMNS
@@ -134,10 +135,35 @@ def test_stopword_file(spark, tmp_path):
     assert dictionaries.stopword_list(words, at_most=1) is None
 
 
+def test_shared_folder_on_a_cluster():
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        folder = None
+
+        def get(self, key, default):
+            return self.folder
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        session.shared_folder(Session())
+    Conf.folder = "hdfs:///shared"
+    assert session.shared_folder(Session()) == "hdfs:///shared"
+
+
 def test_csv(spark, tmp_path):
     df = spark.createDataFrame([("p,1", 3, 2)], "parent_product_id string, review_count long, review_text_count long")
     files.write_summary(df, str(tmp_path / "s"))
     assert next((tmp_path / "s").glob("part-*")).read_text() == 'parent_product_id,review_count,review_text_count\n"p,1",3,2\n'
+    flags = spark.createDataFrame([("p", 5.0, True)], "parent_product_id string, rating double, is_helpful boolean")
+    files.write_helpful_flags(flags, str(tmp_path / "f"))
+    assert next((tmp_path / "f").glob("part-*")).read_text() == "parent_product_id,rating,is_helpful\np,5.0,True\n"
 
 
 FAULTS = [

@@ -35,8 +35,9 @@ def test_tokens_in_order(spark):
         "don", "buy", "batteri", "batteri"]
     assert one(spark, "12 34", lambda x: tk.review_tokens(x, tk.STOPWORDS)) == []
     assert one(spark, None, lambda x: tk.review_tokens(x, tk.STOPWORDS)) is None
-    assert one(spark, "abc de fgh", lambda x: tk.adjacent_pairs(tk.words(x))) == ["abc_de", "de_fgh"]
+    assert one(spark, "abc de fgh", lambda x: tk.adjacent_pairs(tk.words(x))) == [("abc", "de"), ("de", "fgh")]
     assert one(spark, "abc", lambda x: tk.adjacent_pairs(tk.words(x))) == []
+    assert one(spark, "12", lambda x: tk.adjacent_pairs(tk.words(x))) == []
 
 
 def test_word_count(spark):
