@@ -258,8 +258,9 @@ def build() -> dict[str, str]:
     totals = "tot AS (SELECT idx, term, CAST(sum(n) AS BIGINT) AS n FROM vec JOIN vocab USING (idx) GROUP BY 1, 2)"
     q["term_totals"] = f"{FULL},{totals} SELECT * FROM tot"
     q["top10_terms"] = f"{FULL},{totals} SELECT * FROM tot ORDER BY n DESC, idx LIMIT 10"
-    q["cloud_weights"] = f"""{FULL},{HELPFUL} SELECT term, n, round(n / (SELECT max(n) FROM weighed), 6) AS weight
-        FROM weighed ORDER BY n DESC, idx LIMIT 200"""
+    q["cloud_weights"] = f"""{FULL},{HELPFUL},
+        largest AS (SELECT term, n, round(n / (SELECT max(n) FROM weighed), 6) AS weight FROM weighed ORDER BY n DESC, idx LIMIT 200)
+        SELECT * FROM largest UNION ALL SELECT 'empty', 1, 1.0 WHERE NOT EXISTS (SELECT 1 FROM weighed)"""
 
     week = "SELECT CAST(day AS BIGINT) AS day, weekday, n FROM week LEFT JOIN c USING (weekday)"
     q["weekday_counts"] = f"""WITH {REVIEWS_SQL},{WEEK},
