@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import packing
+from reviewmill.llm import packing, quality_rules, secrets
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,7 +20,17 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, folder, "documents"), vocabulary, ranks))
 
 
+def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digest(secrets.scan(table(spark, folder, "documents")))
+
+
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.digest(quality_rules.clean(table(spark, folder, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
+    "op8_secrets": op8_secrets,
+    "op9_quality_rules": op9_quality_rules,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_quality_rules": quality_rules.ORACLE}
