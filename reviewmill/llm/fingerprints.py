@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewmill.llm.ordering import Ranges
+
 SIZE = 64
 BITS = 6  # SIZE is two to this power
 PLACE = 24
@@ -107,19 +109,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
     """``rows`` with ``next_<column>`` of the row that follows by doc_id; after the last, the first."""
-    spark = rows.sparkSession
-    n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shares = ", ".join(str(i / n) for i in range(1, n))
-    found = rows.agg(
-        F.min("doc_id").alias("first"), F.expr(f"percentile_approx(doc_id, array({shares}), {20 * n})").alias("cuts")
-    ).first()
-    cuts = sorted({c for c in found.cuts or [] if c > found.first})
-    bounds = f"array({', '.join(f'{c}L' for c in cuts)})" if cuts else "CAST(array() AS array<long>)"
-    first = "NULL" if found.first is None else f"{found.first}L"
-    last = len(cuts)
-    rows = rows.withColumn(
-        "_range", F.expr(f"CASE WHEN doc_id IS NULL THEN {last} ELSE size(filter({bounds}, c -> c <= doc_id)) END")
-    )
+    ranges = Ranges(rows, "doc_id")
+    bounds, last = ranges.bounds, ranges.last
+    first = "NULL" if ranges.first is None else f"{ranges.first}L"
+    rows = rows.withColumn("_range", ranges.number)
     # (range, 0) for the row itself; (range before, 1) if it may begin its range.
     places = (
         "CASE WHEN doc_id <=> " + first + f" THEN array(struct(_range AS r, 0 AS border), struct({last} AS r, 1 AS border))"
