@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import fingerprints, jaccard_join, mixing, packing, quality_rules, secrets
+from reviewmill.llm import fingerprints, jaccard_join, language, mixing, packing, quality_model, quality_rules, secrets
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.digest(jaccard_join.join(table(spark, folder, "documents")))
 
 
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.held_out_query(table(spark, folder, "documents"))
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.digest(mixing.scheduled(table(spark, folder, "documents")))
 
@@ -40,13 +44,19 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.digest(quality_rules.clean(table(spark, folder, "documents")))
 
 
+def op10_quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_model.held_out_query(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_language": op3_language,
     "op5_mixing": op5_mixing,
     "op6_packing": op6_packing,
     "op8_secrets": op8_secrets,
     "op9_quality_rules": op9_quality_rules,
+    "op10_quality_model": op10_quality_model,
 }
 ORACLES: dict[str, str] = {
     "op5_mixing": mixing.ORACLE,
