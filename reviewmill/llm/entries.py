@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import fingerprints, jaccard_join, language, mixing, packing, quality_model, quality_rules, secrets
+from reviewmill.llm import fingerprints, jaccard_join, language, mixing, packing, quality_model, quality_rules, secrets, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.held_out_query(table(spark, folder, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.held_out_query(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.digest(mixing.scheduled(table(spark, folder, "documents")))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_language": op3_language,
+    "op4_toxicity": op4_toxicity,
     "op5_mixing": op5_mixing,
     "op6_packing": op6_packing,
     "op8_secrets": op8_secrets,
