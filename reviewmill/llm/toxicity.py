@@ -1,14 +1,14 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
 A text is cut into all overlapping windows of ``WINDOW`` words, ``STRIDE`` apart (a shorter text is one
-window).  A word's input is an embedding of its hash beside the mean embedding of its hashed byte trigrams, so the
-spelling of unknown words counts.  Two gated recurrent layers read a window from either side, attention
+window).  A word's input is an embedding of its hash beside the mean embeddings of its hashed byte trigrams and of its
+beginnings of 4 to 8 bytes, so the spelling of unknown words counts.  Two gated recurrent layers read a window from either side, attention
 pools their states, and a logistic unit scores it.  A text's score is that of its highest window, at every
 length.
 
 Learning takes ``fit_rows`` labelled documents at most (6,000, evenly by hash of doc_id) and ``FIT_WINDOWS`` evenly placed
 windows of each.  Labels belong to documents, so windows of toxic documents are chosen anew in every round: first
-by the log-odds of their words, then by the network; clean documents give windows at random and those that the network
+by the log-odds of their words and beginnings, then by the network; clean documents give windows at random and those that the network
 holds most toxic.  The network is small and is trained on the driver.
 
 Nulls and edges: a null text is empty, and a text without words has the score of an empty window; null labels are not learnt
@@ -23,26 +23,30 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.llm.arrays import Words, lower_ascii, mixed, slices, words_of
+from reviewmill.llm.arrays import Words, mixed, slices, span_hashes, words_of
 from reviewmill.llm.learning import bounded, held_out
 
 FIT_ROWS = 6_000
 FIT_WINDOWS = 48
 WINDOW, STRIDE = 24, 12
-WORDS, GRAMS = 1 << 14, 1 << 12
-WORD_SIZE, GRAM_SIZE, HIDDEN = 12, 8, 8
+WORDS, GRAMS, STEMS = 1 << 14, 1 << 12, 1 << 15
+WORD_SIZE, GRAM_SIZE, STEM_SIZE, HIDDEN = 8, 6, 6, 8
+SIZE = WORD_SIZE + GRAM_SIZE + STEM_SIZE
+LENGTHS = (4, 5, 6, 7, 8)
 SLICE = 1 << 19
-BATCH, RATE, ROUNDS, EPOCHS = 128, 0.01, 4, 3
+BATCH, RATE, ROUNDS, EPOCHS = 256, 0.015, 3, 3
 Net = dict[str, np.ndarray]
 
 
 class Vocabulary(NamedTuple):
-    """Distinct words of a slice: bucket, and trigram buckets with the word of each."""
+    """Distinct words of a slice: bucket, buckets of beginnings, and trigram buckets with the word of each."""
 
     bucket: np.ndarray
+    stem: np.ndarray
     gram: np.ndarray
     gram_word: np.ndarray
 
@@ -60,7 +64,9 @@ def vocabulary(words: Words) -> tuple[Vocabulary, np.ndarray]:
     left = np.where(at > starts[word], data[np.maximum(at - 1, 0)], 32).astype(np.uint64) if total else middle
     right = np.where(at + 1 < ends[word], data[np.minimum(at + 1, len(data) - 1)], 32).astype(np.uint64) if total else middle
     gram = mixed((left << np.uint64(16)) | (middle << np.uint64(8)) | right) % np.uint64(GRAMS)
-    return Vocabulary((distinct % np.uint64(WORDS)).astype(np.int64), gram.astype(np.int64), word), place
+    stems = [span_hashes(data, starts, np.minimum(starts + n, ends)) + np.uint64(n) for n in LENGTHS]
+    stem = (mixed(np.stack(stems, axis=1)) % np.uint64(STEMS)).astype(np.int64)
+    return Vocabulary((distinct % np.uint64(WORDS)).astype(np.int64), stem, gram.astype(np.int64), word), place
 
 
 def windows(doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -78,12 +84,13 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def initial(rnd: np.random.Generator) -> Net:
-    size, h = WORD_SIZE + GRAM_SIZE, HIDDEN
+    size, h = SIZE, HIDDEN
 
     def normal(*shape: int, scale: float) -> np.ndarray:
         return rnd.normal(0, scale, shape).astype(np.float32)
 
     net = {"word": normal(WORDS, WORD_SIZE, scale=0.05), "gram": normal(GRAMS, GRAM_SIZE, scale=0.3)}
+    net["stem"] = normal(STEMS, STEM_SIZE, scale=0.05)
     for side in "fb":
         net |= {f"in_{side}": normal(size, 3 * h, scale=size**-0.5), f"base_{side}": np.zeros(3 * h, np.float32)}
         net[f"turn_{side}"] = normal(h, 3 * h, scale=h**-0.5)
@@ -97,7 +104,7 @@ def embedded(net: Net, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     sums = np.concatenate([np.zeros((1, GRAM_SIZE), np.float64), np.cumsum(net["gram"][v.gram], axis=0, dtype=np.float64)])
     edges = np.searchsorted(v.gram_word, np.arange(len(v.bucket) + 1))
     spelled = ((sums[edges[1:]] - sums[edges[:-1]]) / counts[:, None]).astype(np.float32)
-    return np.concatenate([net["word"][v.bucket], spelled], axis=1), counts
+    return np.concatenate([net["word"][v.bucket], spelled, net["stem"][v.stem].mean(axis=1)], axis=1), counts
 
 
 def forward(net: Net, gates: dict[str, np.ndarray], ids: np.ndarray, live: np.ndarray, keep: bool = False):
@@ -164,7 +171,11 @@ def backward(net: Net, v: Vocabulary, ids: np.ndarray, live: np.ndarray, target:
         d_x += d_gates @ net[f"in_{side}"].T
     grad["word"], grad["gram"] = np.zeros_like(net["word"]), np.zeros_like(net["gram"])
     np.add.at(grad["word"], v.bucket, d_x[:, :WORD_SIZE])
-    np.add.at(grad["gram"], v.gram, (d_x[:, WORD_SIZE:] / counts[:, None])[v.gram_word])
+    np.add.at(grad["gram"], v.gram, (d_x[:, WORD_SIZE : WORD_SIZE + GRAM_SIZE] / counts[:, None])[v.gram_word])
+    grad["stem"] = np.zeros_like(net["stem"])
+    d_stem = d_x[:, WORD_SIZE + GRAM_SIZE :] / len(LENGTHS)
+    for k in range(len(LENGTHS)):
+        np.add.at(grad["stem"], v.stem[:, k], d_stem)
     return grad
 
 
@@ -178,10 +189,10 @@ def laid(first: np.ndarray, length: np.ndarray, place: np.ndarray) -> tuple[np.n
 
 def scored(net: Net, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Score and document of every window, and the highest score of each document."""
-    words = words_of(lower_ascii(texts))
+    words = words_of(pc.utf8_lower(texts))
     v, place = vocabulary(words)
     first, length, owner = windows(words.doc, len(texts))
-    x = embedded(net, v)[0] if len(v.bucket) else np.zeros((1, WORD_SIZE + GRAM_SIZE), np.float32)
+    x = embedded(net, v)[0] if len(v.bucket) else np.zeros((1, SIZE), np.float32)
     gates = gates_of(net, x)
     parts = []
     for a in range(0, len(owner), 8192):
@@ -202,22 +213,31 @@ def train(texts: list[str], doc: np.ndarray, label: np.ndarray, seed: int = 11)
         net["out"][:] = 0
         net["bias"][:] = np.log(share / (1 - share))
         return net
-    words = words_of(lower_ascii(pa.array(texts, pa.large_string())))
+    words = words_of(pc.utf8_lower(pa.array(texts, pa.large_string())))
     v, place = vocabulary(words)
     counts = np.bincount(words.doc, minlength=len(texts))
     ids, live = laid(np.cumsum(counts) - counts, np.minimum(counts, WINDOW), place)
 
-    # Log-odds of words between toxic and clean documents: the first choice and the first input.
-    pairs = np.unique(doc[words.doc] * WORDS + v.bucket[place])
+    # Log-odds of words and beginnings between toxic and clean documents: the first choice and the first input.
     toxic_docs, clean_docs = np.unique(doc[label == 1]), np.unique(doc[label == 0])
-    toxic = np.isin(pairs // WORDS, toxic_docs)
-    in_toxic = np.bincount(pairs[toxic] % WORDS, minlength=WORDS)
-    in_clean = np.bincount(pairs[~toxic] % WORDS, minlength=WORDS)
-    odds = np.log((in_toxic + 0.5) / (len(toxic_docs) + 1)) - np.log((in_clean + 0.5) / (len(clean_docs) + 1))
-    odds = np.where(in_toxic >= 3, np.clip(odds, -3, 3), 0).astype(np.float32)
+
+    def log_odds(bucket: np.ndarray, size: int) -> np.ndarray:
+        pairs = np.unique(doc[words.doc] * size + bucket[place])
+        toxic = np.isin(pairs // size, toxic_docs)
+        in_toxic = np.bincount(pairs[toxic] % size, minlength=size)
+        in_clean = np.bincount(pairs[~toxic] % size, minlength=size)
+        odds = np.log((in_toxic + 0.5) / (len(toxic_docs) + 1)) - np.log((in_clean + 0.5) / (len(clean_docs) + 1))
+        return np.where(in_toxic >= 3, np.clip(odds, -3, 3), 0).astype(np.float32)
+
+    odds = log_odds(v.bucket, WORDS)
     net["word"][:, 0] += odds / 3
+    evidence = odds[v.bucket]
+    for k in range(len(LENGTHS)):
+        odds = log_odds(v.stem[:, k], STEMS)
+        net["stem"][:, 0] += odds / 3
+        evidence = np.maximum(evidence, odds[v.stem[:, k]])
     belief = np.full(len(texts), -9.0, np.float32)
-    np.maximum.at(belief, words.doc, odds[v.bucket[place]])
+    np.maximum.at(belief, words.doc, evidence[place])
 
     moment = {k: [np.zeros_like(p), np.zeros_like(p)] for k, p in net.items()}
     step = 0
@@ -229,7 +249,7 @@ def train(texts: list[str], doc: np.ndarray, label: np.ndarray, seed: int = 11)
         top = np.zeros(doc.max() + 1, np.float32) - 9
         np.maximum.at(top, doc, belief)
         chosen = (label == 1) & ((rank == 0) | ((rank < 6) & (belief >= 0.9 * top[doc]) & (belief > 0)))
-        chosen |= (label == 0) & ((rank < 2) | (rnd.random(len(label)) < 0.15))
+        chosen |= (label == 0) & ((rank < 2) | (rnd.random(len(label)) < 0.1))
         picks = np.flatnonzero(chosen)
         # Toxic windows count as much as a third of all.
         toxic_picks = picks[label[picks] == 1]
@@ -239,7 +259,7 @@ def train(texts: list[str], doc: np.ndarray, label: np.ndarray, seed: int = 11)
             for rows in np.array_split(rnd.permutation(picks), max(1, len(picks) // BATCH)):
                 used, local = np.unique(ids[rows], return_inverse=True)
                 grams = np.isin(v.gram_word, used)
-                part = Vocabulary(v.bucket[used], v.gram[grams], np.searchsorted(used, v.gram_word[grams]))
+                part = Vocabulary(v.bucket[used], v.stem[used], v.gram[grams], np.searchsorted(used, v.gram_word[grams]))
                 grad = backward(net, part, local.reshape(ids[rows].shape), live[rows], label[rows].astype(np.float32))
                 step += 1
                 for k, g in grad.items():
@@ -248,6 +268,7 @@ def train(texts: list[str], doc: np.ndarray, label: np.ndarray, seed: int = 11)
                     s += 0.01 * (g * g - s)
                     net[k] -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-6)
                 net["word"] *= 0.9995
+                net["stem"] *= 0.9995
         gates = gates_of(net, embedded(net, v)[0])
         belief = np.concatenate([forward(net, gates, ids[a : a + 8192], live[a : a + 8192]) for a in range(0, len(ids), 8192)])
     return net
