@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import fingerprints, jaccard_join, language, mixing, packing, quality_model, quality_rules, secrets, toxicity
+from reviewmill.llm import fingerprints, html_text, jaccard_join, language, mixing, packing, quality_model, quality_rules, secrets, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, folder, "documents"), vocabulary, ranks))
 
 
+def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
+
+
 def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, folder, "documents")))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_mixing": op5_mixing,
     "op6_packing": op6_packing,
+    "op7_html_text": op7_html_text,
     "op8_secrets": op8_secrets,
     "op9_quality_rules": op9_quality_rules,
     "op10_quality_model": op10_quality_model,
