@@ -8,39 +8,59 @@ table, so that a join against it is broadcast only when it is small enough.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder of checkpoints and staged tables, taken from the session."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    context = spark.sparkContext
-    folder = context.getCheckpointDir()
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="reviewmill-")
-    context.setCheckpointDir(folder)
-    return context.getCheckpointDir()
+    """Folder of staged tables: ``spark.checkpoint.dir``, else the checkpoint folder, else the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return a scan of the written copy.
+def _path(spark: SparkSession, location: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+class Scratch:
+    """Staged tables of one job, released together when the job has its result.
 
-    The copy is removed when the driver ends.
+    ``with Scratch(spark) as scratch`` releases them at the end; a frame that is returned must not
+    read them any more, so stage it with :func:`stage`.
     """
-    spark = df.sparkSession
-    location = f"{shared_folder(spark).rstrip('/')}/reviewmill-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(location)
-    path = spark._jvm.org.apache.hadoop.fs.Path(location)
-    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(path)
-    return spark.read.schema(df.schema).parquet(location)
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{shared_folder(spark)}/reviewmill-{uuid.uuid4().hex}"
+        self.count = 0
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.release()
+
+    def stage(self, df: DataFrame, label: str) -> DataFrame:
+        """Write ``df`` to the shared folder and return a scan of the written copy."""
+        self.count += 1
+        location = f"{self.folder}/{self.count}-{label}"
+        df.write.parquet(location)
+        return self.spark.read.schema(df.schema).parquet(location)
+
+    def release(self) -> None:
+        path, files = _path(self.spark, self.folder)
+        files.delete(path, True)
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """A staged table by itself; its copy is removed when the driver ends."""
+    scratch = Scratch(df.sparkSession)
+    copy = scratch.stage(df, label)
+    path, files = _path(df.sparkSession, scratch.folder)
+    files.deleteOnExit(path)
+    return copy
 
 
 def spread(df: DataFrame) -> DataFrame:
