@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.llm import jaccard_join, language, mixing, packing, secrets
-from reviewmill.session import stage
+from reviewmill.session import Scratch, stage
 
 MIN_SCORE = 0.1
 SIMILARITY = 80  # per cent; shingles of five words
@@ -35,13 +35,14 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     joined = jaccard_join.join(docs, WIDTH, SIMILARITY)
-    dropped = joined.filter("component_id < doc_id").select("doc_id").distinct()
-    rows = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
-    # Rows of one doc_id and one text are one document; those without words, or an id, are no group.
-    several = rows.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id")
-    single = rows.join(several, "doc_id", "left_anti").select(*docs.columns)
-    repeated = rows.join(several, "doc_id", "left_semi").select(*docs.columns)
-    return single.unionByName(repeated.dropDuplicates(["doc_id", "text"]))
+    dropped = joined.filter("component_id < doc_id").select("doc_id", F.lit(2).alias("_flag"))
+    # Rows of one doc_id and one text are one document.
+    again = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
+    flags = dropped.union(again.select("doc_id", F.lit(1))).groupBy("doc_id").agg(F.max("_flag").alias("_flag"))
+    marked = docs.join(flags, "doc_id", "left")
+    single = marked.filter("_flag IS NULL").select(*docs.columns)
+    repeated = marked.filter("_flag = 1").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    return single.unionByName(repeated)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,6 +75,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the pieces of the last."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name)
-    return docs
+    with Scratch(spark) as scratch:
+        for name, step in STAGES[:-1]:
+            docs = scratch.stage(step(spark, docs, sf_dir), name)
+        name, step = STAGES[-1]
+        return stage(step(spark, docs, sf_dir), name)

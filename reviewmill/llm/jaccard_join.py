@@ -17,7 +17,7 @@
    Pairs within a component are not: they cannot change it.  So a group of copies costs as many
    comparisons as it has members, and no link between different components is lost.
 
-Staged tables are in the shared folder; no step gathers documents on the driver (the size bands'
+Staged tables are in the shared folder and are released when the result is staged; no step gathers documents on the driver (the size bands'
 costs, at most some 200 rows, are).
 
 Nulls and edges: a null or empty text, or one without words, has an empty set and is its own component; a
@@ -37,15 +37,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.llm.arrays import lower_ascii, mixed, slices, words_of
-from reviewmill.session import stage
+from reviewmill.session import Scratch, stage
 
 THRESHOLD = 90  # per cent
-BLOCK = 56  # of 256 parts of the hash range
+BLOCK = 2.2  # times the share that a set may miss: the part of the hash range that the block takes
 BETWEEN = 1 << 40  # frequency rank of elements outside the block
-FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 NARROW = "doc_id long, n int, sig_a long, sig_b long, block array<long>, tail array<long>"
 
 
+def factor(k: int) -> np.uint64:
+    """An odd number for each place of a shingle."""
+    return mixed(np.array([k + 1], dtype=np.uint64))[0] | np.uint64(1)
+
+
 def shingles(texts: pa.Array, width: int = 3) -> list[np.ndarray]:
     """Sorted distinct hashes of each text's shingles."""
     words = words_of(lower_ascii(texts))
@@ -55,7 +59,7 @@ def shingles(texts: pa.Array, width: int = 3) -> list[np.ndarray]:
     h = words.hashes
     total = np.zeros(max(len(h) - width + 1, 0), dtype=np.uint64)
     for k in range(width):
-        total += h[k : k + len(total)] * FACTORS[k % len(FACTORS)] + np.uint64(k)
+        total += h[k : k + len(total)] * factor(k)
     total = mixed(total).view(np.int64)
     out = []
     for i in range(n):
@@ -63,10 +67,10 @@ def shingles(texts: pa.Array, width: int = 3) -> list[np.ndarray]:
         if m >= width:
             out.append(np.unique(total[a : a + m - width + 1]))
         elif m:
-            short = np.uint64(m)
+            short = np.full(1, m, dtype=np.uint64)
             for k in range(m):
-                short = mixed((h[a + k : a + k + 1] ^ short) * FACTORS[k])[0]
-            out.append(np.array([short], dtype=np.uint64).view(np.int64))
+                short = short + h[a + k : a + k + 1] * factor(k)
+            out.append(mixed(short).view(np.int64))
         else:
             out.append(np.empty(0, dtype=np.int64))
     return out
@@ -84,14 +88,16 @@ def listed(parts: list[np.ndarray]) -> pa.Array:
 
 
 def narrow_batches(width: int, threshold: int):
+    part = min(256, int(256 * BLOCK * (1 - threshold / 100)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = shingles(batch.column(1), width)
             sums, blocks, tails = [], [], []
             for s in sets:
                 u = s.view(np.uint64)
-                sums.append([mixed(u).sum(dtype=np.uint64), mixed(u ^ FACTORS[0]).sum(dtype=np.uint64)])
-                inside = (s & 255) < BLOCK
+                sums.append([mixed(u).sum(dtype=np.uint64), mixed(u ^ factor(0)).sum(dtype=np.uint64)])
+                inside = (s & 255) < part
                 block = s[inside]
                 missing = prefix(len(s), threshold) + 2 - len(block)
                 blocks.append(block)
@@ -116,18 +122,18 @@ def whole_batches(width: int):
     return run
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """Smallest id of each vertex' component, for links (a, b): minimum labels with pointer jumping."""
-    both = stage(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
+    both = scratch.stage(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
     labels = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"))
-    labels = stage(labels.select("id", F.least("id", "m").alias("label")), "labels")
+    labels = scratch.stage(labels.select("id", F.least("id", "m").alias("label")), "labels")
     while True:
         near = both.join(labels, F.col("b") == F.col("id")).groupBy("a").agg(F.min("label").alias("m"))
         lower = labels.join(near, F.col("id") == F.col("a")).select("id", F.col("label").alias("old"), F.least("label", "m").alias("label"))
-        lower = stage(lower, "labels")
+        lower = scratch.stage(lower, "labels")
         of = lower.select(F.col("id").alias("at"), F.col("label").alias("jump"))
         jumped = lower.join(of, F.col("label") == F.col("at")).select("id", "old", F.least("label", "jump").alias("label"))
-        jumped = stage(jumped, "labels")
+        jumped = scratch.stage(jumped, "labels")
         labels = jumped.select("id", "label")
         if not jumped.filter("label < old").limit(1).count():
             return labels
@@ -181,11 +187,11 @@ def entries(begin: DataFrame, heavy_from: int, threshold: int) -> DataFrame:
     return rows.select("key", F.explode(F.expr("array(g, g + 1)")).alias("band"), "rep", "n").distinct()
 
 
-def verified(docs: DataFrame, pairs: DataFrame, width: int, threshold: int) -> DataFrame:
+def verified(docs: DataFrame, pairs: DataFrame, scratch: Scratch, width: int, threshold: int) -> DataFrame:
     """The pairs (a, b) that link, by whole sets."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
     wanted = docs.join(ids, "doc_id", "left_semi").select("doc_id", "text")
-    sets = stage(wanted.mapInArrow(whole_batches(width), "rep long, items array<long>"), "sets")
+    sets = scratch.stage(wanted.mapInArrow(whole_batches(width), "rep long, items array<long>"), "sets")
     left, right = sets.toDF("a", "left"), sets.toDF("b", "right")
     common = F.size(F.array_intersect("left", "right"))
     union = F.size("left") + F.size("right") - common
@@ -195,51 +201,53 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int, threshold: int) -> D
 def join(docs: DataFrame, width: int = 3, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, n_shingles, class_id (smallest doc_id of the same set), component_id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    narrow = stage(docs.mapInArrow(narrow_batches(width, threshold), NARROW), "narrow")
-    signature = ["n", "sig_a", "sig_b"]
-    sets = narrow.filter("doc_id IS NOT NULL AND n > 0")
-    # A set of fewer elements than a difference of one needs links with none but its equals.
-    alone = math.ceil(threshold / (100 - threshold))
-    classes = sets.filter(f"n >= {alone}").groupBy(*signature).agg(
-        F.min("doc_id").alias("rep"), F.first("block").alias("block"), F.first("tail").alias("tail")
-    )
-    begin = stage(beginnings(classes, threshold), "beginnings")
-    members = entries(begin, boundary(begin), threshold)
-    lists = members.groupBy("key", "band").agg(F.min("rep").alias("pivot"), F.min_by("n", "rep").alias("pivot_n"), F.count("*").alias("m"))
-    members = stage(members.join(lists.filter("m > 1"), ["key", "band"]).drop("m"), "lists")
-
-    def close(x, y):
-        return (100 * F.col(x) >= threshold * F.col(y)) & (100 * F.col(y) >= threshold * F.col(x))
-
-    stars = members.filter((F.col("pivot") < F.col("rep")) & close("n", "pivot_n"))
-    stars = stage(stars.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), "stars")
-    links = stage(verified(docs, stars, width, threshold), "verified")
-    label = components(links)
-
-    marked = members.join(label.toDF("rep", "c"), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
-    marked = marked.join(label.toDF("pivot", "pc"), "pivot", "left").withColumn("pc", F.coalesce("pc", "pivot"))
-    marked = stage(marked, "marked")
-    others = marked.filter("c <> pc").select(
-        "key", "band", F.col("rep").alias("o"), F.col("n").alias("o_n"), F.col("c").alias("o_c")
-    )
-    # An outsider meets the members of other components; of two outsiders the smaller comes first.
-    crossed = others.join(marked.filter("rep <> pivot"), ["key", "band"]).filter(
-        (F.col("c") != F.col("o_c")) & close("n", "o_n") & ((F.col("c") == F.col("pc")) | (F.col("o") < F.col("rep")))
-    )
-    crossed = crossed.select(F.least("o", "rep").alias("a"), F.greatest("o", "rep").alias("b")).distinct()
-    crossed = stage(crossed.join(stars, ["a", "b"], "left_anti"), "crossed")
-    more = stage(verified(docs, crossed, width, threshold), "verified")
-    label = components(links.union(more)).toDF("class_id", "component")
-
-    names = sets.groupBy(*signature).agg(F.min("doc_id").alias("class_id")).join(label, "class_id", "left")
-    rows = narrow.select("doc_id", *signature).join(names, signature, "left")
-    found = F.col("doc_id").isNotNull() & (F.col("n") > 0)
-    return rows.select(
-        "doc_id",
-        F.col("n").cast("long").alias("n_shingles"),
-        F.when(found, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
-        F.when(found, F.coalesce("component", "class_id")).otherwise(F.col("doc_id")).alias("component_id"),
-    )
+    with Scratch(docs.sparkSession) as scratch:
+        narrow = scratch.stage(docs.mapInArrow(narrow_batches(width, threshold), NARROW), "narrow")
+        signature = ["n", "sig_a", "sig_b"]
+        sets = narrow.filter("doc_id IS NOT NULL AND n > 0")
+        # A set of fewer elements than a difference of one needs links with none but its equals.
+        alone = math.ceil(threshold / (100 - threshold))
+        classes = sets.filter(f"n >= {alone}").groupBy(*signature).agg(
+            F.min("doc_id").alias("rep"), F.first("block").alias("block"), F.first("tail").alias("tail")
+        )
+        begin = scratch.stage(beginnings(classes, threshold), "beginnings")
+        members = entries(begin, boundary(begin), threshold)
+        lists = members.groupBy("key", "band").agg(F.min("rep").alias("pivot"), F.min_by("n", "rep").alias("pivot_n"), F.count("*").alias("m"))
+        members = scratch.stage(members.join(lists.filter("m > 1"), ["key", "band"]).drop("m"), "lists")
+
+        def close(x, y):
+            return (100 * F.col(x) >= threshold * F.col(y)) & (100 * F.col(y) >= threshold * F.col(x))
+
+        stars = members.filter((F.col("pivot") < F.col("rep")) & close("n", "pivot_n"))
+        stars = scratch.stage(stars.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), "stars")
+        links = scratch.stage(verified(docs, stars, scratch, width, threshold), "verified")
+        label = components(links, scratch)
+
+        marked = members.join(label.toDF("rep", "c"), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
+        marked = marked.join(label.toDF("pivot", "pc"), "pivot", "left").withColumn("pc", F.coalesce("pc", "pivot"))
+        marked = scratch.stage(marked, "marked")
+        others = marked.filter("c <> pc").select(
+            "key", "band", F.col("rep").alias("o"), F.col("n").alias("o_n"), F.col("c").alias("o_c")
+        )
+        # An outsider meets the members of other components; of two outsiders the smaller comes first.
+        crossed = others.join(marked.filter("rep <> pivot"), ["key", "band"]).filter(
+            (F.col("c") != F.col("o_c")) & close("n", "o_n") & ((F.col("c") == F.col("pc")) | (F.col("o") < F.col("rep")))
+        )
+        crossed = crossed.select(F.least("o", "rep").alias("a"), F.greatest("o", "rep").alias("b")).distinct()
+        crossed = scratch.stage(crossed.join(stars, ["a", "b"], "left_anti"), "crossed")
+        more = scratch.stage(verified(docs, crossed, scratch, width, threshold), "verified")
+        label = components(links.union(more), scratch).toDF("class_id", "component")
+
+        names = sets.groupBy(*signature).agg(F.min("doc_id").alias("class_id")).join(label, "class_id", "left")
+        rows = narrow.select("doc_id", *signature).join(names, signature, "left")
+        found = F.col("doc_id").isNotNull() & (F.col("n") > 0)
+        rows = rows.select(
+            "doc_id",
+            F.col("n").cast("long").alias("n_shingles"),
+            F.when(found, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
+            F.when(found, F.coalesce("component", "class_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        )
+        return stage(rows, "joined")
 
 
 def digest(joined: DataFrame) -> DataFrame:
