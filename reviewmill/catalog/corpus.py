@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.schema import REVIEW_COLUMNS, SEQ
-from reviewmill.session import spread
 
 MIN_REVIEWS = 20
 
@@ -16,17 +15,20 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, folder: str, name: str = "documents") -> DataFrame:
-    """A table with long texts, shared out over the cores."""
-    return spread(load(spark, folder, name))
+    """A table with long texts."""
+    return load(spark, folder, name)
 
 
-def reviews(spark: SparkSession, folder: str) -> DataFrame:
-    """Typed review table: ``documents`` with ``labels``."""
+def reviews(spark: SparkSession, folder: str, flags: bool = True) -> DataFrame:
+    """Typed review table: ``documents``, with ``labels`` where the flags are used."""
     docs = texts(spark, folder).drop("n_chars")
-    labels = load(spark, folder, "labels").select("doc_id", "quality")
+    if flags:
+        docs = docs.join(load(spark, folder, "labels").select("doc_id", "quality"), "doc_id", "left")
+    else:
+        docs = docs.withColumn("quality", F.lit(None).cast("int"))
     i = F.col("doc_id")
     start = F.lit("2014-01-01 00:00:00").cast("timestamp")
-    return docs.join(labels, "doc_id", "left").select(
+    return docs.select(
         F.col("lang").alias("category"),
         F.concat(F.lit("u"), i % 97).alias("reviewer_id"),
         (1 + i % 5).cast("double").alias("rating"),

@@ -215,7 +215,7 @@ def build() -> dict[str, str]:
     q["standardise_fields"] = f"""WITH {REVIEWS_SQL}, odd AS (SELECT rv.* REPLACE (
           CASE WHEN seq % 17 = 0 THEN NULL WHEN seq % 19 = 0 THEN 4.5 ELSE rating END AS rating,
           CASE WHEN seq % 23 = 0 OR seq % 29 = 0 THEN NULL ELSE helpful_votes END AS helpful_votes,
-          CASE WHEN seq % 31 = 0 THEN NULL ELSE review_timestamp END AS review_timestamp,
+          CASE WHEN seq % 31 = 0 OR seq % 41 = 0 THEN NULL ELSE review_timestamp END AS review_timestamp,
           CASE WHEN seq % 37 = 0 THEN '' ELSE review_title END AS review_title) FROM rv),
         {_standard('odd', 'std')} SELECT * FROM std"""
     q["drop_prefixed_columns"] = f"WITH {REVIEWS_SQL} SELECT parent_product_id, seq, rating FROM rv"
@@ -306,4 +306,16 @@ def build() -> dict[str, str]:
         WHERE parent_product_id IN (SELECT DISTINCT parent_product_id FROM std ORDER BY 1 LIMIT 2)
         QUALIFY row_number() OVER (PARTITION BY parent_product_id ORDER BY seq) <= 2"""
     q["first_rows"] = f"{BASE} SELECT seq, parent_product_id, reviewer_id FROM std ORDER BY seq LIMIT 5"
+    q["random_sample"] = f"{BASE} SELECT seq, {', '.join(REVIEW_COLUMNS)} FROM std ORDER BY md5('7:' || seq), seq LIMIT 5"
+
+    raw = f"WITH {REVIEWS_SQL},{RAW_SQL},{tagged_sql()}"
+    q["tagged_files"] = f"{raw} SELECT CAST(length(record) AS BIGINT) AS length, count(*) AS n FROM rec GROUP BY 1"
+    q["file_listing"] = 'SELECT count(*) > 0 AS "any", count(*) > 0 AS counted FROM documents'
+    q["first_record_file"] = f"{raw} SELECT record FROM rec ORDER BY seq LIMIT 1"
+    q["summary_file"] = q["summary_counts"].split(" ORDER BY")[0]
+    q["helpful_flag_file"] = f"""WITH {REVIEWS_SQL} SELECT parent_product_id, rating,
+        CASE WHEN helpful_votes >= 1 THEN 'True' ELSE 'False' END AS is_helpful, count(*) AS n FROM rv GROUP BY 1, 2, 3"""
+    q["stopword_file"] = q["stopword_anti"]
+    q["vocabulary_file"] = q["vocab_index"]
+    q["vector_file"] = q["count_vectors"]
     return q

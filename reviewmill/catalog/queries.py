@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewmill.catalog.corpus import MIN_REVIEWS, load, raw_strings, reviews, tagged, texts
@@ -10,9 +10,10 @@ from reviewmill.functions import clean, convert
 from reviewmill.functions import tokens as tk
 from reviewmill.operators import extract, insights, nest, preview, summary, table, tokenise, validate, vectors, vocabulary
 from reviewmill.plans.jobs import staged_tokens
-from reviewmill.schema import PRODUCT, REVIEW_COLUMNS, SEQ
-from reviewmill.session import stage
-from reviewmill.sources import nested, tagged_text
+from reviewmill.schema import PRODUCT, REVIEW_COLUMNS, RUN_BITS, SEQ
+from reviewmill.session import new_folder, stage
+from reviewmill.sinks import files
+from reviewmill.sources import dictionaries, nested, tagged_text
 
 REGISTRY: dict = {}
 
@@ -30,12 +31,13 @@ def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-def _cleaned(spark: SparkSession, folder: str) -> DataFrame:
-    return table.cleaned(reviews(spark, folder))
+def _cleaned(spark: SparkSession, folder: str, flags: bool = False) -> DataFrame:
+    return table.cleaned(reviews(spark, folder, flags))
 
 
-def _standard(spark: SparkSession, folder: str) -> DataFrame:
-    return table.standard(_cleaned(spark, folder))
+def _standard(spark: SparkSession, folder: str, flags: bool = False) -> DataFrame:
+    """The standard table; ``flags`` where a query shows or compares them."""
+    return table.standard(_cleaned(spark, folder, flags))
 
 
 def _records(spark: SparkSession, folder: str, leave_out: bool = False) -> DataFrame:
@@ -44,9 +46,7 @@ def _records(spark: SparkSession, folder: str, leave_out: bool = False) -> DataF
 
 
 def _tokens(spark: SparkSession, folder: str) -> DataFrame:
-    """Tokens of the clean texts, which are written once as counting and tokenising both read them."""
-    clean_texts = stage(_standard(spark, folder).select(PRODUCT, SEQ, "review_text"), "texts")
-    return staged_tokens(clean_texts, MIN_REVIEWS)
+    return staged_tokens(_standard(spark, folder).select(PRODUCT, SEQ, "review_text"), MIN_REVIEWS)
 
 
 # ---- summaries --------------------------------------------------------------------
@@ -103,7 +103,7 @@ def standardise_fields(spark, folder):
         {
             "rating": F.when(i % 17 == 0, "five").when(i % 19 == 0, " 4.5 ").otherwise(F.col("rating")),
             "helpful_votes": F.when(i % 23 == 0, F.lit(None)).when(i % 29 == 0, "").otherwise(F.col("helpful_votes")),
-            "review_timestamp": F.when(i % 31 == 0, "soon").otherwise(F.col("review_timestamp")),
+            "review_timestamp": F.when(i % 31 == 0, "soon").when(i % 41 == 0, "99999999999999999").otherwise(F.col("review_timestamp")),
             "is_verified_purchase": F.when(i % 2 == 0, F.concat(F.lit(" "), F.initcap("is_verified_purchase"))).otherwise(
                 F.col("is_verified_purchase")
             ),
@@ -115,7 +115,7 @@ def standardise_fields(spark, folder):
 
 @query
 def drop_prefixed_columns(spark, folder):
-    rv = reviews(spark, folder).select(PRODUCT, SEQ, "rating", F.lit("x").alias("X1"), F.col("category").alias("X.2"))
+    rv = reviews(spark, folder, flags=False).select(PRODUCT, SEQ, "rating", F.lit("x").alias("X1"), F.col("category").alias("X.2"))
     return convert.drop_prefixed(rv)
 
 
@@ -128,14 +128,14 @@ def dedup_rows(spark, folder):
 @query
 def dedup_all_columns(spark, folder):
     """The eleven columns of a table in which every row occurs twice."""
-    rv = _standard(spark, folder)
+    rv = _standard(spark, folder, flags=True)
     again = rv.withColumn(SEQ, F.col(SEQ) + (1 << 40))
     return table.without_duplicates(table.union_all(rv, again)).select(SEQ, PRODUCT, "product_id", "reviewer_id")
 
 
 @query
 def union_sources(spark, folder):
-    rv = reviews(spark, folder).select(PRODUCT, SEQ, "rating", "helpful_votes")
+    rv = reviews(spark, folder, flags=False).select(PRODUCT, SEQ, "rating", "helpful_votes")
     first = rv.filter(F.col(SEQ) % 3 == 0)
     second = rv.filter(F.col(SEQ) % 3 == 1).select("helpful_votes", "rating", SEQ, PRODUCT)
     third = rv.filter(F.col(SEQ) % 3 == 2).select("rating", PRODUCT, SEQ)
@@ -189,7 +189,7 @@ def tokens_by_doc(spark, folder):
 @query
 def stopword_anti(spark, folder):
     words = texts(spark, folder).select(F.explode(tk.words(F.col("text"))).alias("word"))
-    stop = stage(spark.createDataFrame([(w,) for w in tk.STOPWORDS], "word string"), "stopwords")
+    stop = spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{w}')" for w in tk.STOPWORDS) + " AS stop(word)")
     return tokenise.without_stopwords(words, stop).groupBy("word").agg(F.count("*").alias("n"))
 
 
@@ -212,8 +212,7 @@ def doc_freq_band(spark, folder):
 @query
 def bigram_freq(spark, folder):
     tokens = _tokens(spark, folder)
-    terms = stage(vocabulary.band_terms(tokens), "unigrams")
-    return vocabulary.pair_counts(tokens, terms).filter(F.col("n") >= vocabulary.MIN_PAIR_COUNT)
+    return vocabulary.pair_counts(tokens, vocabulary.band_terms(tokens)).filter(F.col("n") >= vocabulary.MIN_PAIR_COUNT)
 
 
 @query
@@ -337,12 +336,12 @@ def length_and_votes(spark, folder):
 
 @query
 def rating_share(spark, folder):
-    return _rounded(insights.rating_share(reviews(spark, folder)), "share")
+    return _rounded(insights.rating_share(reviews(spark, folder, flags=False)), "share")
 
 
 @query
 def overview_counts(spark, folder):
-    return insights.overview(_standard(spark, folder))
+    return insights.overview(_standard(spark, folder, flags=True))
 
 
 @query
@@ -356,32 +355,54 @@ def null_profile(spark, folder):
 
 def _nested(spark, folder):
     """Nesting reads its input several times, so the standard table is written first."""
-    return nest.nest(stage(_standard(spark, folder), "reviews"))
+    return nest.nest(stage(_standard(spark, folder, flags=True), "reviews"))
 
 
 def _documents(spark, folder):
     return nest.document_lines(_nested(spark, folder))
 
 
+def _placed(rows: DataFrame, chunk: Column, pos: Column) -> DataFrame:
+    """Place of each row in its product: the sizes of the chunks before, and the place in its own."""
+    rows = rows.withColumns({"chunk": chunk, "place": pos})
+    before = Window.partitionBy(PRODUCT).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(PRODUCT, "chunk").agg(F.count("*").alias("size"))
+    sizes = sizes.select(PRODUCT, "chunk", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+    return rows.join(sizes, [PRODUCT, "chunk"]).withColumn("place", F.col("start") + F.col("place")).drop("chunk", "start")
+
+
+def _numbered(flat: DataFrame) -> DataFrame:
+    """Flattened rows with their place in the product as ``seq``."""
+    chunk, pos = F.shiftright(SEQ, RUN_BITS), F.col(SEQ) % (1 << RUN_BITS)
+    return _placed(flat, chunk, pos).drop(SEQ).withColumnRenamed("place", SEQ)
+
+
 @query
 def nested_reviews(spark, folder):
     listed = _nested(spark, folder)
-    each = listed.select(PRODUCT, F.posexplode("reviews").alias("pos", "review"))
-    return each.select(PRODUCT, F.col("pos").cast("bigint").alias("pos"), "review.product_id", "review.rating", "review.review_text")
+    each = listed.select(PRODUCT, "chunk", F.posexplode("reviews").alias("pos", "review"))
+    each = _placed(each, F.col("chunk"), F.col("pos").cast("bigint"))
+    return each.select(PRODUCT, F.col("place").alias("pos"), "review.product_id", "review.rating", "review.review_text")
 
 
 @query
 def flatten_nested(spark, folder):
-    return nested.flatten(_documents(spark, folder))
+    return _numbered(nested.flatten(_documents(spark, folder)))
 
 
 @query
 def product_texts(spark, folder):
-    return nested.product_texts(_documents(spark, folder))
+    return _numbered(nested.product_texts(_documents(spark, folder)))
+
+
+# Faults that hide a whole product, so that its further chunks are left out.
+HIDDEN = ["src5", "src6", "src7", "src8", "src9", "src10", "src14"]
 
 
 def _faulty(documents: DataFrame) -> DataFrame:
     """Documents with one kind of fault per product."""
+    first = F.col("chunk") == F.min("chunk").over(Window.partitionBy(PRODUCT))
+    documents = documents.withColumn("first", first).filter(F.col("first") | ~F.col(PRODUCT).isin(HIDDEN))
     p, value = F.col(PRODUCT), F.col("value")
 
     def swap(old: str, new: str):
@@ -398,7 +419,7 @@ def _faulty(documents: DataFrame) -> DataFrame:
         "src8": F.lit('{"src8":{"reviews":[]}}'),
         "src9": F.lit("no json {"),
         "src10": F.lit("[1,2]"),
-        "src11": swap('"reviews":[', '"reviews":[5,'),
+        "src11": F.when(F.col("first"), swap('"reviews":[', '"reviews":[5,')).otherwise(value),
         "src12": swap('"rating":"1.0"', '"rating":"one"'),
         "src13": swap('"rating":"5.0"', '"rating":"5.0","stars":"5"'),
         "src14": F.lit('{"src14":{"reviews":null}}'),
@@ -440,4 +461,80 @@ def first_rows(spark, folder):
 
 @query
 def random_sample(spark, folder):
-    return preview.sample_rows(_standard(spark, folder).select(SEQ, *REVIEW_COLUMNS), seed=7)
+    return preview.sample_rows(_standard(spark, folder, flags=True).select(SEQ, *REVIEW_COLUMNS), seed=7)
+
+
+# ---- files ------------------------------------------------------------------------
+
+
+def _tagged_files(spark, folder):
+    """The tagged text of the driver tables as text files, in a folder of its own."""
+    path = new_folder(spark, "tagged")
+    tagged(reviews(spark, folder)).select("value").write.text(path)
+    return path
+
+
+@query
+def tagged_files(spark, folder):
+    """Records read back from files: how many there are of each length."""
+    records = tagged_text.read_records(spark, _tagged_files(spark, folder))
+    return records.groupBy(F.length("record").cast("bigint").alias("length")).agg(F.count("*").alias("n"))
+
+
+@query
+def file_listing(spark, folder):
+    """Files without content are no text files; every other one is listed once."""
+    path = _tagged_files(spark, folder)
+    listed = tagged_text.list_files(spark, path).filter("length > 0")
+    counted = tagged_text.count_files(spark, path)
+    return listed.agg((F.count("*") > 0).alias("any")).join(counted.select((F.col("files") > 0).alias("counted")))
+
+
+@query
+def first_record_file(spark, folder):
+    path = new_folder(spark, "first")
+    rv = reviews(spark, folder).orderBy(SEQ).limit(3)
+    tagged(rv).coalesce(1).select("value").write.text(path)
+    return tagged_text.first_record(tagged_text.read_records(spark, path))
+
+
+@query
+def summary_file(spark, folder):
+    path = new_folder(spark, "summary")
+    files.write_summary(summary.product_summary(_standard(spark, folder)), path)
+    schema = f"{PRODUCT} string, review_count long, review_text_count long"
+    return spark.read.schema(schema).csv(path, header=True)
+
+
+@query
+def helpful_flag_file(spark, folder):
+    path = new_folder(spark, "flags")
+    files.write_helpful_flags(insights.helpful_flags(_standard(spark, folder)).select(PRODUCT, "rating", "is_helpful"), path)
+    rows = spark.read.schema(f"{PRODUCT} string, rating double, is_helpful string").csv(path, header=True)
+    return rows.groupBy(PRODUCT, "rating", "is_helpful").agg(F.count("*").alias("n"))
+
+
+@query
+def stopword_file(spark, folder):
+    """Stopwords by way of a file, with repeats, against the words of the documents."""
+    path = new_folder(spark, "stopwords")
+    spark.createDataFrame([(w,) for w in [*tk.STOPWORDS, *tk.STOPWORDS]], "value string").write.text(path)
+    words = texts(spark, folder).select(F.explode(tk.words(F.col("text"))).alias("word"))
+    kept = tokenise.without_stopwords(words, dictionaries.read_stopwords(spark, path))
+    return kept.groupBy("word").agg(F.count("*").alias("n"))
+
+
+@query
+def vocabulary_file(spark, folder):
+    path = new_folder(spark, "vocabulary")
+    files.write_vocabulary(vocabulary.fit(_tokens(spark, folder)).terms, path)
+    return dictionaries.read_vocabulary(spark, path)
+
+
+@query
+def vector_file(spark, folder):
+    """Count vectors by way of a file; products without terms are lines without items."""
+    path = new_folder(spark, "vectors")
+    tokens, _, found = _vectors(spark, folder)
+    files.write_vectors(stage(found, "vectors"), tokens, path)
+    return dictionaries.read_vectors(spark, path)

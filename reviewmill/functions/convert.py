@@ -11,7 +11,8 @@ from reviewmill.schema import MISSING, TIMESTAMP_FORMAT
 # Fixed value: what counts as a number when a string is converted.
 NUMBER_PATTERN = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 
-EMPTY = r"^\z"
+# What a nanosecond timestamp can hold, in milliseconds.
+EPOCH_RANGE = (-9_223_372_036_854, 9_223_372_036_854)
 
 WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
@@ -28,14 +29,14 @@ def to_whole(x: Column) -> Column:
 
 
 def epoch_millis(x: Column) -> Column:
-    """Epoch milliseconds, given as a string, to a timestamp cut to whole seconds."""
+    """Epoch milliseconds, given as a string, to a timestamp cut to whole seconds; null out of range."""
     millis = F.trim(x).try_cast("decimal(20,3)").cast("bigint")
-    return F.date_trunc("second", F.timestamp_millis(millis))
+    return F.date_trunc("second", F.timestamp_millis(F.when(millis.between(*EPOCH_RANGE), millis)))
 
 
-def to_flag(x: Column) -> Column:
-    """True only for the word ``true`` in any case, with blanks around allowed."""
-    return F.coalesce(F.lower(F.regexp_replace(x, r"^\s+|\s+$", "")) == "true", F.lit(False))
+def to_flag(x: Column, missing: bool | None = False) -> Column:
+    """True only for the word ``true`` in any case, with blanks around allowed; ``missing`` for null."""
+    return F.coalesce(F.lower(F.regexp_replace(x, r"^\s+|\s+$", "")) == "true", F.lit(missing).cast("boolean"))
 
 
 def format_timestamp(x: Column) -> Column:
@@ -67,7 +68,7 @@ def text_form(x: Column, data_type: T.DataType) -> Column:
 
 def filled(x: Column) -> Column:
     """Null or empty string to the sentinel; ``x`` appears, and is worked out, only once."""
-    return F.coalesce(F.regexp_replace(x, EMPTY, MISSING), F.lit(MISSING))
+    return F.coalesce(F.nullif(x, F.lit("")), F.lit(MISSING))
 
 
 def drop_prefixed(df: DataFrame, prefix: str = "X") -> DataFrame:

@@ -3,54 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from reviewmill.schema import NESTED_KEYS, PRODUCT, SEQ, run_of
-from reviewmill.session import stage
+from reviewmill.schema import NESTED_KEYS, PRODUCT, SEQ
 
-MAX_DOCUMENT_BYTES = 32 * 1024 * 1024
-KEY_BYTES = 160  # about what quotes and key names add to a review
+# A document holds the reviews of one product whose ``seq`` agrees above this many bits.
+CHUNK_BITS = 14
 
 
-def _documents(rows: DataFrame) -> DataFrame:
-    listed = rows.groupBy(PRODUCT, "chunk").agg(F.sort_array(F.collect_list(F.struct(SEQ, "review"))).alias("listed"))
-    return listed.select(PRODUCT, "chunk", F.col("listed.review").alias("reviews"))
-
-
-def nest(reviews: DataFrame, max_bytes: int = MAX_DOCUMENT_BYTES) -> DataFrame:
-    """``(product, chunk, reviews)`` with the reviews of a product in order.
+def nest(reviews: DataFrame, chunk_bits: int = CHUNK_BITS) -> DataFrame:
+    """``(product, chunk, reviews)`` with the reviews of a product in order, from one shuffle.
 
-    A product whose reviews exceed ``max_bytes`` is split into numbered chunks of about
-    that size; all others have one document and a null chunk.  Large products are chunked
-    by running size inside each run plus the size of the runs before it.
+    Every document has a chunk number, by one rule for all products: ``seq >> chunk_bits``.  So a
+    document has ``2 ** chunk_bits`` reviews at most, and chunks of a product follow each other.
     """
     review = F.struct(*NESTED_KEYS).alias("review")
-    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in NESTED_KEYS), F.lit(KEY_BYTES)).cast("bigint")
-    rows = reviews.select(PRODUCT, SEQ, size.alias("size"), review)
-    sizes = rows.groupBy(PRODUCT).agg(F.sum("size").alias("total")).filter(F.col("total") > max_bytes)
-    large = stage(sizes.select(PRODUCT), "large-products")
-
-    whole = rows.join(large, PRODUCT, "left_anti").withColumn("chunk", F.lit(None).cast("bigint"))
-
-    split = rows.join(large, PRODUCT, "left_semi").withColumn("run", run_of())
-    earlier = (W.unboundedPreceding, -1)
-    runs = split.groupBy(PRODUCT, "run").agg(F.sum("size").alias("run_size"))
-    runs = runs.select(
-        PRODUCT, "run", F.sum("run_size").over(W.partitionBy(PRODUCT).orderBy("run").rowsBetween(*earlier)).alias("start")
-    )
-    inside = F.sum("size").over(W.partitionBy(PRODUCT, "run").orderBy(SEQ).rowsBetween(*earlier))
-    split = split.withColumn("inside", inside).join(runs, [PRODUCT, "run"])
-    offset = F.coalesce("start", F.lit(0)) + F.coalesce("inside", F.lit(0))
-    split = split.withColumn("chunk", F.floor(offset / max_bytes).cast("bigint")).select(*whole.columns)
-
-    return _documents(whole).unionByName(_documents(split))
+    rows = reviews.select(PRODUCT, F.shiftright(SEQ, chunk_bits).alias("chunk"), F.struct(SEQ, review).alias("item"))
+    listed = rows.groupBy(PRODUCT, "chunk").agg(F.sort_array(F.collect_list("item")).alias("listed"))
+    return listed.select(PRODUCT, "chunk", F.col("listed.review").alias("reviews"))
 
 
 def document_lines(nested: DataFrame) -> DataFrame:
-    """Each document as one JSON line ``{product: {"reviews": [...]}}``.
-
-    A chunk number appears only in documents of split products.
-    """
+    """Each document as one JSON line ``{product: {"chunk": n, "reviews": [...]}}``."""
     content = F.struct("chunk", "reviews")
     return nested.select(PRODUCT, "chunk", F.to_json(F.create_map(F.col(PRODUCT), content)).alias("value"))

@@ -26,5 +26,12 @@ def preview(reviews: DataFrame, products: int = 2, n: int = 2) -> DataFrame:
     return first_per_product(reviews.join(F.broadcast(some), PRODUCT, "left_semi"), n)
 
 
-def sample_rows(df: DataFrame, n: int = 5, seed: int | None = None) -> DataFrame:
-    return df.orderBy(F.rand(seed)).limit(n)
+def sample_rows(df: DataFrame, n: int = 5, seed: int = 0, key: str = SEQ) -> DataFrame:
+    """``n`` rows by the digest of seed and key: the same rows for a seed however the table is split.
+
+    Only keys are ranked; the columns are fetched for the chosen ones.
+    """
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")).cast("binary"))
+    chosen = df.select(key, digest.alias("digest")).orderBy("digest", key).limit(n).select(key)
+    # ``limit`` bounds the broadcast side.
+    return df.join(F.broadcast(chosen), key, "left_semi")

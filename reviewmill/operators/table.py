@@ -12,13 +12,16 @@ from reviewmill.functions import clean, convert
 from reviewmill.schema import REVIEW_COLUMNS, SEQ
 
 
-def typed(raw: DataFrame) -> DataFrame:
-    """Raw strings to the typed review table; values that do not convert become null."""
+def typed(raw: DataFrame, missing_flag: bool | None = False) -> DataFrame:
+    """Raw strings to the typed review table; values that do not convert become null.
+
+    A missing flag is ``missing_flag``: false in tagged text, null in workbooks.
+    """
     changed = {
         "rating": convert.to_number(F.col("rating")),
         "helpful_votes": convert.to_whole(F.col("helpful_votes")),
         "review_timestamp": convert.epoch_millis(F.col("review_timestamp")),
-        "is_verified_purchase": convert.to_flag(F.col("is_verified_purchase")),
+        "is_verified_purchase": convert.to_flag(F.col("is_verified_purchase"), missing_flag),
     }
     return raw.select(*[changed.get(c, F.col(c)).alias(c) for c in REVIEW_COLUMNS], SEQ)
 

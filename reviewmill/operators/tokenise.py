@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from reviewmill.functions import tokens as tk
 from reviewmill.schema import PRODUCT, SEQ
-from reviewmill.sources.dictionaries import stopword_list
 
 TEXT = "review_text"
 
@@ -16,15 +15,13 @@ def review_tokens(reviews: DataFrame, stopwords: list[str] | DataFrame = tk.STOP
     """``(product, seq, tokens)`` with the stems of each review in order.
 
     Reviews left without tokens stay, with an empty list: their product still counts.
-    Stopwords come as a list, or as a table with a column ``word``.  A short table becomes
-    part of the expression, a long one is joined.
+    A review without a text has none.  Stopwords come as a list, which becomes part of the
+    expression, or as a table with a column ``word``, which is joined; the results are the same.
     """
     if isinstance(stopwords, DataFrame):
-        listed = stopword_list(stopwords)
-        if listed is None:
-            return _tokens_by_join(reviews, stopwords)
-        stopwords = listed
-    return reviews.select(PRODUCT, SEQ, tk.review_tokens(F.col(TEXT), stopwords).alias("tokens"))
+        return _tokens_by_join(reviews, stopwords)
+    text = F.coalesce(F.col(TEXT), F.lit(""))
+    return reviews.select(PRODUCT, SEQ, tk.review_tokens(text, stopwords).alias("tokens"))
 
 
 def _tokens_by_join(reviews: DataFrame, stopwords: DataFrame) -> DataFrame:

@@ -24,9 +24,6 @@ HIGH_SHARE = 0.95
 MIN_PAIR_COUNT = 2
 TOP_PAIRS = 200
 
-# Up to this many terms are sent to the tasks that filter tokens; more are joined.
-MAX_LISTED_TERMS = 1_000_000
-
 INDEX_PREFIX = 3
 
 
@@ -49,12 +46,6 @@ def in_band(
     return frequency.filter((df >= F.lit(low) * total) & (df < F.lit(high) * total))
 
 
-def _term_array(terms: DataFrame, at_most: int) -> pa.Array | None:
-    """The terms, when there are no more than ``at_most``, else ``None``."""
-    found = terms.select("term").limit(at_most + 1).toArrow()["term"].combine_chunks()
-    return found if len(found) <= at_most else None
-
-
 def _keep_only(terms: Broadcast):
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def keep_only(tokens: pa.Array) -> pa.Array:
@@ -80,18 +71,19 @@ def _neighbours_in_rows(tokens: DataFrame, terms: DataFrame) -> DataFrame:
     return kept.select(F.col("term").alias("w1"), following.alias("w2")).filter(F.col("w2").isNotNull())
 
 
-def pair_counts(tokens: DataFrame, terms: DataFrame, max_listed: int = MAX_LISTED_TERMS) -> DataFrame:
+def pair_counts(tokens: DataFrame, terms: DataFrame, in_rows: bool = False) -> DataFrame:
     """``(w1, w2, n)``: neighbours inside a review once all other tokens are removed.
 
-    Up to ``max_listed`` terms, counted first, are sent to the tasks and the token lists are
-    filtered where they are: only pair counts are shuffled.  With more terms, tokens are spread
-    into rows, joined with the terms, and put back into order review by review.
-
-    A term of the band lies in a fixed share of all products, so there are at most
-    ``1 / low`` times as many terms as an average product has.
+    The terms are sent to the tasks and the token lists are filtered where they are: only pair
+    counts are shuffled.  A term of the band lies in a share ``low`` of all products at least, so
+    there are at most ``1 / low`` times as many terms as an average product has, however many
+    products there are.  For other terms there is ``in_rows``: tokens are spread into
+    rows, joined with the terms and put back into order review by review; the result is the same.
     """
-    listed = _term_array(terms, max_listed)
-    pairs = _neighbours_in_rows(tokens, terms) if listed is None else _neighbours_in_lists(tokens, listed)
+    if in_rows:
+        pairs = _neighbours_in_rows(tokens, terms)
+    else:
+        pairs = _neighbours_in_lists(tokens, terms.select("term").toArrow()["term"].combine_chunks())
     return pairs.groupBy("w1", "w2").agg(F.count("*").alias("n"))
 
 
@@ -137,7 +129,7 @@ def dense_index(df: DataFrame, column: str, name: str = "idx", prefix: int = IND
 
 @dataclass
 class Vocabulary:
-    """A fitted vocabulary.  All tables are staged copies."""
+    """A fitted vocabulary.  The counts and the few best pairs are staged copies, the rest follows from them."""
 
     counts: DataFrame  # (product, term, n) of every token
     unigrams: DataFrame  # (term, product_count, n) within the band
@@ -160,10 +152,10 @@ def fit(
     high: float = HIGH_SHARE,
     min_count: int = MIN_PAIR_COUNT,
     top: int = TOP_PAIRS,
-    max_listed: int = MAX_LISTED_TERMS,
+    in_rows: bool = False,
 ) -> Vocabulary:
     """Fit a vocabulary on staged token lists."""
     counts = stage(term_counts(tokens), "counts")
-    unigrams = stage(in_band(term_frequency(counts), tokens, low, high), "unigrams")
-    pairs = stage(top_pairs(pair_counts(tokens, unigrams, max_listed), unigrams, min_count, top), "pairs")
-    return Vocabulary(counts, unigrams, pairs, stage(vocabulary_terms(unigrams, pairs), "terms"))
+    unigrams = in_band(term_frequency(counts), tokens, low, high)
+    pairs = stage(top_pairs(pair_counts(tokens, unigrams, in_rows), unigrams, min_count, top), "pairs")
+    return Vocabulary(counts, unigrams, pairs, vocabulary_terms(unigrams, pairs))

@@ -30,7 +30,7 @@ def ingest(
     parts = []
     if workbook_pattern:
         rows = workbook.read_workbooks(spark, folder, workbook_pattern)
-        parts.append(table.typed(workbook.workbook_reviews(rows)))
+        parts.append(table.typed(workbook.workbook_reviews(rows), missing_flag=None))
     records = tagged_text.read_records(spark, folder, text_pattern)
     parts.append(table.typed(extract.extract_fields(records)))
     return stage(standard_reviews(*parts, compat=compat), "reviews")

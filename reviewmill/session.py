@@ -63,11 +63,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return copy
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share out rows when a scan has fewer partitions than there are cores.
-
-    Files that cannot be split leave most cores idle.  Inputs with enough partitions, so all
-    large ones, pass through untouched.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A new place for files in the shared folder, removed when the driver ends."""
+    location = f"{shared_folder(spark)}/reviewmill-{label}-{uuid.uuid4().hex}"
+    path, files = _path(spark, location)
+    files.deleteOnExit(path)
+    return location

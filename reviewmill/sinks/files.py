@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.operators.nest import MAX_DOCUMENT_BYTES, document_lines, nest
+from reviewmill.operators.nest import CHUNK_BITS, document_lines, nest
 from reviewmill.operators.vectors import vector_lines, vocabulary_lines
 from reviewmill.schema import PRODUCT
 
-SMALL_EXPORT_BYTES = 256 * 1024 * 1024
-
 
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
     """UTF-8 with a header, no index column."""
@@ -27,22 +25,33 @@ def write_helpful_flags(flags: DataFrame, path: str, mode: str = "error") -> Non
     write_csv(flags.withColumn("is_helpful", F.initcap(F.col("is_helpful").cast("string"))), path, mode)
 
 
-def write_nested(reviews: DataFrame, path: str, mode: str = "error", max_bytes: int = MAX_DOCUMENT_BYTES) -> None:
+def write_nested(reviews: DataFrame, path: str, mode: str = "error", chunk_bits: int = CHUNK_BITS) -> None:
     """One JSON document per line; see :func:`reviewmill.operators.nest.nest`."""
-    document_lines(nest(reviews, max_bytes)).select("value").write.mode(mode).text(path)
-
-
-def export_single_object(reviews: DataFrame, path: str, mode: str = "error", limit: int = SMALL_EXPORT_BYTES) -> None:
-    """All products in one JSON object in one file: refused beyond ``limit`` bytes."""
-    lines = document_lines(nest(reviews, limit)).select(PRODUCT, "value")
-    size = lines.agg(F.sum(F.octet_length("value"))).first()[0] or 0
-    if size > limit:
-        raise ValueError(f"{size} bytes are too many for a single object; use write_nested")
-    body = F.substr("value", F.lit(2), F.length("value") - 2)
-    # The size just checked bounds this one row.
-    whole = lines.agg(F.sort_array(F.collect_list(F.struct(PRODUCT, body.alias("body")))).alias("all"))
-    text = F.concat(F.lit("{\n"), F.array_join("all.body", ",\n"), F.lit("\n}"))
-    whole.select(text.alias("value")).write.mode(mode).text(path)
+    document_lines(nest(reviews, chunk_bits)).select("value").write.mode(mode).text(path)
+
+
+def export_single_object(reviews: DataFrame, path: str, mode: str = "error", chunk_bits: int = CHUNK_BITS) -> None:
+    """All products in one JSON object, one key each, over the part files in their order.
+
+    The chunks of a product are lines of one list; nothing is gathered.
+    """
+    documents = nest(reviews, chunk_bits)
+    ends = documents.groupBy(PRODUCT).agg(F.min("chunk").alias("first"), F.max("chunk").alias("last"))
+    edge = ends.agg(F.min(PRODUCT).alias("low"), F.max(PRODUCT).alias("high")).first()
+    if edge.low is None:
+        reviews.sparkSession.range(1).select(F.lit("{}").alias("value")).write.mode(mode).text(path)
+        return
+    listed = F.to_json("reviews")
+    name = F.to_json(F.array(PRODUCT))
+    opens, closes = F.col("chunk") == F.col("first"), F.col("chunk") == F.col("last")
+    line = F.concat(
+        F.when(opens & (F.col(PRODUCT) == edge.low), "{\n").otherwise(""),
+        F.when(opens, F.concat(F.substr(name, F.lit(2), F.length(name) - 2), F.lit(':{"reviews":['))).otherwise(""),
+        F.substr(listed, F.lit(2), F.length(listed) - 2),
+        F.when(~closes, ",").when(F.col(PRODUCT) == edge.high, "]}\n}").otherwise("]},"),
+    )
+    lines = documents.join(ends, PRODUCT).select(PRODUCT, "chunk", line.alias("value"))
+    lines.orderBy(PRODUCT, "chunk").select("value").write.mode(mode).text(path)
 
 
 def write_vocabulary(terms: DataFrame, path: str, mode: str = "error") -> None:

@@ -7,20 +7,12 @@ from pyspark.sql import functions as F
 
 from reviewmill.schema import PRODUCT
 
-MAX_STOPWORDS = 5_000
-
 
 def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
     """One word per line, repeats dropped."""
     return spark.read.text(path).select(F.col("value").alias("word")).distinct()
 
 
-def stopword_list(words: DataFrame, at_most: int = MAX_STOPWORDS) -> list[str] | None:
-    """The words as a list when they are few enough to be part of a plan, else ``None``."""
-    found = words.select("word").limit(at_most + 1).toPandas()["word"].tolist()
-    return sorted(found) if len(found) <= at_most else None
-
-
 def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
     """``term:idx`` lines as ``(term, idx)``."""
     parts = F.split(F.trim("value"), ":")

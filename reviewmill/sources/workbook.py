@@ -35,13 +35,16 @@ def _sheets(book: zipfile.ZipFile) -> list[tuple[str, str]]:
 
 
 def _text(node) -> str:
-    return "".join(t.text or "" for t in node.iter(MAIN + "t"))
+    """Plain and rich text of a string item, without its phonetic runs."""
+    runs = [node.find(MAIN + "t"), *(r.find(MAIN + "t") for r in node.findall(MAIN + "r"))]
+    return "".join(t.text or "" for t in runs if t is not None)
 
 
 def _cell(cell, shared: list[str]) -> str | None:
     kind = cell.get("t")
     if kind == "inlineStr":
-        return _text(cell)
+        inline = cell.find(MAIN + "is")
+        return "" if inline is None else _text(inline)
     value = cell.findtext(MAIN + "v")
     if value is None:
         return None
@@ -52,13 +55,24 @@ def _cell(cell, shared: list[str]) -> str | None:
     return value
 
 
+def _column(reference: str) -> int:
+    """Column number of a cell reference such as ``AB12``."""
+    number = 0
+    for letter in re.match("[A-Z]+", reference).group():
+        number = number * 26 + ord(letter) - ord("A") + 1
+    return number
+
+
 def _rows(book: zipfile.ZipFile, part: str, shared: list[str]) -> Iterator[dict[str, str | None]]:
-    header: dict[str, str] | None = None
+    header: dict[int, str] | None = None
     with book.open(part) as stream:
         for _, node in ElementTree.iterparse(stream):
             if node.tag != MAIN + "row":
                 continue
-            cells = {re.match("[A-Z]+", c.get("r")).group(): _cell(c, shared) for c in node.iter(MAIN + "c")}
+            cells, at = {}, 0
+            for c in node.iter(MAIN + "c"):
+                at = _column(c.get("r")) if c.get("r") else at + 1  # references may be left out
+                cells[at] = _cell(c, shared)
             node.clear()
             if header is None:
                 header = {k: v for k, v in cells.items() if v is not None}

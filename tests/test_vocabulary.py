@@ -40,10 +40,10 @@ def test_against_brute_force(tokens, fitted, rows):
     assert lines["p0"] == "p0," + ",".join(f"{i}:{n}" for i, n in sorted(expected["p0"].items()))
 
 
-@pytest.mark.parametrize("max_listed", [0, 1_000_000])
-def test_both_ways_to_count_pairs(tokens, fitted, rows, max_listed):
+@pytest.mark.parametrize("in_rows", [False, True])
+def test_both_ways_to_count_pairs(tokens, fitted, rows, in_rows):
     pairs = brute_vocabulary(rows, LOW, HIGH, FLOOR, TOP)[1]
-    found = {(r.w1, r.w2): r.n for r in vocabulary.pair_counts(tokens, fitted.unigrams, max_listed).collect()}
+    found = {(r.w1, r.w2): r.n for r in vocabulary.pair_counts(tokens, fitted.unigrams, in_rows).collect()}
     assert found == pairs
 
 
@@ -78,12 +78,12 @@ def test_boundary_inside_reviews_only(spark):
     assert count == {"product": {"p": 1, "q": 2}, "review": {"q": 2}}
 
 
-def test_stopwords_from_table(spark, rows, monkeypatch):
+def test_stopwords_from_table(spark, rows):
+    rows = [*rows, ("p1", -1, None), ("p1", -2, ""), ("p1", -3, "the and")]
     reviews = spark.createDataFrame(rows, TYPES)
     words = spark.createDataFrame([(w,) for w in STOPWORDS], "word string")
-    expected = sorted((r[0], r[1], token_list(r[2])) for r in rows)
-    assert sorted(map(tuple, review_tokens(reviews, words).collect())) == expected
-    monkeypatch.setattr("reviewmill.operators.tokenise.stopword_list", lambda w: None)
+    expected = sorted((r[0], r[1], token_list(r[2] or "")) for r in rows)
+    assert sorted(map(tuple, review_tokens(reviews, STOPWORDS).collect())) == expected
     assert sorted(map(tuple, review_tokens(reviews, words).collect())) == expected
     left = without_stopwords(spark.createDataFrame([("the",), ("glue",), ("glue",)], "word string"), words)
     assert [r.word for r in left.collect()] == ["glue", "glue"]
