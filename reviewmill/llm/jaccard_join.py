@@ -11,8 +11,10 @@
    sets scan inverted lists, one for each of their first ``d + 1`` elements; light sets within reach of the
    boundary are in these lists too.  The boundary minimises the estimated cost: subsets to enumerate against
    list entries to scan, summed by size.
-4. Within a list (of one size band, as sets that link differ in size by a tenth at most) every member is
-   first held against the list's smallest id; exact intersections of whole sets decide.  Components
+4. A pair is held against each other only if it can link by size and by parity: every element that only one of
+   two sets has flips one bit of ``BITS`` parity bits, so their maps differ in no more bits than the sets differ in elements.
+5. Within a list (of one size band, as sets that link differ in size by a tenth at most) every member is
+   first held against the list's smallest id (its pivot); exact intersections of whole sets decide.  Components
    of these links are found, and then every pair of a list across components is held against each other.
    Pairs within a component are not: they cannot change it.  So a group of copies costs as many
    comparisons as it has members, and no link between different components is lost.
@@ -33,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.llm.arrays import lower_ascii, mixed, slices, words_of
@@ -41,8 +43,12 @@ from reviewmill.session import Scratch, stage
 
 THRESHOLD = 90  # per cent
 BLOCK = 2.2  # times the share that a set may miss: the part of the hash range that the block takes
+ENTRY = 20  # cost of one list entry, in looks at an entry of a list
 BETWEEN = 1 << 40  # frequency rank of elements outside the block
-NARROW = "doc_id long, n int, sig_a long, sig_b long, block array<long>, tail array<long>"
+BITS = 512  # of the parity map of a set
+WORDS = BITS // 64
+PARITY = [f"p{k}" for k in range(WORDS)]
+NARROW = "doc_id long, n int, sig_a long, sig_b long, parity array<long>, block array<long>, tail array<long>"
 
 
 def factor(k: int) -> np.uint64:
@@ -102,13 +108,18 @@ def narrow_batches(width: int, threshold: int):
                 missing = prefix(len(s), threshold) + 2 - len(block)
                 blocks.append(block)
                 tails.append(s[~inside][: max(missing, 0)])
+            owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            bit = (np.concatenate([*sets, np.empty(0, np.int64)]) >> 8) & (BITS - 1)
+            odd = (np.bincount(owner * BITS + bit, minlength=len(sets) * BITS) & 1).astype(np.uint8)
+            parity = np.packbits(odd.reshape(-1, BITS), axis=1).reshape(-1).view(np.int64)
+            parity = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * WORDS), pa.array(parity))
             signs = np.array(sums, dtype=np.uint64).reshape(-1, 2).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), pa.array([len(s) for s in sets], pa.int32()),
-                    pa.array(signs[:, 0].copy()), pa.array(signs[:, 1].copy()), listed(blocks), listed(tails),
+                    pa.array(signs[:, 0].copy()), pa.array(signs[:, 1].copy()), parity, listed(blocks), listed(tails),
                 ],
-                names=["doc_id", "n", "sig_a", "sig_b", "block", "tail"],
+                names=["doc_id", "n", "sig_a", "sig_b", "parity", "block", "tail"],
             )
 
     return run
@@ -143,8 +154,8 @@ def boundary(beginnings: DataFrame) -> int:
     """The size from which inverted lists are estimated to be cheaper than pairs of elements."""
     costs = beginnings.select(
         F.floor(F.log2(F.col("n")) * 4).alias("band"),
-        F.expr("size(begin) * (size(begin) - 1) / 2").alias("pairs"),
-        F.expr("aggregate(begin, 0D, (a, x) -> a + least(x.f, 1000000))").alias("scans"),
+        F.expr(f"{ENTRY}D * size(begin) * (size(begin) - 1) / 2").alias("pairs"),
+        F.expr(f"{ENTRY}D * size(begin) + aggregate(begin, 0D, (a, x) -> a + x.f % {BETWEEN})").alias("scans"),
     )
     rows = costs.groupBy("band").agg(F.sum("pairs").alias("pairs"), F.sum("scans").alias("scans")).collect()
     rows = sorted((r.band, r.pairs, r.scans) for r in rows)
@@ -153,6 +164,14 @@ def boundary(beginnings: DataFrame) -> int:
     return math.ceil(2 ** (min(options)[1] / 4)) if rows else 1
 
 
+def near(threshold: int, x: str, y: str) -> Column:
+    """Whether sets x and y (columns ``n``, ``parity`` with these endings) can link by size and parity."""
+    n, m = F.col(f"n{x}").cast("long"), F.col(f"n{y}").cast("long")
+    apart = sum(F.bit_count(F.col(f"p{k}{x}").bitwiseXOR(F.col(f"p{k}{y}"))) for k in range(WORDS))
+    sizes = (100 * n >= threshold * m) & (100 * m >= threshold * n)
+    return sizes & ((100 + threshold) * apart <= (100 - threshold) * (n + m))
+
+
 def beginnings(classes: DataFrame, threshold: int) -> DataFrame:
     """Per class the elements of its beginning that another class has, with their place."""
     # Sets of one doc_id are told apart by a piece of their signature.
@@ -167,11 +186,11 @@ def beginnings(classes: DataFrame, threshold: int) -> DataFrame:
         F.sum((F.col("f") < BETWEEN).cast("int")).alias("hits"),
     )
     rows = rows.withColumn("room", F.expr(f"n - int(ceil({threshold} * n / 100)) + 2 - (size - hits)"))
-    return rows.select("rep", "n", "room", F.expr("slice(begin, 1, greatest(room, 0))").alias("begin")).filter("size(begin) > 0")
+    return rows.select("rep", "tag", "n", "room", F.expr("slice(begin, 1, greatest(room, 0))").alias("begin")).filter("size(begin) > 0")
 
 
 def entries(begin: DataFrame, heavy_from: int, threshold: int) -> DataFrame:
-    """Members of lists: (key, band, rep, n)."""
+    """Members of lists: (key, band, rep, n, parity)."""
     single = "transform(slice(begin, 1, greatest(room - 1, 0)), x -> xxhash64(x.h))"
     double = (
         "flatten(transform(begin, (x, i) -> transform(slice(begin, i + 2, size(begin)),"
@@ -182,9 +201,9 @@ def entries(begin: DataFrame, heavy_from: int, threshold: int) -> DataFrame:
         f" CASE WHEN n < {heavy_from} THEN {double} ELSE array() END)"
     )
     band = F.floor(F.log("n") / math.log(100 / threshold))
-    rows = begin.select("rep", "n", F.explode(F.expr(keys)).alias("key"), band.alias("g"))
+    rows = begin.select("rep", "n", *PARITY, F.explode(F.expr(keys)).alias("key"), band.alias("g"))
     # Sets that link differ by one band at most, save for rounding; they meet in one of three.
-    return rows.select("key", F.explode(F.expr("array(g, g + 1)")).alias("band"), "rep", "n").distinct()
+    return rows.select("key", F.explode(F.expr("array(g, g + 1)")).alias("band"), "rep", "n", *PARITY)
 
 
 def verified(docs: DataFrame, pairs: DataFrame, scratch: Scratch, width: int, threshold: int) -> DataFrame:
@@ -210,30 +229,35 @@ def join(docs: DataFrame, width: int = 3, threshold: int = THRESHOLD) -> DataFra
         classes = sets.filter(f"n >= {alone}").groupBy(*signature).agg(
             F.min("doc_id").alias("rep"), F.first("block").alias("block"), F.first("tail").alias("tail")
         )
-        begin = scratch.stage(beginnings(classes, threshold), "beginnings")
+        maps = sets.select(
+            F.col("doc_id").alias("rep"), "n", F.shiftright("sig_a", 48).cast("int").alias("tag"),
+            *[F.col("parity")[k].alias(f"p{k}") for k in range(WORDS)],
+        ).distinct()
+        begin = scratch.stage(beginnings(classes, threshold).join(maps, ["rep", "n", "tag"]), "beginnings")
         members = entries(begin, boundary(begin), threshold)
-        lists = members.groupBy("key", "band").agg(F.min("rep").alias("pivot"), F.min_by("n", "rep").alias("pivot_n"), F.count("*").alias("m"))
-        members = scratch.stage(members.join(lists.filter("m > 1"), ["key", "band"]).drop("m"), "lists")
-
-        def close(x, y):
-            return (100 * F.col(x) >= threshold * F.col(y)) & (100 * F.col(y) >= threshold * F.col(x))
+        lists = members.groupBy("key", "band").agg(F.min_by(F.struct("rep", "n", *PARITY), "rep").alias("x"), F.count("*").alias("m"))
+        pivots = lists.filter("m > 1").select(
+            "key", "band", *[F.col(f"x.{c}").alias(f"{c}_p") for c in ["rep", "n", *PARITY]]
+        )
+        members = members.join(pivots, ["key", "band"]).withColumn("near_p", near(threshold, "", "_p"))
+        members = scratch.stage(members.select("key", "band", "rep", "n", *PARITY, "rep_p", "near_p"), "lists")
 
-        stars = members.filter((F.col("pivot") < F.col("rep")) & close("n", "pivot_n"))
-        stars = scratch.stage(stars.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), "stars")
+        stars = members.filter((F.col("rep_p") < F.col("rep")) & F.col("near_p"))
+        stars = scratch.stage(stars.select(F.col("rep_p").alias("a"), F.col("rep").alias("b")).distinct(), "stars")
         links = scratch.stage(verified(docs, stars, scratch, width, threshold), "verified")
         label = components(links, scratch)
 
+        members = members.drop("near_p")
         marked = members.join(label.toDF("rep", "c"), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
-        marked = marked.join(label.toDF("pivot", "pc"), "pivot", "left").withColumn("pc", F.coalesce("pc", "pivot"))
-        marked = scratch.stage(marked, "marked")
-        others = marked.filter("c <> pc").select(
-            "key", "band", F.col("rep").alias("o"), F.col("n").alias("o_n"), F.col("c").alias("o_c")
+        marked = marked.join(label.toDF("rep_p", "c_p"), "rep_p", "left").withColumn("c_p", F.coalesce("c_p", "rep_p"))
+        others = marked.filter("c <> c_p").select(
+            "key", "band", *[F.col(c).alias(f"{c}_o") for c in ["rep", "n", "c", *PARITY]]
         )
         # An outsider meets the members of other components; of two outsiders the smaller comes first.
-        crossed = others.join(marked.filter("rep <> pivot"), ["key", "band"]).filter(
-            (F.col("c") != F.col("o_c")) & close("n", "o_n") & ((F.col("c") == F.col("pc")) | (F.col("o") < F.col("rep")))
-        )
-        crossed = crossed.select(F.least("o", "rep").alias("a"), F.greatest("o", "rep").alias("b")).distinct()
+        once = (F.col("c") == F.col("c_p")) | (F.col("rep_o") < F.col("rep"))
+        crossed = others.join(marked.filter("rep <> rep_p"), ["key", "band"])
+        crossed = crossed.filter((F.col("c") != F.col("c_o")) & once & near(threshold, "", "_o"))
+        crossed = crossed.select(F.least("rep_o", "rep").alias("a"), F.greatest("rep_o", "rep").alias("b")).distinct()
         crossed = scratch.stage(crossed.join(stars, ["a", "b"], "left_anti"), "crossed")
         more = scratch.stage(verified(docs, crossed, scratch, width, threshold), "verified")
         label = components(links.union(more), scratch).toDF("class_id", "component")
