@@ -18,6 +18,7 @@ from; without rows of both labels all scores are the mean label (0.5 without any
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -31,13 +32,14 @@ from reviewmill.llm.arrays import Words, mixed, slices, span_hashes, words_of
 from reviewmill.llm.learning import bounded, held_out
 
 FIT_ROWS = 6_000
-FIT_WINDOWS = 48
+FIT_WINDOWS = 32
 WINDOW, STRIDE = 24, 12
 WORDS, GRAMS, STEMS = 1 << 14, 1 << 12, 1 << 15
 WORD_SIZE, GRAM_SIZE, STEM_SIZE, HIDDEN = 8, 6, 6, 8
 SIZE = WORD_SIZE + GRAM_SIZE + STEM_SIZE
 LENGTHS = (4, 5, 6, 7, 8)
 SLICE = 1 << 19
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BATCH, RATE, ROUNDS, EPOCHS = 256, 0.015, 3, 3
 Net = dict[str, np.ndarray]
 
@@ -213,16 +215,22 @@ def train(texts: list[str], doc: np.ndarray, label: np.ndarray, seed: int = 11)
         net["out"][:] = 0
         net["bias"][:] = np.log(share / (1 - share))
         return net
-    words = words_of(pc.utf8_lower(pa.array(texts, pa.large_string())))
-    v, place = vocabulary(words)
-    counts = np.bincount(words.doc, minlength=len(texts))
-    ids, live = laid(np.cumsum(counts) - counts, np.minimum(counts, WINDOW), place)
+    # Words are numbered first, so that arrays over bytes are needed for distinct words alone.
+    number: dict[str, int] = {}
+    split = [WORD.findall(t) for t in pc.utf8_lower(pa.array(texts, pa.large_string())).to_pylist()]
+    flat = np.array([number.setdefault(w, len(number)) for t in split for w in t], dtype=np.int64)
+    counts = np.array([len(t) for t in split], dtype=np.int64)
+    del split
+    v, place = vocabulary(words_of(pa.array([" ".join(number)], pa.large_string())))
+    flat = place[flat]
+    window = np.repeat(np.arange(len(counts)), counts)
+    ids, live = laid(np.cumsum(counts) - counts, np.minimum(counts, WINDOW), flat)
 
     # Log-odds of words and beginnings between toxic and clean documents: the first choice and the first input.
     toxic_docs, clean_docs = np.unique(doc[label == 1]), np.unique(doc[label == 0])
 
     def log_odds(bucket: np.ndarray, size: int) -> np.ndarray:
-        pairs = np.unique(doc[words.doc] * size + bucket[place])
+        pairs = np.unique(doc[window] * size + bucket[flat])
         toxic = np.isin(pairs // size, toxic_docs)
         in_toxic = np.bincount(pairs[toxic] % size, minlength=size)
         in_clean = np.bincount(pairs[~toxic] % size, minlength=size)
@@ -237,7 +245,7 @@ def train(texts: list[str], doc: np.ndarray, label: np.ndarray, seed: int = 11)
         net["stem"][:, 0] += odds / 3
         evidence = np.maximum(evidence, odds[v.stem[:, k]])
     belief = np.full(len(texts), -9.0, np.float32)
-    np.maximum.at(belief, words.doc, evidence[place])
+    np.maximum.at(belief, window, evidence[flat])
 
     moment = {k: [np.zeros_like(p), np.zeros_like(p)] for k, p in net.items()}
     step = 0
