@@ -30,7 +30,7 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.digest(mixing.scheduled(table(spark, folder, "documents")))
+    return mixing.digest(mixing.scheduled(table(spark, folder, "documents"), keep=["doc_id", "source"]))
 
 
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:

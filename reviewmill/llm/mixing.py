@@ -81,11 +81,15 @@ def period(quota: DataFrame) -> DataFrame:
 
 
 def scheduled(
-    docs: DataFrame, block: int = BLOCK, slots: int = SLOTS, weights: Mapping[str, float] | None = None
+    docs: DataFrame,
+    block: int = BLOCK,
+    slots: int = SLOTS,
+    weights: Mapping[str, float] | None = None,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """``docs`` as a struct ``row`` with block, slot, release, deadline and position of each."""
+    """The ``keep`` columns (all by default) as a struct ``row`` with block, slot, release, deadline and position."""
     rows = docs.select(
-        F.struct(*docs.columns).alias("row"),
+        F.struct(*(docs.columns if keep is None else keep)).alias("row"),
         F.coalesce(F.col("source").cast("string"), F.lit(NONE)).alias("_source"),
         F.col("doc_id").cast("long").alias("_id"),
         F.xxhash64(F.col("text").cast("string")).alias("_tie"),
