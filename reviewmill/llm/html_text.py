@@ -120,6 +120,9 @@ class Tree(HTMLParser):
             if self.stack[k].tag in bound:
                 return
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        return self.parse_bogus_comment(i)  # as pages are read, whatever the section is called
+
     def handle_data(self, data: str) -> None:
         if not self.hidden:
             self.stack[-1].parts.append(data)

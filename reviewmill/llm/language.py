@@ -134,11 +134,14 @@ def identify(
 ) -> DataFrame:
     """The ``keep`` columns (doc_id alone by default) with predicted language and score."""
     keep = ["doc_id"] if keep is None else keep
-    rows = docs.select(F.col("text").cast("string").alias("_read"), *keep)
+    name = "_read"
+    while name in keep:
+        name += "_"
+    rows = docs.select(F.col("text").cast("string").alias(name), *keep)
     schema = T.StructType(rows.schema.fields[1:]).add(names[0], "string").add(names[1], "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_read"):
+        for batch in slices(batches, name):
             language, score = decided(filters, batch.column(0))
             columns = [*batch.columns[1:], pa.array(language, pa.string()), pa.array(score, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
