@@ -6,7 +6,7 @@ beginnings of 4 to 8 bytes, so the spelling of unknown words counts.  Two gated
 pools their states, and a logistic unit scores it.  A text's score is that of its highest window, at every
 length.
 
-Learning takes ``fit_rows`` labelled documents at most (6,000, evenly by hash of doc_id) and ``FIT_WINDOWS`` evenly placed
+Learning takes ``fit_rows`` labelled documents at most (4,000, evenly by hash of doc_id) and ``FIT_WINDOWS`` evenly placed
 windows of each.  Labels belong to documents, so windows of toxic documents are chosen anew in every round: first
 by the log-odds of their words and beginnings, then by the network; clean documents give windows at random and those that the network
 holds most toxic.  The network is small and is trained on the driver.
@@ -19,6 +19,7 @@ from; without rows of both labels all scores are the mean label (0.5 without any
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -31,14 +32,15 @@ from pyspark.sql import functions as F
 from reviewmill.llm.arrays import Words, mixed, slices, span_hashes, words_of
 from reviewmill.llm.learning import bounded, held_out
 
-FIT_ROWS = 6_000
-FIT_WINDOWS = 32
+FIT_ROWS = 4_000
+FIT_WINDOWS = 24
 WINDOW, STRIDE = 24, 12
 WORDS, GRAMS, STEMS = 1 << 14, 1 << 12, 1 << 15
 WORD_SIZE, GRAM_SIZE, STEM_SIZE, HIDDEN = 8, 6, 6, 8
 SIZE = WORD_SIZE + GRAM_SIZE + STEM_SIZE
 LENGTHS = (4, 5, 6, 7, 8)
 SLICE = 1 << 19
+PART = 1 << 14  # words at a time where arrays over their bytes are made
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BATCH, RATE, ROUNDS, EPOCHS = 256, 0.015, 3, 3
 Net = dict[str, np.ndarray]
@@ -53,22 +55,30 @@ class Vocabulary(NamedTuple):
     gram_word: np.ndarray
 
 
+def ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges, and the range of each."""
+    length = ends - starts
+    owner = np.repeat(np.arange(len(starts)), length)
+    return np.arange(len(owner)) + np.repeat(starts - np.cumsum(length) + length, length), owner
+
+
 def vocabulary(words: Words) -> tuple[Vocabulary, np.ndarray]:
     """The distinct words, and the number of each word among them."""
     distinct, first, place = np.unique(words.hashes, return_index=True, return_inverse=True)
     starts, ends = words.starts[first], words.ends[first]
-    length = ends - starts
-    total = int(length.sum())
-    word = np.repeat(np.arange(len(distinct)), length)
-    at = np.arange(total) - np.repeat(np.cumsum(length) - length, length) + np.repeat(starts, length)
-    data = words.data
-    middle = data[at].astype(np.uint64) if total else np.empty(0, np.uint64)
-    left = np.where(at > starts[word], data[np.maximum(at - 1, 0)], 32).astype(np.uint64) if total else middle
-    right = np.where(at + 1 < ends[word], data[np.minimum(at + 1, len(data) - 1)], 32).astype(np.uint64) if total else middle
-    gram = mixed((left << np.uint64(16)) | (middle << np.uint64(8)) | right) % np.uint64(GRAMS)
+    data, grams, owners = words.data, [np.empty(0, np.int32)], [np.empty(0, np.int32)]
+    for a in range(0, len(distinct), PART):
+        begin, end = starts[a : a + PART], ends[a : a + PART]
+        at, word = ranges(begin, end)
+        left = np.where(at > begin[word], data[np.maximum(at - 1, 0)], 32).astype(np.uint64)
+        right = np.where(at + 1 < end[word], data[np.minimum(at + 1, len(data) - 1)], 32).astype(np.uint64)
+        key = (left << np.uint64(16)) | (data[at].astype(np.uint64) << np.uint64(8)) | right
+        grams.append((mixed(key) % np.uint64(GRAMS)).astype(np.int32))
+        owners.append((word + a).astype(np.int32))
+    gram, word = np.concatenate(grams), np.concatenate(owners)
     stems = [span_hashes(data, starts, np.minimum(starts + n, ends)) + np.uint64(n) for n in LENGTHS]
-    stem = (mixed(np.stack(stems, axis=1)) % np.uint64(STEMS)).astype(np.int64)
-    return Vocabulary((distinct % np.uint64(WORDS)).astype(np.int64), stem, gram.astype(np.int64), word), place
+    stem = (mixed(np.stack(stems, axis=1)) % np.uint64(STEMS)).astype(np.int32)
+    return Vocabulary((distinct % np.uint64(WORDS)).astype(np.int64), stem, gram, word), place
 
 
 def windows(doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -102,11 +112,18 @@ def initial(rnd: np.random.Generator) -> Net:
 
 def embedded(net: Net, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Inputs of the distinct words, and their numbers of trigrams."""
-    counts = np.maximum(np.bincount(v.gram_word, minlength=len(v.bucket)), 1).astype(np.float32)
-    sums = np.concatenate([np.zeros((1, GRAM_SIZE), np.float64), np.cumsum(net["gram"][v.gram], axis=0, dtype=np.float64)])
     edges = np.searchsorted(v.gram_word, np.arange(len(v.bucket) + 1))
-    spelled = ((sums[edges[1:]] - sums[edges[:-1]]) / counts[:, None]).astype(np.float32)
-    return np.concatenate([net["word"][v.bucket], spelled, net["stem"][v.stem].mean(axis=1)], axis=1), counts
+    counts = np.maximum(np.diff(edges), 1).astype(np.float32)
+    x = np.empty((len(v.bucket), SIZE), np.float32)
+    for a in range(0, len(x), PART):
+        b = min(a + PART, len(x))
+        grams = net["gram"][v.gram[edges[a] : edges[b]]]
+        sums = np.concatenate([np.zeros((1, GRAM_SIZE), np.float64), np.cumsum(grams, axis=0, dtype=np.float64)])
+        inner = edges[a : b + 1] - edges[a]
+        x[a:b, :WORD_SIZE] = net["word"][v.bucket[a:b]]
+        x[a:b, WORD_SIZE : WORD_SIZE + GRAM_SIZE] = (sums[inner[1:]] - sums[inner[:-1]]) / counts[a:b, None]
+        x[a:b, WORD_SIZE + GRAM_SIZE :] = net["stem"][v.stem[a:b]].mean(axis=1)
+    return x, counts
 
 
 def forward(net: Net, gates: dict[str, np.ndarray], ids: np.ndarray, live: np.ndarray, keep: bool = False):
@@ -217,10 +234,12 @@ def train(texts: list[str], doc: np.ndarray, label: np.ndarray, seed: int = 11)
         return net
     # Words are numbered first, so that arrays over bytes are needed for distinct words alone.
     number: dict[str, int] = {}
-    split = [WORD.findall(t) for t in pc.utf8_lower(pa.array(texts, pa.large_string())).to_pylist()]
-    flat = np.array([number.setdefault(w, len(number)) for t in split for w in t], dtype=np.int64)
-    counts = np.array([len(t) for t in split], dtype=np.int64)
-    del split
+    flat, counts = array("q"), np.zeros(len(texts), dtype=np.int64)
+    for i, text in enumerate(pc.utf8_lower(pa.array(texts, pa.large_string()))):
+        before = len(flat)
+        flat.extend(number.setdefault(w, len(number)) for w in WORD.findall(text.as_py()))
+        counts[i] = len(flat) - before
+    flat = np.frombuffer(flat, dtype=np.int64) if flat else np.empty(0, np.int64)
     v, place = vocabulary(words_of(pa.array([" ".join(number)], pa.large_string())))
     flat = place[flat]
     window = np.repeat(np.arange(len(counts)), counts)
@@ -247,6 +266,7 @@ def train(texts: list[str], doc: np.ndarray, label: np.ndarray, seed: int = 11)
     belief = np.full(len(texts), -9.0, np.float32)
     np.maximum.at(belief, window, evidence[flat])
 
+    edges = np.searchsorted(v.gram_word, np.arange(len(v.bucket) + 1))
     moment = {k: [np.zeros_like(p), np.zeros_like(p)] for k, p in net.items()}
     step = 0
     for _ in range(ROUNDS):
@@ -266,8 +286,8 @@ def train(texts: list[str], doc: np.ndarray, label: np.ndarray, seed: int = 11)
         for _ in range(EPOCHS):
             for rows in np.array_split(rnd.permutation(picks), max(1, len(picks) // BATCH)):
                 used, local = np.unique(ids[rows], return_inverse=True)
-                grams = np.isin(v.gram_word, used)
-                part = Vocabulary(v.bucket[used], v.stem[used], v.gram[grams], np.searchsorted(used, v.gram_word[grams]))
+                grams, owner = ranges(edges[used], edges[used + 1])
+                part = Vocabulary(v.bucket[used], v.stem[used], v.gram[grams], owner)
                 grad = backward(net, part, local.reshape(ids[rows].shape), live[rows], label[rows].astype(np.float32))
                 step += 1
                 for k, g in grad.items():
