@@ -43,8 +43,9 @@ def quotas(rows: DataFrame, slots: int = SLOTS, weights: Mapping[str, float] | N
     if weights is None:
         weight = F.sqrt("count")
     else:
-        given = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair]) if weights else F.create_map()
-        weight = F.coalesce(given[F.col("_source")].cast("double"), F.lit(0.0))
+        weight = F.lit(0.0)
+        for name, share in weights.items():
+            weight = F.when(F.col("_source") == name, float(share)).otherwise(weight)
     everything = Window.partitionBy(F.lit(0))
     known = counts.withColumns({"weight": weight, "n": F.count("*").over(everything)})
     known = known.withColumn("slots", F.greatest(F.lit(slots), "n").cast("long"))

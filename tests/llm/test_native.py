@@ -162,8 +162,8 @@ def test_quality_counts_equal_plain_ones(spark):
 
 
 def test_lines_decide_on_documents(spark):
-    good = "\n".join(f"a line of {i} plain words that ends well and goes on for some time." for i in range(8))
-    menu = "\n".join(f"home | about {i} | contact | more of it to read and see" for i in range(8))
+    good = "\n".join(f"line{i} of{i} plain{i} words{i} that{i} ends{i} well{i} and{i} goes{i} on." for i in range(8))
+    menu = "\n".join(f"home{i} | about{i} | contact{i} | more{i} of{i} it{i} to{i} read{i}" for i in range(8))
     rows = [(1, good, "", ""), (2, menu, "", ""), (3, good + "\n" + menu[:60], "", "")]
     found = {r.doc_id: r for r in quality_rules.clean(frame(spark, rows)).collect()}
     assert found[1].kept and found[1].clean_text == good
