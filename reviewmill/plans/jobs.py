@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.functions.convert import parse_timestamp
 from reviewmill.functions.tokens import STOPWORDS
-from reviewmill.operators import extract, insights, summary, table, vectors, vocabulary
+from reviewmill.operators import extract, insights, summary, table, validate, vectors, vocabulary
 from reviewmill.operators.tokenise import review_tokens
 from reviewmill.session import stage
 from reviewmill.sinks import files
@@ -36,10 +36,11 @@ def ingest(
     return stage(standard_reviews(*parts, compat=compat), "reviews")
 
 
-def publish(reviews: DataFrame, folder: str) -> None:
-    """Summary CSV and nested JSON of a staged review table."""
+def publish(reviews: DataFrame, folder: str) -> bool:
+    """Summary CSV and nested JSON of a staged review table; whether the written documents are valid."""
     files.write_summary(summary.product_summary(reviews), f"{folder}/summary")
     files.write_nested(reviews, f"{folder}/nested")
+    return validate.verify(nested.read_documents(reviews.sparkSession, f"{folder}/nested"))
 
 
 def staged_tokens(
@@ -57,13 +58,20 @@ def vectorise(
     folder: str,
     min_reviews: int = summary.MIN_REVIEWS,
     stopwords: list[str] | DataFrame = STOPWORDS,
+    low: float = vocabulary.LOW_SHARE,
+    high: float = vocabulary.HIGH_SHARE,
+    min_count: int = vocabulary.MIN_PAIR_COUNT,
+    top: int = vocabulary.TOP_PAIRS,
+    boundary: str = "product",
+    whole_file: bool = False,
 ) -> vocabulary.Vocabulary:
-    """Nested JSON to vocabulary and vector files."""
-    texts = stage(nested.product_texts(nested.read_documents(spark, nested_path)), "texts")
+    """Nested JSON, by line or with ``whole_file`` one object a file, to vocabulary and vector files."""
+    texts = nested.product_texts(nested.read_documents(spark, nested_path, whole_file))
     tokens = staged_tokens(texts, min_reviews, stopwords)
-    fitted = vocabulary.fit(tokens)
+    fitted = vocabulary.fit(tokens, low, high, min_count, top)
     files.write_vocabulary(fitted.terms, f"{folder}/vocabulary")
-    files.write_vectors(vectors.count_vectors(tokens, fitted), tokens, f"{folder}/vectors")
+    found = stage(vectors.count_vectors(tokens, fitted, boundary), "vectors")
+    files.write_vectors(found, tokens, f"{folder}/vectors")
     return fitted
 
 
@@ -81,10 +89,15 @@ def typed_again(standard: DataFrame) -> DataFrame:
 
 
 def explore(
-    spark: SparkSession, nested_path: str, vocabulary_path: str, vectors_path: str, compat: bool = False
+    spark: SparkSession,
+    nested_path: str,
+    vocabulary_path: str,
+    vectors_path: str,
+    compat: bool = False,
+    whole_file: bool = False,
 ) -> dict[str, DataFrame]:
     """The reports over the files of the first two jobs, by name."""
-    flat = stage(nested.flatten(nested.read_documents(spark, nested_path)), "flat")
+    flat = stage(nested.flatten(nested.read_documents(spark, nested_path, whole_file)), "flat")
     typed = typed_again(flat)
     terms = dictionaries.read_vocabulary(spark, vocabulary_path)
     long = dictionaries.read_vectors(spark, vectors_path)

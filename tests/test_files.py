@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 from helpers import random_texts, token_list, write_workbook
@@ -257,3 +258,26 @@ def test_three_jobs_end_to_end(spark, tmp_path):
     assert token_list("workbook glue") == ["workbook", "glue"]
     for name, report in reports.items():
         assert report.count() > 0, name
+
+
+def test_workbook_without_references_and_with_blank_flags(spark, tmp_path):
+    import zipfile
+
+    header = ["review_text", "is_verified_purchase", "rating"]
+    rows = [header, ["glue", True, 4], ["tape", None, 5]]
+    (tmp_path / "refs").mkdir()
+    write_workbook(tmp_path / "refs" / "a.xlsx", {"s": rows})
+    with zipfile.ZipFile(tmp_path / "refs" / "a.xlsx") as book:
+        parts = {n: book.read(n).decode() for n in book.namelist()}
+    sheet = re.sub(r' r="[A-Z]+[0-9]+"', "", parts["xl/worksheets/sheet1.xml"])
+    # A cell left out needs an empty one in its place once references are gone.
+    parts["xl/worksheets/sheet1.xml"] = sheet.replace("</c><c><v>5", "</c><c/><c><v>5")
+    (tmp_path / "plain").mkdir()
+    with zipfile.ZipFile(tmp_path / "plain" / "a.xlsx", "w") as book:
+        for name, text in parts.items():
+            book.writestr(name, text)
+    for folder in (tmp_path / "refs", tmp_path / "plain"):
+        found = workbook.workbook_reviews(workbook.read_workbooks(spark, str(folder), "a.xlsx"))
+        typed = table.typed(found, missing_flag=None).distinct().collect()
+        flags = sorted((r.review_text, r.is_verified_purchase, r.rating) for r in typed if r.review_text)
+        assert flags == [("glue", True, 4.0), ("tape", None, 5.0)]

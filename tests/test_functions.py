@@ -73,6 +73,10 @@ def test_times_and_flags(spark):
     assert one(spark, "1588687728923", lambda x: convert.format_timestamp(convert.epoch_millis(x))) == "2020-05-05 14:08:48"
     assert one(spark, "1.588687728923E12", lambda x: convert.format_timestamp(convert.epoch_millis(x))) == "2020-05-05 14:08:48"
     assert one(spark, "x", convert.epoch_millis) is None
+    for beyond in ("99999999999999999", "-99999999999999999", "9223372036855"):
+        assert one(spark, beyond, convert.epoch_millis) is None
+    assert one(spark, None, lambda x: convert.to_flag(x, missing=None)) is None
+    assert one(spark, None, convert.to_flag) is False
     assert one(spark, " TRUE\t", convert.to_flag) is True
     assert one(spark, "yes", convert.to_flag) is False
     assert one(spark, None, convert.to_flag) is False
@@ -84,3 +88,10 @@ def test_times_and_flags(spark):
 def test_drop_prefixed(spark):
     df = spark.createDataFrame([(1, 2, 3)], "`X.1` int, aX int, X int")
     assert convert.drop_prefixed(df).columns == ["aX"]
+
+
+def test_stems_of_a_published_vocabulary():
+    from reviewmill.functions.porter import stem
+
+    words = {"ability": "abil", "dry": "dri", "drying": "dri", "enjoyed": "enjoy", "tied": "tie", "flies": "fli", "yrs": "yr"}
+    assert {w: stem(w) for w in words} == words
