@@ -13,8 +13,7 @@
    list entries to scan, summed by size.
 4. A pair is held against each other only if it can link by size and by parity: every element that only one of
    two sets has flips one bit of ``BITS`` parity bits, so their maps differ in no more bits than the sets differ in elements.
-5. Within a list (of one size band, as sets that link differ in size by a tenth at most) every member is
-   first held against the list's smallest id (its pivot); exact intersections of whole sets decide.  Components
+5. Within a list every member is first held against the list's smallest id (its pivot); exact intersections of whole sets decide.  Components
    of these links are found, and then every pair of a list across components is held against each other.
    Pairs within a component are not: they cannot change it.  So a group of copies costs as many
    comparisons as it has members, and no link between different components is lost.
@@ -23,7 +22,7 @@ Staged tables are in the shared folder and are released when the result is stage
 costs, at most some 200 rows, are).
 
 Nulls and edges: a null or empty text, or one without words, has an empty set and is its own component; a
-text of one or two words has one shingle; a row without a doc_id has no component and links nothing; rows
+text of one or two words has one shingle; a row without a doc_id has no component and links nothing (doc_ids have at most 55 bits); rows
 of one doc_id are one document with several sets; equal rows are returned as often as they came; an empty
 table gives no rows; only ``doc_id`` and ``text`` are read.
 """
@@ -42,10 +41,10 @@ from reviewmill.llm.arrays import lower_ascii, mixed, slices, words_of
 from reviewmill.session import Scratch, stage
 
 THRESHOLD = 90  # per cent
-BLOCK = 2.2  # times the share that a set may miss: the part of the hash range that the block takes
+BLOCK = 1.25  # times the share that a set may miss: the part of the hash range that the block takes
 ENTRY = 20  # cost of one list entry, in looks at an entry of a list
 BETWEEN = 1 << 40  # frequency rank of elements outside the block
-BITS = 512  # of the parity map of a set
+BITS = 256  # of the parity map of a set
 WORDS = BITS // 64
 PARITY = [f"p{k}" for k in range(WORDS)]
 NARROW = "doc_id long, n int, sig_a long, sig_b long, parity array<long>, block array<long>, tail array<long>"
@@ -173,24 +172,29 @@ def near(threshold: int, x: str, y: str) -> Column:
 
 
 def beginnings(classes: DataFrame, threshold: int) -> DataFrame:
-    """Per class the elements of its beginning that another class has, with their place."""
-    # Sets of one doc_id are told apart by a piece of their signature.
-    classes = classes.withColumn("tag", F.shiftright("sig_a", 48).cast("int"))
-    block = classes.select("rep", "tag", "n", F.size("block").alias("size"), F.explode("block").alias("h"))
+    """Per class the elements of its beginning that another class has, with the room for them.
+
+    Only (class, element) is shuffled; what else is known of a class is joined to the few that are left.
+    """
+    block = classes.select("key", F.explode("block").alias("h"))
     often = block.groupBy("h").count().filter("count > 1").select("h", F.col("count").alias("f"))
-    hits = block.join(often, "h").select("rep", "tag", "n", "size", "h", "f")
-    rest = classes.select("rep", "tag", "n", F.size("block").alias("size"), F.explode("tail").alias("h"))
-    rest = rest.withColumn("f", F.lit(BETWEEN))
-    rows = hits.unionByName(rest).groupBy("rep", "tag", "n", "size").agg(
+    hits = block.join(often, "h").select("key", "h", "f")
+    rest = classes.select("key", F.explode("tail").alias("h"), F.lit(BETWEEN).alias("f"))
+    lists = hits.unionByName(rest).groupBy("key").agg(
         F.sort_array(F.collect_list(F.struct("f", "h"))).alias("begin"),
         F.sum((F.col("f") < BETWEEN).cast("int")).alias("hits"),
     )
+    known = classes.select(
+        "key", "rep", "n", F.size("block").alias("size"), *[F.col("parity")[k].alias(f"p{k}") for k in range(WORDS)]
+    )
+    rows = lists.join(known, "key")
     rows = rows.withColumn("room", F.expr(f"n - int(ceil({threshold} * n / 100)) + 2 - (size - hits)"))
-    return rows.select("rep", "tag", "n", "room", F.expr("slice(begin, 1, greatest(room, 0))").alias("begin")).filter("size(begin) > 0")
+    begin = F.expr("slice(begin, 1, greatest(room, 0))").alias("begin")
+    return rows.select("rep", "n", *PARITY, "room", begin).filter("size(begin) > 0")
 
 
 def entries(begin: DataFrame, heavy_from: int, threshold: int) -> DataFrame:
-    """Members of lists: (key, band, rep, n, parity)."""
+    """Members of lists: (rep, n, parity, key)."""
     single = "transform(slice(begin, 1, greatest(room - 1, 0)), x -> xxhash64(x.h))"
     double = (
         "flatten(transform(begin, (x, i) -> transform(slice(begin, i + 2, size(begin)),"
@@ -200,10 +204,7 @@ def entries(begin: DataFrame, heavy_from: int, threshold: int) -> DataFrame:
         f"concat(CASE WHEN 100 * n >= {threshold} * {heavy_from} THEN {single} ELSE array() END,"
         f" CASE WHEN n < {heavy_from} THEN {double} ELSE array() END)"
     )
-    band = F.floor(F.log("n") / math.log(100 / threshold))
-    rows = begin.select("rep", "n", *PARITY, F.explode(F.expr(keys)).alias("key"), band.alias("g"))
-    # Sets that link differ by one band at most, save for rounding; they meet in one of three.
-    return rows.select("key", F.explode(F.expr("array(g, g + 1)")).alias("band"), "rep", "n", *PARITY)
+    return begin.select("rep", "n", *PARITY, F.explode(F.array_distinct(F.expr(keys))).alias("key"))
 
 
 def verified(docs: DataFrame, pairs: DataFrame, scratch: Scratch, width: int, threshold: int) -> DataFrame:
@@ -227,35 +228,33 @@ def join(docs: DataFrame, width: int = 3, threshold: int = THRESHOLD) -> DataFra
         # A set of fewer elements than a difference of one needs links with none but its equals.
         alone = math.ceil(threshold / (100 - threshold))
         classes = sets.filter(f"n >= {alone}").groupBy(*signature).agg(
-            F.min("doc_id").alias("rep"), F.first("block").alias("block"), F.first("tail").alias("tail")
+            F.min("doc_id").alias("rep"),
+            *[F.first(c).alias(c) for c in ("parity", "block", "tail")],
         )
-        maps = sets.select(
-            F.col("doc_id").alias("rep"), "n", F.shiftright("sig_a", 48).cast("int").alias("tag"),
-            *[F.col("parity")[k].alias(f"p{k}") for k in range(WORDS)],
-        ).distinct()
-        begin = scratch.stage(beginnings(classes, threshold).join(maps, ["rep", "n", "tag"]), "beginnings")
+        # Sets of one doc_id are told apart by eight bits of their signature.
+        classes = classes.withColumn("key", F.shiftleft("rep", 8).bitwiseOR(F.col("sig_a").bitwiseAND(255)))
+        begin = scratch.stage(beginnings(classes, threshold), "beginnings")
         members = entries(begin, boundary(begin), threshold)
-        lists = members.groupBy("key", "band").agg(F.min_by(F.struct("rep", "n", *PARITY), "rep").alias("x"), F.count("*").alias("m"))
-        pivots = lists.filter("m > 1").select(
-            "key", "band", *[F.col(f"x.{c}").alias(f"{c}_p") for c in ["rep", "n", *PARITY]]
-        )
-        members = members.join(pivots, ["key", "band"]).withColumn("near_p", near(threshold, "", "_p"))
-        members = scratch.stage(members.select("key", "band", "rep", "n", *PARITY, "rep_p", "near_p"), "lists")
-
-        stars = members.filter((F.col("rep_p") < F.col("rep")) & F.col("near_p"))
-        stars = scratch.stage(stars.select(F.col("rep_p").alias("a"), F.col("rep").alias("b")).distinct(), "stars")
+        pivots = members.groupBy("key").agg(F.min("rep").alias("rep_p"), F.count("*").alias("m"))
+        members = members.join(pivots.filter("m > 1").drop("m"), "key")
+        members = scratch.stage(members.select("key", "rep", "n", *PARITY, "rep_p"), "lists")
+
+        stars = members.filter("rep_p < rep").select("rep_p", "rep").distinct()
+        facts = begin.select("rep", "n", *PARITY)
+        stars = stars.join(facts, "rep").join(facts.select(*[F.col(c).alias(f"{c}_p") for c in facts.columns]), "rep_p")
+        stars = stars.filter(near(threshold, "", "_p")).select(F.col("rep_p").alias("a"), F.col("rep").alias("b"))
+        stars = scratch.stage(stars.distinct(), "stars")
         links = scratch.stage(verified(docs, stars, scratch, width, threshold), "verified")
         label = components(links, scratch)
 
-        members = members.drop("near_p")
         marked = members.join(label.toDF("rep", "c"), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
         marked = marked.join(label.toDF("rep_p", "c_p"), "rep_p", "left").withColumn("c_p", F.coalesce("c_p", "rep_p"))
         others = marked.filter("c <> c_p").select(
-            "key", "band", *[F.col(c).alias(f"{c}_o") for c in ["rep", "n", "c", *PARITY]]
+            "key", *[F.col(c).alias(f"{c}_o") for c in ["rep", "n", "c", *PARITY]]
         )
         # An outsider meets the members of other components; of two outsiders the smaller comes first.
         once = (F.col("c") == F.col("c_p")) | (F.col("rep_o") < F.col("rep"))
-        crossed = others.join(marked.filter("rep <> rep_p"), ["key", "band"])
+        crossed = others.join(marked.filter("rep <> rep_p"), "key")
         crossed = crossed.filter((F.col("c") != F.col("c_o")) & once & near(threshold, "", "_o"))
         crossed = crossed.select(F.least("rep_o", "rep").alias("a"), F.greatest("rep_o", "rep").alias("b")).distinct()
         crossed = scratch.stage(crossed.join(stars, ["a", "b"], "left_anti"), "crossed")
