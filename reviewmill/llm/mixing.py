@@ -11,9 +11,17 @@ The schedule repeats after ``slots`` slots, so one period of it is a table of ``
 fold over them, in SQL) and is broadcast.  Ranks within a source come from counts per source and range
 of doc_id plus ranks within a range, so a source with most rows is spread over all ranges.
 
+That is ``scheduled``, the schedule that the SQL counterpart gives too.  Its quotas are of a fixed number of slots, with one
+for each source first, so its deviation is below one block of the quota only; against the weight it grows with the
+data, and with as many sources as slots all sources are equal.  ``placed`` and ``mixed`` have no period: they run the
+same rule over all blocks with the weights as shares of ``FINE``, so each source stays within one block of its weight (and
+slots / ``FINE``) from the first slot until a source has no more blocks.  The driver works out those turns in pieces of ``PIECE``
+blocks and stages them; of the data it sees the number of documents of each source alone.
+
 Weights: a mapping of source to weight, or none for the square root of each source's documents, as often
-used.  Quotas are the weights' shares of ``slots`` by largest remainders, at least one each; sources that a
-mapping leaves out get one slot each.  There are as many slots as sources at least.
+used.  For ``scheduled``, quotas are one slot each and the weights' shares of the other slots by largest remainders, sources that a
+mapping leaves out get one slot each, and there are as many slots as sources at least.  For ``placed``, sources without
+a weight come after all others, in equal turns.
 
 Nulls and edges: a null source is a source of its own; rows without a doc_id come last in their source; rows
 of equal doc_id go by a hash of their text, and equal rows are all kept; an empty table gives no rows; other columns
@@ -22,15 +30,23 @@ are carried by ``mixed`` and do not matter.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import math
+from collections.abc import Iterator, Mapping
+from functools import reduce
+from heapq import heappop, heappush
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewmill.llm.ordering import Ranges
+from reviewmill.session import stage
 
 SLOTS = 1000
 BLOCK = 16
+FINE = 1 << 32  # slots that weights without a period are shares of
+PIECE = 1 << 20
 NONE = "\x00none"  # stands for a null source inside
 
 
@@ -81,14 +97,8 @@ def period(quota: DataFrame) -> DataFrame:
     return rows.withColumn("turn", (F.row_number().over(order) - 1).cast("long"))
 
 
-def scheduled(
-    docs: DataFrame,
-    block: int = BLOCK,
-    slots: int = SLOTS,
-    weights: Mapping[str, float] | None = None,
-    keep: list[str] | None = None,
-) -> DataFrame:
-    """The ``keep`` columns (all by default) as a struct ``row`` with block, slot, release, deadline and position."""
+def by_source(docs: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows with ``_source``, and the same with ``_rank`` in their source."""
     rows = docs.select(
         F.struct(*(docs.columns if keep is None else keep)).alias("row"),
         F.coalesce(F.col("source").cast("string"), F.lit(NONE)).alias("_source"),
@@ -102,8 +112,18 @@ def scheduled(
     counts = counts.select("_source", "_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
     inside = Window.partitionBy("_source", "_range").orderBy(F.col("_id").isNull(), "_id", "_tie")
     ranked = rows.withColumn("_rank", F.row_number().over(inside)).join(counts, ["_source", "_range"])
-    ranked = ranked.withColumn("_rank", F.col("_before") + F.col("_rank") - 1)
+    return rows, ranked.withColumn("_rank", F.col("_before") + F.col("_rank") - 1)
+
 
+def scheduled(
+    docs: DataFrame,
+    block: int = BLOCK,
+    slots: int = SLOTS,
+    weights: Mapping[str, float] | None = None,
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """The ``keep`` columns (all by default) as a struct ``row`` with block, slot, release, deadline and position."""
+    rows, ranked = by_source(docs, keep)
     turns = period(quotas(rows, slots, weights))
     quota = turns.groupBy("_source", "slots", "quota").agg(F.collect_list(F.struct("turn", "slot")).alias("t"))
     quota = quota.select("_source", "slots", "quota", F.expr("transform(sort_array(t), x -> x.slot)").alias("plan"))
@@ -120,10 +140,63 @@ def scheduled(
     )
 
 
-def mixed(docs: DataFrame, block: int = BLOCK, slots: int = SLOTS, weights: Mapping[str, float] | None = None) -> DataFrame:
+def in_turn(blocks: list[int], weights: list[float], first: int = 0) -> Iterator[tuple[int, int, int]]:
+    """Earliest deadline first over all blocks of all sources: (source, block, slot)."""
+    whole = math.fsum(weights)
+    exact = [w / whole * FINE for w in weights]
+    quota = [math.floor(x) for x in exact]
+    for i in sorted(range(len(exact)), key=lambda i: (quota[i] - exact[i], i))[: max(FINE - sum(quota), 0)]:
+        quota[i] += 1
+    quota = [max(q, 1) for q in quota]
+    waiting = [(0, i, 0) for i in range(len(blocks))]
+    ready: list[tuple[int, int, int]] = []
+    slot = 0
+    while waiting or ready:
+        if not ready:
+            slot = max(slot, waiting[0][0])  # sources that ended leave slots without a block
+        while waiting and waiting[0][0] <= slot:
+            _, i, j = heappop(waiting)
+            heappush(ready, (-(-(j + 1) * FINE // quota[i]), i, j))
+        _, i, j = heappop(ready)
+        yield i, j, first + slot
+        slot += 1
+        if j + 1 < blocks[i]:
+            heappush(waiting, ((j + 1) * FINE // quota[i], i, j + 1))
+
+
+def turns_of(counts: Mapping[str, int], block: int = BLOCK, weights: Mapping[str, float] | None = None) -> Iterator[tuple[str, int, int]]:
+    """(source, block, slot) of all blocks, sources without a weight after all others."""
+    names = sorted(counts)
+    share = {x: math.sqrt(counts[x]) if weights is None else float(weights.get(x, 0)) for x in names}
+    first = 0
+    for group in ([x for x in names if share[x] > 0], [x for x in names if not share[x] > 0]):
+        even = [share[x] if share[x] > 0 else 1.0 for x in group]
+        for i, j, slot in in_turn([-(-counts[x] // block) for x in group], even, first):
+            yield group[i], j, slot
+            first = slot + 1
+
+
+def placed(
+    docs: DataFrame, block: int = BLOCK, weights: Mapping[str, float] | None = None, keep: list[str] | None = None
+) -> DataFrame:
+    """The ``keep`` columns (all by default) as a struct ``row`` with block, slot and position, by the weights as they are."""
+    spark = docs.sparkSession
+    rows, ranked = by_source(docs, keep)
+    turns = turns_of({r._source: r["count"] for r in rows.groupBy("_source").count().collect()}, block, weights)
+    schema = pa.schema([("_source", pa.string()), ("block", pa.int64()), ("slot", pa.int64())])
+    pieces = []
+    while (piece := list(islice(turns, PIECE))) or not pieces:
+        columns = [pa.array(c, f.type) for c, f in zip(zip(*piece) if piece else [[], [], []], schema)]
+        pieces.append(stage(spark.createDataFrame(pa.Table.from_arrays(columns, schema=schema)), "turns"))
+        if len(piece) < PIECE:
+            break
+    found = ranked.withColumn("block", F.expr(f"_rank DIV {block}")).join(reduce(DataFrame.union, pieces), ["_source", "block"])
+    return found.select("row", "block", "slot", F.expr(f"slot * {block} + _rank % {block}").alias("position"))
+
+
+def mixed(docs: DataFrame, block: int = BLOCK, weights: Mapping[str, float] | None = None) -> DataFrame:
     """The documents, all columns kept, in the order of the mixture: over partitions and inside them."""
-    found = scheduled(docs, block, slots, weights)
-    return found.orderBy("position").select("row.*")
+    return placed(docs, block, weights).orderBy("position").select("row.*")
 
 
 def digest(found: DataFrame) -> DataFrame:

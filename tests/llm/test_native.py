@@ -221,3 +221,30 @@ def test_mixture_of_odd_rows(spark, weights):
     assert key(mixed.select("doc_id", "text", "source").collect()) == key(docs.select("doc_id", "text", "source").collect())
     assert mixing.mixed(spark.createDataFrame([], TYPES)).count() == 0
     assert mixing.scheduled(docs).agg(F.count_distinct("position")).first()[0] == len(odd_rows())
+
+
+@pytest.mark.parametrize("sources", [20, 1500])
+def test_mixture_keeps_the_given_weights(sources):
+    weights = {"hot": 40.0, **{f"s{i}": 1.0 + i % 3 for i in range(sources - 1)}}
+    whole = sum(weights.values())
+    counts = {s: int(16 * 60_000 * w / whole) + 16 for s, w in weights.items()}
+    seen, slots = Counter(), 0
+    for s, block, slot in mixing.turns_of(counts, 16, weights):
+        assert block == seen[s]
+        seen[s] += 1
+        # Each source is looked at where its deviation is largest: before and after its own blocks.
+        assert abs(seen[s] - weights[s] / whole * (slot + 1)) < 1 and abs(seen[s] - 1 - weights[s] / whole * slot) < 1
+        slots += 1
+        if slots % 5000 == 0:
+            assert slot + 1 == slots and all(abs(seen[x] - weights[x] / whole * slots) < 1 for x in weights)
+        if slots == 60_000:
+            break
+
+
+def test_placed_equals_its_turns(spark):
+    rows = [(i, f"text {i}", None, "hot" if i % 3 == 0 else f"s{i % 4}") for i in range(600)]
+    found = mixing.placed(with_extra(frame(spark, rows)), 2, {"hot": 1.0, "s1": 2.0}).select("row.source", "block", "slot", "position").collect()
+    assert len(found) == len({r.position for r in found}) == 600
+    counts = Counter(r[3] for r in rows)
+    assert sorted({(r.source, r.block, r.slot) for r in found}) == sorted(mixing.turns_of(counts, 2, {"hot": 1.0, "s1": 2.0}))
+    assert min(r.slot for r in found if r.source in ("s0", "s2", "s3")) > max(r.slot for r in found if r.source in ("hot", "s1"))
