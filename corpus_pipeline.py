@@ -9,7 +9,8 @@ Parquet and read again.  All but the last return the columns of their input.
   smallest doc_id stays (of equal rows, one).  Documents without words, and rows without a doc_id, are in no group and stay.
 * ``secrets``: reported spans are replaced by a mask; no document goes.
 * ``mixture``: the documents in the order of the schedule, over part files and inside them.
-* ``packing``: pieces of token ids with sequence and place.
+* ``packing``: pieces of token ids with sequence and place.  Files have no order, so the places in the schedule are worked out
+  again from the rows; sequence_id follows them, block of tokens by block of tokens.
 """
 
 from __future__ import annotations
@@ -53,11 +54,12 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs)
 
 
-def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str, block_tokens: int = packing.BLOCK_TOKENS) -> DataFrame:
     import public_tokenizers
 
     vocabulary, ranks = map(public_tokenizers.path, ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken"))
-    return packing.pack(docs, vocabulary, ranks)
+    ordered = mixing.placed(docs, keep=["doc_id", "text"]).orderBy("position").select("row.*")
+    return packing.pack(ordered, vocabulary, ranks, block_tokens=block_tokens, in_order=True)
 
 
 STAGES = [

@@ -7,6 +7,10 @@ room.  A piece that fits nowhere is cut to fill the sequences with the most room
 enough sequences of ``capacity`` ids and one of the next power of two, so its padding is below that
 last sequence's length, whatever the documents are.
 
+With ``in_order``, rows come in an order over partitions and inside them, as after ``orderBy``, and sequence_id follows it:
+partitions, their blocks, and inside a block sequences of one document by its place, the others (each with documents
+from all over the block) evenly between.
+
 Nulls and edges: a null text is empty and has the closing id alone; a null doc_id stays null; rows of
 equal doc_id are packed one by one; an empty table gives no rows.  Only ``doc_id`` and ``text`` are
 read, so other columns can have any names.  Texts of any length are tokenised whole.
@@ -99,7 +103,26 @@ def assign(
     return placed
 
 
-def packed_batches(vocabulary: str, ranks: str, capacity: int, block_tokens: int, linear: float, quadratic: float):
+def by_place(placed: list[tuple[int, int, int, int, int]], lengths: list[int]) -> list[tuple[int, int, int, int, int]]:
+    """The same pieces, their sequences numbered by the places of their documents."""
+    begin = np.cumsum([0, *lengths])
+    middle: dict[int, float] = {}
+    used: dict[int, int] = {}
+    held: dict[int, set[int]] = {}
+    for d, start, n, k, _ in placed:
+        middle[k] = middle.get(k, 0.0) + float(begin[d] + start + n / 2) * n
+        used[k] = used.get(k, 0) + n
+        held.setdefault(k, set()).add(d)
+    middle = {k: m / used[k] for k, m in middle.items()}
+    several = sorted((k for k in middle if len(held[k]) > 1), key=lambda k: (middle[k], k))
+    middle |= {k: (i + 0.5) / len(several) * float(begin[-1]) for i, k in enumerate(several)}
+    number = {k: i for i, k in enumerate(sorted(middle, key=lambda k: (middle[k], k)))}
+    return [(d, start, n, number[k], offset) for d, start, n, k, offset in placed]
+
+
+def packed_batches(
+    vocabulary: str, ranks: str, capacity: int, block_tokens: int, linear: float, quadratic: float, in_order: bool = False
+):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(vocabulary, ranks)
         closing = np.array([CLOSING_ID], dtype="<u4").tobytes()
@@ -110,7 +133,10 @@ def packed_batches(vocabulary: str, ranks: str, capacity: int, block_tokens: int
 
         def flush() -> pa.RecordBatch:
             nonlocal sequence
-            placed = assign([len(x) // 4 for x in ids], capacity, linear, quadratic)
+            lengths = [len(x) // 4 for x in ids]
+            placed = assign(lengths, capacity, linear, quadratic)
+            if in_order:
+                placed = by_place(placed, lengths)
             columns = [
                 pa.array([keys[d] for d, *_ in placed], pa.int64()),
                 pa.array([s for _, s, *_ in placed], pa.int64()),
@@ -146,10 +172,12 @@ def pack(
     block_tokens: int = BLOCK_TOKENS,
     linear: float = LINEAR,
     quadratic: float = QUADRATIC,
+    in_order: bool = False,
 ) -> DataFrame:
     """Pieces with their ids (little-endian unsigned 32-bit), sequence and place in it."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(packed_batches(vocabulary, ranks, capacity, block_tokens, linear, quadratic), SCHEMA)
+    run = packed_batches(vocabulary, ranks, capacity, block_tokens, linear, quadratic, in_order)
+    return narrow.mapInArrow(run, SCHEMA)
 
 
 def digest(pieces: DataFrame) -> DataFrame:

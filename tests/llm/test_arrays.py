@@ -320,3 +320,35 @@ def test_pipeline_stages(spark, tmp_path):
     assert text[510] == "pass [secret] and more words in the text" and text[500] == long
     pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert sorted({p.doc_id for p in pieces}) == final
+
+
+def test_packing_follows_the_mixture(spark, tmp_path):
+    text = "the words of every document are as many as these and no more"
+    rows = [(i, f"{text} {i % 10}", "en", "a" if i < 1600 else "b" if i < 2000 else "c") for i in range(2100)]
+    # One file for each source, as a scan by size would take them.
+    spark.createDataFrame(rows, TYPES).repartition("source").write.partitionBy("source").parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    source = {r[0]: r[3] for r in rows}
+    pieces = sorted(corpus_pipeline.packed(spark, docs, "", block_tokens=2000).collect(), key=lambda p: p.sequence_id)
+    assert sorted({p.doc_id for p in pieces}) == [r[0] for r in rows]
+    weight = {"a": 40 / 70, "b": 20 / 70, "c": 10 / 70}
+    seen = dict.fromkeys(weight, 0)
+    total = 0
+    slack = 20 * pieces[0].doc_tokens + 2048  # a block of documents each way, and a block of tokens
+    for p in pieces:
+        seen[source[p.doc_id]] += p.length
+        total += p.length
+        if seen["c"] > 90 * p.doc_tokens or seen["b"] > 380 * p.doc_tokens:
+            break
+        assert all(abs(seen[x] - weight[x] * total) < slack for x in weight), (total, seen)
+    assert total > 0.3 * sum(p.length for p in pieces)
+
+
+def test_sequences_are_numbered_by_place():
+    lengths = [100] * 50 + [5000] + [100] * 50
+    before = packing.assign(lengths)
+    after = packing.by_place(before, lengths)
+    assert [(d, s, n, o) for d, s, n, _, o in before] == [(d, s, n, o) for d, s, n, _, o in after]
+    assert {k for *_, k, _ in before} == {k for *_, k, _ in after}
+    whole = [k for d, _, n, k, _ in after if n == 2048 and d == 50]
+    assert 0 < min(whole) and max(whole) < max(k for *_, k, _ in after)
