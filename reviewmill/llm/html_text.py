@@ -1,9 +1,11 @@
 """Visible text of HTML pages by layout-aware rendering.
 
 A small tree builder reads tags with implied ends (a paragraph ends at the next block, a list item at
-the next item, cells and rows at their like); a renderer walks the tree without recursion and writes what a reader
+the next item, cells and rows at their like, a head at the first thing that no head holds), and so for hidden elements too,
+which are left out with all they hold; a renderer walks the tree without recursion and writes what a reader
 would see: nothing of head, scripts, styles, templates, comments, or of elements hidden by attribute or inline
-style; blocks on lines of their own with an empty line around paragraphs and headings; list items with marks or
+style, and of what is shown only where a page cannot show its object, sound or picture; fields and their options, formulas,
+drawings' text and what is hidden from screen readers alone are seen; blocks on lines of their own with an empty line around paragraphs and headings; list items with marks or
 numbers, indented by level; preformatted text as it is; tables with cells padded to the widths of their columns.
 
 Pages are rendered in Arrow batches, each page by itself, so memory follows the longest page.
@@ -24,7 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("head script style template noscript title object iframe svg math select datalist textarea audio video canvas".split())
+UNSEEN = frozenset("head script style template noscript title object iframe datalist audio video canvas".split())
+# Parts of drawings and formulas that are not drawn.
+UNSEEN |= frozenset("annotation annotation-xml clippath defs desc marker metadata pattern symbol".split())
+# What a head may hold, and elements whose contents end nothing outside.
+IN_HEAD = frozenset("head base link meta noframes noscript script style template title".split())
+CLOSED = frozenset("template noscript object iframe".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure".split())
 BLOCKS = SPACED | frozenset(
     "html body address article aside caption center dd details div dt fieldset figcaption footer form header hgroup hr legend"
@@ -45,6 +52,7 @@ ENDS = {
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 BLANKS = re.compile(r"[ \t\n\r\f]+")
 RAW = ("script", "style")
+APART = ("select", "option", "optgroup", "textarea")  # in a line, with blanks around
 
 
 class Node:
@@ -56,17 +64,16 @@ class Node:
 
 
 class Tree(HTMLParser):
-    """Builds the visible tree; what is hidden is read and left out."""
+    """Builds the tree; hidden elements are open like others, but hang on no parent."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = Node("html")
         self.stack = [self.root]
-        self.hidden: list[str] = []
 
     def close_to(self, tags: set[str], bound: set[str]) -> None:
         for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k].tag in bound:
+            if self.stack[k].tag in bound or self.stack[k].tag in CLOSED:
                 return
             if self.stack[k].tag in tags:
                 last = k
@@ -76,13 +83,10 @@ class Tree(HTMLParser):
                 return
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if self.hidden:
-            if tag == "body" and "head" in self.hidden:
-                self.hidden.clear()  # the end of the head may be left out
-            else:
-                if tag not in VOID:
-                    self.hidden.append(tag)
-                return
+        if tag == "body":
+            self.end_head()
+        elif self.stack[-1].tag == "head" and tag not in IN_HEAD:
+            self.stack.pop()  # the end of the head may be left out
         if tag in BLOCKS:
             self.close_to({"p"}, {"td", "th", "li", "div", "table", "button"})
         if tag in ENDS:
@@ -91,9 +95,7 @@ class Tree(HTMLParser):
             return
         given = dict(attrs)
         unseen = tag in UNSEEN or "hidden" in given or HIDDEN.search(given.get("style") or "")
-        if unseen or given.get("aria-hidden") == "true":
-            if tag not in VOID:
-                self.hidden.append(tag)
+        if unseen and tag in VOID:
             return
         if tag in ("br", "hr", "img"):
             alt = (given.get("alt") or "").strip()
@@ -103,29 +105,32 @@ class Tree(HTMLParser):
             return
         start = given.get("start") or ""
         node = Node(tag, int(start) if start.isdecimal() and len(start) < 10 else 1)
-        self.stack[-1].parts.append(node)
+        if not unseen:
+            self.stack[-1].parts.append(node)
         self.stack.append(node)
 
     def handle_endtag(self, tag: str) -> None:
-        if self.hidden:
-            if tag in self.hidden:
-                while self.hidden.pop() != tag:
-                    pass
-            return
         bound = {"table"} if tag in ("td", "th", "tr", "li", "p", "div") else set()
         for k in range(len(self.stack) - 1, 0, -1):
             if self.stack[k].tag == tag:
                 del self.stack[k:]
                 return
-            if self.stack[k].tag in bound:
+            if self.stack[k].tag in bound or self.stack[k].tag in CLOSED:
+                return
+
+    def end_head(self) -> None:
+        for k in range(len(self.stack) - 1, 0, -1):
+            if self.stack[k].tag == "head":
+                del self.stack[k:]
                 return
 
     def parse_marked_section(self, i: int, report: int = 1) -> int:
         return self.parse_bogus_comment(i)  # as pages are read, whatever the section is called
 
     def handle_data(self, data: str) -> None:
-        if not self.hidden:
-            self.stack[-1].parts.append(data)
+        if self.stack[-1].tag == "head" and data.strip():
+            self.stack.pop()
+        self.stack[-1].parts.append(data)
 
 
 class Page:
@@ -174,7 +179,7 @@ def words_in(node: Node, joint: str = "") -> str:
         if isinstance(x, str):
             found.append(x)
         else:
-            found.append("\n" if x.tag == "br" else joint if x.tag in BLOCKS else "")
+            found.append("\n" if x.tag == "br" else joint if x.tag in BLOCKS else " " if x.tag in APART else "")
             todo += reversed(x.parts)
     return "".join(found)
 
@@ -262,6 +267,8 @@ def render(html: str) -> str:
             page.end(gap)
             todo.append(lambda gap=gap: page.end(gap))
             todo += reversed(x.parts)
+        elif x.tag in APART:
+            todo += [" ", *reversed(x.parts), " "]
         else:
             todo += reversed(x.parts)
     page.end()

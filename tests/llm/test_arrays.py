@@ -352,3 +352,26 @@ def test_sequences_are_numbered_by_place():
     assert {k for *_, k, _ in before} == {k for *_, k, _ in after}
     whole = [k for d, _, n, k, _ in after if n == 2048 and d == 50]
     assert 0 < min(whole) and max(whole) < max(k for *_, k, _ in after)
+
+
+HIDDEN_PAGES = [
+    ('<ul><li style="display:none">a<li>b</ul><p>rest', "- b\n\nrest"),
+    ("<p hidden>x<p>y<div>z", "y\n\nz"),
+    ("<table><tr><td hidden>a<td>b<tr><td>c</table>d", "b\nc\n\nd"),
+    ("<head><title>t</title><p>one<p>two", "one\n\ntwo"),
+    ("<head><meta charset=x>text", "text"),
+    ("<head><title>t<body>seen", "seen"),
+    ("<div><p hidden>x</div>rest", "rest"),
+    ("<div><template></div><p>x</template>a</div>b", "a\nb"),
+    ("<div><video src=x>no</div>b", "b"),
+    ("<div hidden>a<div>b</div>c</div>d", "d"),
+    ("<p hidden>a<table><tr><td>x</table>b", "x\n\nb"),
+    ("<ol><li>a<li hidden>b<li>c</ol>", "1. a\n2. c"),
+    ("a <textarea>b</textarea><select><option>c<option>d</select>e", "a b c d e"),
+    ("<svg><title>no</title><text>f</text></svg> <math><mi>x</mi></math> <b aria-hidden=true>g</b>", "f x g"),
+]
+
+
+@pytest.mark.parametrize("html, want", HIDDEN_PAGES)
+def test_hidden_elements_end_like_others(html, want):
+    assert html_text.render(html).strip() == want
