@@ -4,7 +4,7 @@ Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kep
 Parquet and read again.  All but the last return the columns of their input.
 
 * ``language``: documents without a letter, and those whose best language holds less than ``MIN_SCORE`` of the n-grams
-  counted, are rejected.
+  counted, are rejected.  If nothing was learnt, all documents stay.
 * ``near_duplicates``: of each component of documents linked by Jaccard similarity of word shingles, the one with the
   smallest doc_id stays (of equal rows, one).  Documents without words, and rows without a doc_id, are in no group and stay.
 * ``secrets``: reported spans are replaced by a mask; no document goes.
@@ -28,6 +28,8 @@ WIDTH = 5
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     filters = language.fit(docs)
+    if not filters.languages:
+        return docs
     names = ("_language", "_language_score")
     found = language.identify(docs, filters, docs.columns, names)
     kept = (F.col(names[0]) != language.UNKNOWN) & (F.col(names[1]) >= MIN_SCORE)

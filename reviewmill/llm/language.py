@@ -6,10 +6,12 @@ that at least ``MIN_DOCS`` of its documents have, at no less than ``SHARE`` of t
 languages (mixed documents would otherwise put every n-gram everywhere).  The filters of all languages share
 their hash functions and lie bit-sliced in one table of 64-bit masks, so ``PROBES`` look-ups and one AND give
 all languages that hold an n-gram.  Per-language popcounts over a text, corrected by each filter's false-positive
-rate, decide; the score is the winner's share of all corrected counts.
+rate, decide; the score is the winner's share of all corrected counts, the coverage its corrected count as a share of
+all n-grams of the text (low for languages not learnt and for gibberish, whoever wins).
 
-Learning takes ``fit_rows`` documents at most (20,000, evenly by hash of doc_id), with a known language and not held out.
-Up to 64 languages.
+Learning takes ``fit_rows`` documents (20,000, evenly by hash of doc_id), with a known language and not held out; of a language
+that would have fewer than its part of ``fit_rows`` among 64 languages it takes as many (or all it has), so that rare
+languages are learnt at every size: below 2 * ``fit_rows`` in all.  Each 64 languages have a mask of their own in every slot.
 
 Nulls and edges: a text that is null or has no letter is ``und`` with score 0, as is every text if nothing was learnt; of equal
 counts the language first by name wins; an empty table gives no rows; texts of any length are read whole, in slices.
@@ -29,20 +31,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewmill.llm.arrays import buffer_of, mixed, slices
-from reviewmill.llm.learning import bounded, held_out
+from reviewmill.llm.learning import bounded_each, held_out
 
 FIT_ROWS = 20_000
 MIN_DOCS = 2
 SHARE = 0.3
 PROBES = 3
 SLOTS_PER_GRAM = 16
+LEAST_PARTS = 64
 UNKNOWN = "und"
 _letters: list[np.ndarray] = []
 
 
 class Filters(NamedTuple):
     languages: list[str]
-    masks: np.ndarray  # one mask of languages for each slot
+    masks: np.ndarray  # one mask of languages for each slot; a row of them for each 64 languages
     wrong: np.ndarray  # false-positive rate of each language
 
 
@@ -86,7 +89,7 @@ def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, fit_rows: int = FIT_ROWS) -> Filters:
-    known = bounded(docs.filter("lang IS NOT NULL"), fit_rows)
+    known = bounded_each(docs.filter("lang IS NOT NULL"), "lang", fit_rows, fit_rows // LEAST_PARTS)
     totals = known.groupBy("lang").count()
     found = known.select("text", "lang").mapInArrow(counted, "key long, lang string, n long")
     rates = found.groupBy("key", "lang").agg(F.sum("n").alias("n")).join(F.broadcast(totals), "lang")
@@ -96,54 +99,66 @@ def fit(docs: DataFrame, fit_rows: int = FIT_ROWS) -> Filters:
     # The n-grams of a bounded number of documents.
     rows = kept.select("key", "lang").toArrow()
     languages = sorted(set(rows.column("lang").to_pylist()))
-    if len(languages) > 64:
-        raise ValueError("more than 64 languages")
     keys = rows.column("key").to_numpy().astype(np.uint64)
     number = {name: i for i, name in enumerate(languages)}
-    lang = np.array([number[x] for x in rows.column("lang").to_pylist()], dtype=np.uint64)
+    lang = np.array([number[x] for x in rows.column("lang").to_pylist()], dtype=np.int64)
     size = max(64, SLOTS_PER_GRAM * len(set(keys.tolist())))
-    masks = np.zeros(size, dtype=np.uint64)
+    masks = np.zeros((max(1, -(-len(languages) // 64)), size), dtype=np.uint64)
     for place in slots(keys, size):
-        np.bitwise_or.at(masks, place, np.uint64(1) << lang)
-    fill = [((masks >> np.uint64(i)) & np.uint64(1)).mean() for i in range(len(languages))]
+        np.bitwise_or.at(masks, (lang // 64, place), np.uint64(1) << (lang % 64).astype(np.uint64))
+    fill = [((masks[i // 64] >> np.uint64(i % 64)) & np.uint64(1)).mean() for i in range(len(languages))]
     return Filters(languages, masks, np.array(fill) ** PROBES)
 
 
-def decided(filters: Filters, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+def weighed(filters: Filters, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score and coverage of each text."""
     keys, doc = grams(texts)
     n = len(texts)
     total = np.bincount(doc, minlength=n).astype(float)
     if not filters.languages:
-        return [UNKNOWN] * n, np.zeros(n)
-    held = np.full(len(keys), np.iinfo(np.uint64).max, dtype=np.uint64)
-    for place in slots(keys, len(filters.masks)):
-        held &= filters.masks[place]
-    counts = np.stack(
-        [np.bincount(doc, weights=((held >> np.uint64(i)) & np.uint64(1)).astype(float), minlength=n) for i in range(len(filters.languages))],
-        axis=1,
-    )
+        return [UNKNOWN] * n, np.zeros(n), np.zeros(n)
+    masks = np.atleast_2d(filters.masks)
+    places = slots(keys, masks.shape[1])
+    counts = np.empty((n, len(filters.languages)))
+    for row, mask in enumerate(masks):
+        held = np.full(len(keys), np.iinfo(np.uint64).max, dtype=np.uint64)
+        for place in places:
+            held &= mask[place]
+        for i in range(64 * row, min(64 * row + 64, len(filters.languages))):
+            found = ((held >> np.uint64(i % 64)) & np.uint64(1)).astype(float)
+            counts[:, i] = np.bincount(doc, weights=found, minlength=n)
     corrected = np.maximum((counts - total[:, None] * filters.wrong) / np.maximum(1 - filters.wrong, 1e-9), 0)
     best = corrected.argmax(axis=1)
+    won = corrected[np.arange(n), best]
     whole = corrected.sum(axis=1)
-    score = np.where(whole > 0, corrected[np.arange(n), best] / np.maximum(whole, 1e-9), 0.0)
-    return [filters.languages[b] if t else UNKNOWN for b, t in zip(best, total)], np.where(total > 0, np.minimum(score, 1.0), 0.0)
+    score = np.where(whole > 0, won / np.maximum(whole, 1e-9), 0.0)
+    language = [filters.languages[b] if t else UNKNOWN for b, t in zip(best, total)]
+    score = np.where(total > 0, np.minimum(score, 1.0), 0.0)
+    return language, score, np.minimum(won / np.maximum(total, 1), 1.0)
+
+
+def decided(filters: Filters, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+    return weighed(filters, texts)[:2]
 
 
 def identify(
-    docs: DataFrame, filters: Filters, keep: list[str] | None = None, names: tuple[str, str] = ("lang_pred", "score")
+    docs: DataFrame, filters: Filters, keep: list[str] | None = None, names: tuple[str, ...] = ("lang_pred", "score")
 ) -> DataFrame:
-    """The ``keep`` columns (doc_id alone by default) with predicted language and score."""
+    """The ``keep`` columns (doc_id alone by default) with predicted language and score, and coverage if a third name is given."""
     keep = ["doc_id"] if keep is None else keep
     name = "_read"
     while name in keep:
         name += "_"
     rows = docs.select(F.col("text").cast("string").alias(name), *keep)
-    schema = T.StructType(rows.schema.fields[1:]).add(names[0], "string").add(names[1], "double")
+    schema = T.StructType(rows.schema.fields[1:]).add(names[0], "string")
+    for number in names[1:]:
+        schema = schema.add(number, "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, name):
-            language, score = decided(filters, batch.column(0))
-            columns = [*batch.columns[1:], pa.array(language, pa.string()), pa.array(score, pa.float64())]
+            language, *numbers = weighed(filters, batch.column(0))
+            columns = [*batch.columns[1:], pa.array(language, pa.string())]
+            columns += [pa.array(x, pa.float64()) for x in numbers[: len(names) - 1]]
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
 
     return rows.mapInArrow(run, schema)

@@ -375,3 +375,25 @@ HIDDEN_PAGES = [
 @pytest.mark.parametrize("html, want", HIDDEN_PAGES)
 def test_hidden_elements_end_like_others(html, want):
     assert html_text.render(html).strip() == want
+
+
+GREEK = "η γλώσσα αυτή είναι σπάνια και τα κείμενα της είναι λίγα αλλά καθαρά"
+
+
+def test_rare_languages_are_learnt(spark):
+    rows = [(i, f"the words and of the king {i}", "en", None) for i in range(4000)]
+    rows += [(5000 + i, GREEK, "el", None) for i in range(3)]
+    filters = language.fit(frame(spark, rows), 640)
+    assert filters.languages == ["el", "en"]
+    many = [(1000 * k + i, chr(0x4E00 + 3 * k) * 9, f"l{k:03}", None) for k in range(150) for i in range(2)]
+    docs = frame(spark, many)
+    filters = language.fit(docs)
+    assert len(filters.languages) == 150
+    found = language.identify(docs, filters, ["lang"]).collect()
+    assert all(r.lang_pred == r.lang and r.score > 0.9 for r in found)
+
+
+def test_pipeline_keeps_languages_when_none_is_learnt(spark):
+    docs = frame(spark, [(1, "some text", None, None), (2, None, None, None)])
+    assert corpus_pipeline.by_language(spark, docs, "").count() == 2
+
