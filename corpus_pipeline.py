@@ -3,8 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; each result is written as
 Parquet and read again.  All but the last return the columns of their input.
 
-* ``language``: documents without a letter, and those whose best language holds less than ``MIN_SCORE`` of the n-grams
-  counted, are rejected.  If nothing was learnt, all documents stay.
+* ``language``: documents without a letter are rejected, and those whose best language has less than ``MIN_SCORE`` of the
+  counts of all languages or holds less than ``MIN_COVERAGE`` of the document's n-grams: foreign scripts and gibberish.  A
+  language not learnt that shares many n-grams with one that is can pass.  If nothing was learnt, all documents stay.
 * ``near_duplicates``: of each component of documents linked by Jaccard similarity of word shingles, the one with the
   smallest doc_id stays (of equal rows, one).  Documents without words, and rows without a doc_id, are in no group and stay.
 * ``secrets``: reported spans are replaced by a mask; no document goes.
@@ -22,6 +23,7 @@ from reviewmill.llm import jaccard_join, language, mixing, packing, secrets
 from reviewmill.session import Scratch, stage
 
 MIN_SCORE = 0.1
+MIN_COVERAGE = 0.2
 SIMILARITY = 80  # per cent; shingles of five words
 WIDTH = 5
 
@@ -30,9 +32,9 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     filters = language.fit(docs)
     if not filters.languages:
         return docs
-    names = ("_language", "_language_score")
+    names = ("_language", "_language_score", "_language_coverage")
     found = language.identify(docs, filters, docs.columns, names)
-    kept = (F.col(names[0]) != language.UNKNOWN) & (F.col(names[1]) >= MIN_SCORE)
+    kept = (F.col(names[0]) != language.UNKNOWN) & (F.col(names[1]) >= MIN_SCORE) & (F.col(names[2]) >= MIN_COVERAGE)
     return found.filter(kept).drop(*names)
 
 

@@ -397,3 +397,9 @@ def test_pipeline_keeps_languages_when_none_is_learnt(spark):
     docs = frame(spark, [(1, "some text", None, None), (2, None, None, None)])
     assert corpus_pipeline.by_language(spark, docs, "").count() == 2
 
+
+def test_pipeline_rejects_languages_not_learnt(spark):
+    rows = [*corpus(120, 6), *[(600 + i, GREEK, "el", None) for i in range(2)]]
+    rows += [(700, "น้ำท่วมหลายพื้นที่ในภาคเหนือของประเทศ the", None, None), (701, "qxz wvk jjq zzx kqp vbw xqz and", None, None)]
+    kept = {r.doc_id for r in corpus_pipeline.by_language(spark, frame(spark, rows), "").collect()}
+    assert kept == {r[0] for r in rows} - {700, 701}
