@@ -142,14 +142,18 @@ def decided(filters: Filters, texts: pa.Array) -> tuple[list[str], np.ndarray]:
 
 
 def identify(
-    docs: DataFrame, filters: Filters, keep: list[str] | None = None, names: tuple[str, ...] = ("lang_pred", "score")
+    docs: DataFrame,
+    filters: Filters,
+    keep: list[str] | None = None,
+    names: tuple[str, ...] = ("lang_pred", "score"),
+    text: str = "text",
 ) -> DataFrame:
     """The ``keep`` columns (doc_id alone by default) with predicted language and score, and coverage if a third name is given."""
     keep = ["doc_id"] if keep is None else keep
     name = "_read"
     while name in keep:
         name += "_"
-    rows = docs.select(F.col("text").cast("string").alias(name), *keep)
+    rows = docs.select(F.col(text).cast("string").alias(name), *keep)
     schema = T.StructType(rows.schema.fields[1:]).add(names[0], "string")
     for number in names[1:]:
         schema = schema.add(number, "double")
