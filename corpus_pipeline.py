@@ -4,8 +4,10 @@ Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kep
 Parquet and read again.  All but the last return the columns of their input.
 
 * ``language``: documents without a letter are rejected, and those whose best language has less than ``MIN_SCORE`` of the
-  counts of all languages or holds less than ``MIN_COVERAGE`` of the document's n-grams: foreign scripts and gibberish.  A
-  language not learnt that shares many n-grams with one that is can pass.  If nothing was learnt, all documents stay.
+  counts of all languages or holds less than ``MIN_COVERAGE`` of the document's n-grams: foreign scripts and gibberish.  Keys,
+  numbers and addresses (``OPAQUE``) are no words of any language and are left out of the judgement; a document with fewer
+  than ``MIN_LETTERS`` letters beside them is too short to tell and stays.  A language not learnt that shares many n-grams
+  with one that is can pass.  If nothing was learnt, all documents stay.
 * ``near_duplicates``: of each component of documents linked by Jaccard similarity of word shingles, the one with the
   smallest doc_id stays (of equal rows, one).  Documents without words, and rows without a doc_id, are in no group and stay.
 * ``secrets``: reported spans are replaced by a mask; no document goes.
@@ -24,6 +26,8 @@ from reviewmill.session import Scratch, stage
 
 MIN_SCORE = 0.1
 MIN_COVERAGE = 0.2
+MIN_LETTERS = 20
+OPAQUE = r"[!-~]*[0-9][!-~]*|[!-~]{16,}"
 SIMILARITY = 80  # per cent; shingles of five words
 WIDTH = 5
 
@@ -32,21 +36,35 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     filters = language.fit(docs)
     if not filters.languages:
         return docs
-    names = ("_language", "_language_score", "_language_coverage")
-    found = language.identify(docs, filters, docs.columns, names)
-    kept = (F.col(names[0]) != language.UNKNOWN) & (F.col(names[1]) >= MIN_SCORE) & (F.col(names[2]) >= MIN_COVERAGE)
-    return found.filter(kept).drop(*names)
+    taken = {c.lower() for c in docs.columns}
+    told, names = _free(taken, "words"), tuple(_free(taken, c) for c in ("language", "share", "coverage"))
+    text = F.col("text").cast("string")
+    judged = docs.select(*docs.columns, F.regexp_replace(text, OPAQUE, " ").alias(told))
+    found = language.identify(judged, filters, judged.columns, names, told)
+    known = (F.col(names[0]) != language.UNKNOWN) & (F.col(names[1]) >= MIN_SCORE) & (F.col(names[2]) >= MIN_COVERAGE)
+    enough = F.regexp_like(told, F.lit(rf"(?:\p{{L}}[^\p{{L}}]*+){{{MIN_LETTERS}}}"))
+    kept = F.regexp_like(text, F.lit(r"\p{L}")) & (known | ~enough)
+    return found.filter(kept).drop(told, *names)
+
+
+def _free(taken: set[str], name: str) -> str:
+    """A column name that the input does not have."""
+    while name in taken:
+        name += "_"
+    taken.add(name)
+    return name
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     joined = jaccard_join.join(docs, WIDTH, SIMILARITY)
-    dropped = joined.filter("component_id < doc_id").select("doc_id", F.lit(2).alias("_flag"))
+    flag = _free({c.lower() for c in docs.columns}, "flag")
+    dropped = joined.filter("component_id < doc_id").select("doc_id", F.lit(2).alias(flag))
     # Rows of one doc_id and one text are one document.
     again = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
-    flags = dropped.union(again.select("doc_id", F.lit(1))).groupBy("doc_id").agg(F.max("_flag").alias("_flag"))
+    flags = dropped.union(again.select("doc_id", F.lit(1))).groupBy("doc_id").agg(F.max(flag).alias(flag))
     marked = docs.join(flags, "doc_id", "left")
-    single = marked.filter("_flag IS NULL").select(*docs.columns)
-    repeated = marked.filter("_flag = 1").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    single = marked.filter(F.col(flag).isNull()).select(*docs.columns)
+    repeated = marked.filter(F.col(flag) == 1).select(*docs.columns).dropDuplicates(["doc_id", "text"])
     return single.unionByName(repeated)
 
 
