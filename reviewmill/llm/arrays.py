@@ -86,10 +86,10 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed(inner + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def words_of(texts: pa.Array) -> Words:
-    """Runs of bytes other than blank and tab to carriage return, document by document."""
+def words_of(texts: pa.Array, gaps: np.ndarray = SPACE) -> Words:
+    """Runs of bytes outside ``gaps`` (by default blank and tab to carriage return), document by document."""
     data, offsets = buffer_of(texts)
-    solid = ~SPACE[data]
+    solid = ~gaps[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     last = solid.copy()

@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import fingerprints, html_text, jaccard_join, language, mixing, packing, quality_model, quality_rules, secrets, toxicity
+from reviewmill.llm import (
+    alignment,
+    fingerprints,
+    html_text,
+    impact_search,
+    jaccard_join,
+    language,
+    mixing,
+    packing,
+    piece_tokens,
+    quality_model,
+    quality_rules,
+    secrets,
+    toxicity,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -56,6 +70,24 @@ def op10_quality_model(spark: SparkSession, folder: str) -> DataFrame:
     return quality_model.held_out_query(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary, model = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.query(table(spark, folder, "documents"), vocabulary, model)
+
+
+def op12_piece_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return piece_tokens.digest(piece_tokens.decoded(piece_tokens.encoded(table(spark, folder, "documents"), model), model))
+
+
+def op13_impact_search(spark: SparkSession, folder: str) -> DataFrame:
+    return impact_search.digest(impact_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_jaccard_join": op2_jaccard_join,
@@ -67,8 +99,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_quality_rules": op9_quality_rules,
     "op10_quality_model": op10_quality_model,
+    "op11_alignment": op11_alignment,
+    "op12_piece_tokens": op12_piece_tokens,
+    "op13_impact_search": op13_impact_search,
 }
 ORACLES: dict[str, str] = {
     "op5_mixing": mixing.ORACLE,
     "op9_quality_rules": quality_rules.ORACLE,
+    "op13_impact_search": impact_search.ORACLE,
 }
