@@ -14,14 +14,19 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def texts(spark: SparkSession, folder: str, name: str = "documents") -> DataFrame:
-    """A table with long texts."""
-    return load(spark, folder, name)
+def texts(spark: SparkSession, folder: str, name: str = "documents", shared_out: bool = False) -> DataFrame:
+    """A table with long texts.
 
+    The given files have few row groups, and a row group is not divided, so one task would have all the texts.
+    ``shared_out`` deals the rows (of the columns that are read) to tasks anew, by size; tables of many row groups need no such shuffle.
+    """
+    rows = load(spark, folder, name)
+    return rows.hint("rebalance") if shared_out else rows
 
-def reviews(spark: SparkSession, folder: str, flags: bool = True) -> DataFrame:
+
+def reviews(spark: SparkSession, folder: str, flags: bool = True, shared_out: bool = False) -> DataFrame:
     """Typed review table: ``documents``, with ``labels`` where the flags are used."""
-    docs = texts(spark, folder).drop("n_chars")
+    docs = texts(spark, folder, shared_out=shared_out).drop("n_chars")
     if flags:
         docs = docs.join(load(spark, folder, "labels").select("doc_id", "quality"), "doc_id", "left")
     else:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from reviewmill.catalog.corpus import LEFT_OUT, MIN_REVIEWS, RAW_SQL, REVIEWS_SQL, tagged_sql
+from reviewmill.catalog.corpus import LEFT_OUT, MIN_REVIEWS, RAW_SQL, RECORD_TAGS, REVIEWS_SQL, tagged_sql
 from reviewmill.catalog.stem_sql import stem_ctes
 from reviewmill.functions.convert import WEEKDAYS
 from reviewmill.functions.tokens import STOPWORDS
-from reviewmill.operators.extract import ANY_TAG
 from reviewmill.schema import NESTED_KEYS, REVIEW_COLUMNS
 
+# Fixed value: what a tag scan takes for a tag.
+TAG_SQL = r"<\s*/?\s*[a-zA-Z0-9_ ]+\s*>"
 EMOJI_SQL = (
     r"[\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}\x{1F1E0}-\x{1F1FF}"
     r"\x{2500}-\x{2BEF}\x{2702}-\x{27B0}\x{24C2}-\x{1F251}]+"
@@ -138,7 +139,7 @@ def _variants() -> str:
         f"SELECT '{f}' AS field, tag, count(*) AS n FROM tags WHERE {rule} GROUP BY 2" for f, rule in fields.items()
     )
     return (
-        f"{RECORDS},{tagged_sql()}, tags AS (SELECT unnest(regexp_extract_all(record, '{ANY_TAG}')) AS tag FROM rec) {parts}"
+        f"{RECORDS},{tagged_sql()}, tags AS (SELECT unnest(regexp_extract_all(record, '{TAG_SQL}')) AS tag FROM rec) {parts}"
     )
 
 
@@ -310,7 +311,10 @@ def build() -> dict[str, str]:
 
     raw = f"WITH {REVIEWS_SQL},{RAW_SQL},{tagged_sql()}"
     q["tagged_files"] = f"{raw} SELECT CAST(length(record) AS BIGINT) AS length, count(*) AS n FROM rec GROUP BY 1"
-    q["file_listing"] = 'SELECT count(*) > 0 AS "any", count(*) > 0 AS counted FROM documents'
+    # Tags and line feeds around the body of each record, and the line feed after each row of two records.
+    around = sum(len(a) + len(b) + 1 for a, b in RECORD_TAGS) + 1
+    q["file_listing"] = f"""{raw} SELECT CAST(sum(strlen(record)) + {around} * count(*) // 2 AS BIGINT) AS bytes,
+        true AS all_counted FROM rec"""
     q["first_record_file"] = f"{raw} SELECT record FROM rec ORDER BY seq LIMIT 1"
     q["summary_file"] = q["summary_counts"].split(" ORDER BY")[0]
     q["helpful_flag_file"] = f"""WITH {REVIEWS_SQL} SELECT parent_product_id, rating,

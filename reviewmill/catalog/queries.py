@@ -32,7 +32,7 @@ def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 
 
 def _cleaned(spark: SparkSession, folder: str, flags: bool = False) -> DataFrame:
-    return table.cleaned(reviews(spark, folder, flags))
+    return table.cleaned(reviews(spark, folder, flags, shared_out=True))
 
 
 def _standard(spark: SparkSession, folder: str, flags: bool = False) -> DataFrame:
@@ -41,11 +41,11 @@ def _standard(spark: SparkSession, folder: str, flags: bool = False) -> DataFram
 
 
 def _records(spark: SparkSession, folder: str, leave_out: bool = False) -> DataFrame:
-    found = tagged_text.split_records(tagged(reviews(spark, folder), leave_out))
+    found = tagged_text.split_records(tagged(reviews(spark, folder, shared_out=True), leave_out))
     return found.select((F.col("row") * 2 + F.col("pos")).alias(SEQ), "record")
 
 
-def _tokens(spark: SparkSession, folder: str) -> DataFrame:
+def _tokens(spark: SparkSession, folder: str) -> tokenise.Tokens:
     return staged_tokens(_standard(spark, folder).select(PRODUCT, SEQ, "review_text"), MIN_REVIEWS)
 
 
@@ -73,8 +73,8 @@ def semi_qualified(spark, folder):
 
 @query
 def clean_text(spark, folder):
-    docs = texts(spark, folder).select(F.col("doc_id").alias("id"), F.lit("document").alias("kind"), "text")
-    pages = texts(spark, folder, "pages").select(F.col("page_id").alias("id"), F.lit("page").alias("kind"), F.col("html").alias("text"))
+    docs = texts(spark, folder, shared_out=True).select(F.col("doc_id").alias("id"), F.lit("document").alias("kind"), "text")
+    pages = texts(spark, folder, "pages", shared_out=True).select(F.col("page_id").alias("id"), F.lit("page").alias("kind"), F.col("html").alias("text"))
     marked = F.concat(F.lit("☕<b>"), "text", F.lit("</b>\U0001f603 ok\U0001f1e6"))
     return docs.unionByName(pages).select(
         "kind",
@@ -88,7 +88,7 @@ def clean_text(spark, folder):
 @query
 def html_strip_pages(spark, folder):
     html = F.col("html")
-    return texts(spark, folder, "pages").select(
+    return texts(spark, folder, "pages", shared_out=True).select(
         "page_id",
         clean.strip_html(html).alias("text"),
         F.length(clean.strip_unprintable(clean.strip_html(html))).cast("bigint").alias("printable"),
@@ -180,7 +180,7 @@ def unmatched_preview(spark, folder):
 
 @query
 def tokens_by_doc(spark, folder):
-    docs = texts(spark, folder)
+    docs = texts(spark, folder, shared_out=True)
     kept = tk.long_enough(tk.without_stopwords(tk.words(F.col("text")), tk.STOPWORDS))
     listed = docs.select("doc_id", kept.alias("tokens"))
     return listed.select("doc_id", F.array_join("tokens", " ").alias("tokens"), F.size("tokens").cast("bigint").alias("n"))
@@ -188,14 +188,14 @@ def tokens_by_doc(spark, folder):
 
 @query
 def stopword_anti(spark, folder):
-    words = texts(spark, folder).select(F.explode(tk.words(F.col("text"))).alias("word"))
+    words = texts(spark, folder, shared_out=True).select(F.explode(tk.words(F.col("text"))).alias("word"))
     stop = spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{w}')" for w in tk.STOPWORDS) + " AS stop(word)")
     return tokenise.without_stopwords(words, stop).groupBy("word").agg(F.count("*").alias("n"))
 
 
 @query
 def porter_stem(spark, folder):
-    words = texts(spark, folder).select(F.explode(tk.words(F.col("text"))).alias("word")).distinct()
+    words = texts(spark, folder, shared_out=True).select(F.explode(tk.words(F.col("text"))).alias("word")).distinct()
     return words.select("word", tk.stem_word("word").alias("stem"))
 
 
@@ -245,7 +245,7 @@ def count_vectors(spark, folder):
 @query
 def vector_text(spark, folder):
     tokens, _, found = _vectors(spark, folder)
-    return vectors.vector_lines(found, tokens)
+    return vectors.vector_lines(found, tokens.texts)
 
 
 # ---- insights ---------------------------------------------------------------------
@@ -483,18 +483,19 @@ def tagged_files(spark, folder):
 
 @query
 def file_listing(spark, folder):
-    """Files without content are no text files; every other one is listed once."""
+    """Bytes of all listed files, and whether as many were counted as listed."""
     path = _tagged_files(spark, folder)
-    listed = tagged_text.list_files(spark, path).filter("length > 0")
-    counted = tagged_text.count_files(spark, path)
-    return listed.agg((F.count("*") > 0).alias("any")).join(counted.select((F.col("files") > 0).alias("counted")))
+    listed = tagged_text.list_files(spark, path)
+    found = listed.agg(F.sum("length").alias("bytes"), F.count_distinct("path").alias("listed"))
+    counted = tagged_text.count_files(spark, path).scalar()
+    return found.select("bytes", (F.col("listed") == counted).alias("all_counted"))
 
 
 @query
 def first_record_file(spark, folder):
+    """The first record of the whole table, written in order of ``seq``."""
     path = new_folder(spark, "first")
-    rv = reviews(spark, folder).orderBy(SEQ).limit(3)
-    tagged(rv).coalesce(1).select("value").write.text(path)
+    tagged(reviews(spark, folder)).orderBy("row").select("value").write.text(path)
     return tagged_text.first_record(tagged_text.read_records(spark, path))
 
 
@@ -519,7 +520,7 @@ def stopword_file(spark, folder):
     """Stopwords by way of a file, with repeats, against the words of the documents."""
     path = new_folder(spark, "stopwords")
     spark.createDataFrame([(w,) for w in [*tk.STOPWORDS, *tk.STOPWORDS]], "value string").write.text(path)
-    words = texts(spark, folder).select(F.explode(tk.words(F.col("text"))).alias("word"))
+    words = texts(spark, folder, shared_out=True).select(F.explode(tk.words(F.col("text"))).alias("word"))
     kept = tokenise.without_stopwords(words, dictionaries.read_stopwords(spark, path))
     return kept.groupBy("word").agg(F.count("*").alias("n"))
 
@@ -536,5 +537,5 @@ def vector_file(spark, folder):
     """Count vectors by way of a file; products without terms are lines without items."""
     path = new_folder(spark, "vectors")
     tokens, _, found = _vectors(spark, folder)
-    files.write_vectors(stage(found, "vectors"), tokens, path)
+    files.write_vectors(stage(found, "vectors"), tokens.texts, path)
     return dictionaries.read_vectors(spark, path)

@@ -70,9 +70,14 @@ def stem_word(token: pa.Array) -> pa.Array:
     return _stem_values(token)
 
 
+def kept_words(text: Column, stopwords: list[str]) -> Column:
+    """Split, stop, cut by length, before stemming, so that short stems stay."""
+    return long_enough(without_stopwords(words(text), stopwords))
+
+
 def review_tokens(text: Column, stopwords: list[str]) -> Column:
-    """Split, stop, cut by length, stem - in this order, so that short stems stay."""
-    return stem_all(long_enough(without_stopwords(words(text), stopwords)))
+    """Split, stop, cut by length, stem - in this order."""
+    return stem_all(kept_words(text, stopwords))
 
 
 def adjacent_pairs(tokens: Column) -> Column:

@@ -59,28 +59,86 @@ def field_pattern(field: str) -> str:
     return rf"(?iU){opening}\s*([^\n]*?)\s*{closing}"
 
 
-def field_value(record: Column, field: str) -> Column:
-    """Value of a field, null when the record has none.
+# White space of the field patterns (Unicode's), for trimming.
+BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
-    The search stops at the first match.  Only an empty result needs a second look, to tell an
-    empty value from no match.
+
+def _tag_pattern() -> str:
+    """Opening and closing tags of all fields."""
+    others = "|".join(names for field, names in TAG_NAMES.items() if field != "category")
+    return rf"(?iU)<\s*(?:/{{0,2}}category|/*\s*(?:{others}))\s*>"
+
+
+def _tag_names() -> dict[str, str]:
+    """Names of tags, in small letters without blanks and underscores, and their fields."""
+    found = {}
+    for field, names in TAG_NAMES.items():
+        for name in names.replace(r"[\s_]*", "").replace(r"(?:is)?", "").split("|"):
+            found[name.replace("?", "")] = field
+            if "?" in name:
+                at = name.index("?")
+                found[name[: at - 1] + name[at + 1 :]] = field
+    found["isverifiedpurchase"] = "is_verified_purchase"
+    return found
+
+
+def field_values(records: DataFrame) -> DataFrame:
+    """``records`` with ``found``: every pair of an opening and a closing tag of a field that has a value, in order.
+
+    One pass finds all tags, one takes the text between them; fields are told apart on that short list.
+    The value of an opening tag reaches to the next closing tag of its field, over other tags too, and lies on one line
+    once white space at its ends is gone.  An entry has ``field``, ``start`` and ``end`` (places of its tags) and ``value``.
     """
-    pattern = field_pattern(field)
-    value = F.regexp_extract(record, pattern, 1)
-    return F.when(value != "", value).when(F.regexp_like(record, F.lit(pattern)), "")
+    tag = F.lit(_tag_pattern())
+    fields = F.create_map(*(F.lit(x) for item in _tag_names().items() for x in item))
+    kept = [c for c in records.columns if c != "found"]
+    scanned = records.select(
+        *kept, F.regexp_extract_all("record", tag, 0).alias("tags"), F.split("record", _tag_pattern()).alias("gaps")
+    )
+
+    def told(t: Column) -> Column:
+        slashes = F.length(t) - F.length(F.replace(t, F.lit("/")))
+        # Letters fold as in a pattern without regard to case.
+        name = F.regexp_replace(F.lower(F.upper(F.translate(t, "\u0130", "I"))), r"(?U)[<>/_\s]+", "")
+        field = fields[name]
+        free = field.isin(*SLASH_OPTIONAL)
+        opens = slashes <= F.when(field == "category", 1).otherwise(0)
+        return F.struct(field.alias("field"), opens.alias("opens"), ((slashes > 0) | free).alias("closes"))
+
+    coded = scanned.select(*kept, "tags", "gaps", F.transform("tags", told).alias("coded"))
+    n = F.size("coded")
+
+    def pair(c: Column, i: Column) -> Column:
+        following = F.get(F.col("coded"), i + 1)
+        after = F.sequence(i + 2, n - 1)
+        later = F.filter(after, lambda j: (F.get(F.col("coded"), j)["field"] == c["field"]) & F.get(F.col("coded"), j)["closes"])
+        far = F.when(i + 2 < n, F.get(later, F.lit(0)))
+        end = F.when((following["field"] == c["field"]) & following["closes"], i + 1).otherwise(far)
+        between = F.transform(
+            F.sequence(i + 1, end),
+            lambda j: F.concat(F.get(F.col("gaps"), j), F.when(j < end, F.get(F.col("tags"), j)).otherwise("")),
+        )
+        text = F.when(end == i + 1, F.get(F.col("gaps"), i + 1)).when(end.isNotNull(), F.array_join(between, ""))
+        value = F.btrim(text, F.lit(BLANKS))
+        return F.when(
+            c["opens"], F.struct(c["field"].alias("field"), i.alias("start"), end.alias("end"), value.alias("value"))
+        )
+
+    pairs = F.filter(F.transform("coded", pair), lambda p: p["value"].isNotNull() & ~F.contains(p["value"], F.lit("\n")))
+    return coded.select(*kept, pairs.alias("found"))
 
 
 def extract_fields(records: DataFrame, missing: str | None = None) -> DataFrame:
     """The eleven fields of each record as strings, taken record by record.
 
-    A field without a match is null, or ``missing`` when given.
+    A field without a match is null, or ``missing`` when given; of several matches the first counts.
     """
 
     def value(field: str) -> Column:
-        found = field_value(F.col("record"), field)
-        return (found if missing is None else F.coalesce(found, F.lit(missing))).alias(field)
+        first = F.get(F.filter("found", lambda p: p["field"] == field), F.lit(0))["value"]
+        return (first if missing is None else F.coalesce(first, F.lit(missing))).alias(field)
 
-    return records.select(*[value(c) for c in REVIEW_COLUMNS], SEQ)
+    return field_values(records.select("record", SEQ)).select(*[value(c) for c in REVIEW_COLUMNS], SEQ)
 
 
 def extract_or_missing(records: DataFrame) -> DataFrame:
@@ -120,11 +178,21 @@ def tag_variants(records: DataFrame) -> DataFrame:
 
 
 def match_counts(records: DataFrame) -> DataFrame:
-    """Hits of each field's pattern against the number of records."""
-    hits = records.agg(
-        F.count("*").alias("records"),
-        *[F.sum(F.regexp_count("record", F.lit(field_pattern(f)))).alias(f) for f in REVIEW_COLUMNS],
-    )
+    """Hits of each field's pattern against the number of records.
+
+    Matches of a field do not overlap: after one, the next begins behind its closing tag.
+    """
+    nothing = F.struct(F.lit(-1).alias("end"), F.lit(0).alias("n"))
+
+    def step(so_far: Column, p: Column) -> Column:
+        more = F.struct(p["end"].alias("end"), (so_far["n"] + 1).alias("n"))
+        return F.when(p["start"] > so_far["end"], more).otherwise(so_far)
+
+    def hits_of(field: str) -> Column:
+        return F.aggregate(F.filter("found", lambda p: p["field"] == field), nothing, step)["n"]
+
+    found = field_values(records.select("record"))
+    hits = found.agg(F.count("*").alias("records"), *[F.sum(hits_of(f)).alias(f) for f in REVIEW_COLUMNS])
     return hits.unpivot("records", REVIEW_COLUMNS, "field", "hits").select("field", "hits", "records")
 
 
@@ -135,9 +203,9 @@ def unmatched(records: DataFrame, field: str) -> DataFrame:
 
 def unmatched_counts(records: DataFrame) -> DataFrame:
     """Number of records without a match, for every field in one pass."""
-    missing = records.agg(
-        *[F.count_if(~F.regexp_like("record", F.lit(field_pattern(f)))).alias(f) for f in REVIEW_COLUMNS]
-    )
+    fields = F.transform("found", lambda p: p["field"])
+    found = field_values(records.select("record")).select(fields.alias("fields"))
+    missing = found.agg(*[F.count_if(~F.array_contains("fields", f)).alias(f) for f in REVIEW_COLUMNS])
     return missing.unpivot([], REVIEW_COLUMNS, "field", "unmatched")
 
 

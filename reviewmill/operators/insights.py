@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.functions import convert
 from reviewmill.functions.tokens import word_count
+from reviewmill.operators.ranges import quantiles
 from reviewmill.schema import MISSING, PRODUCT
 from reviewmill.session import stage
 
@@ -53,7 +54,8 @@ def length_histogram(reviews: DataFrame) -> DataFrame:
 
 def length_cutoff(histogram: DataFrame, share: float = TRIM_SHARE) -> DataFrame:
     """Exact quantile with linear interpolation, weighted by the counts."""
-    return histogram.agg(F.percentile("review_length", share, F.col("n")).alias("cutoff"))
+    lengths = histogram.groupBy("review_length").agg(F.sum("n").alias("n"))
+    return quantiles(lengths, [], "review_length", "n", share, "cutoff")
 
 
 def trimmed(histogram: DataFrame, share: float = TRIM_SHARE) -> DataFrame:
@@ -63,15 +65,17 @@ def trimmed(histogram: DataFrame, share: float = TRIM_SHARE) -> DataFrame:
 
 def length_by_rating(reviews: DataFrame, share: float = TRIM_SHARE) -> DataFrame:
     """Number, mean, median and extremes of the trimmed lengths per rating."""
-    kept = trimmed(stage(length_histogram(reviews), "lengths"), share)
+    kept = stage(trimmed(stage(length_histogram(reviews), "lengths"), share), "trimmed")
     length, n = F.col("review_length"), F.col("n")
-    return kept.groupBy("rating").agg(
+    counts = kept.groupBy("rating").agg(
         F.sum("n").alias("reviews"),
         (F.sum(length * n) / F.sum("n")).alias("mean_length"),
-        F.percentile("review_length", 0.5, n).alias("median_length"),
         F.min("review_length").alias("min_length"),
         F.max("review_length").alias("max_length"),
     )
+    medians = quantiles(kept, ["rating"], "review_length", "n", 0.5, "median_length").withColumnRenamed("rating", "rated")
+    both = counts.join(medians, F.col("rating").eqNullSafe(F.col("rated")), "left")
+    return both.select("rating", "reviews", "mean_length", "median_length", "min_length", "max_length")
 
 
 def length_density(reviews: DataFrame, share: float = TRIM_SHARE, points: int = GRID_POINTS) -> DataFrame:
@@ -81,17 +85,19 @@ def length_density(reviews: DataFrame, share: float = TRIM_SHARE, points: int =
     bandwidths beyond the extremes.  Ratings with fewer than two distinct lengths have no
     density.  Work is the number of distinct lengths times the grid size.
     """
-    kept = trimmed(stage(length_histogram(reviews), "lengths"), share).filter(F.col("rating").isNotNull())
+    kept = stage(trimmed(stage(length_histogram(reviews), "lengths"), share).filter(F.col("rating").isNotNull()), "trimmed")
     length, n = F.col("review_length").cast("double"), F.col("n").cast("double")
     shape = kept.groupBy("rating").agg(
         F.sum(n).alias("total"),
         (F.sum(n * length) / F.sum(n)).alias("mean"),
-        F.sum(n * length * length).alias("squares"),
         F.min(length).alias("low"),
         F.max(length).alias("high"),
     )
-    variance = (F.col("squares") - F.col("total") * F.col("mean") ** 2) / (F.col("total") - 1)
-    shape = shape.filter(F.col("high") > F.col("low")).select(
+    # Squares around the mean, which keep the digits that raw squares lose.
+    away = kept.join(shape.select("rating", "mean"), "rating")
+    squares = away.groupBy("rating").agg(F.sum(n * F.pow(length - F.col("mean"), 2)).alias("squares"))
+    variance = F.col("squares") / (F.col("total") - 1)
+    shape = shape.join(squares, "rating").filter(F.col("high") > F.col("low")).select(
         "rating",
         "total",
         "low",

@@ -1,48 +1,87 @@
-"""Token lists of reviews."""
+"""Words of reviews: lists, codes, and the dictionary that leads from words to terms."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.functions import tokens as tk
 from reviewmill.schema import PRODUCT, SEQ
+from reviewmill.session import stage
 
 TEXT = "review_text"
 
 
-def review_tokens(reviews: DataFrame, stopwords: list[str] | DataFrame = tk.STOPWORDS) -> DataFrame:
-    """``(product, seq, tokens)`` with the stems of each review in order.
+@dataclass
+class Tokens:
+    """Reviews as lists of word codes, and the dictionary of the words; both are staged.
+
+    A code is a 64-bit hash of the word, so a text is coded where it is: no token is shuffled to find its number.  Counting and
+    pairing run on codes; terms (stems) are looked up for counts, never for tokens, and
+    only the words of the dictionary, each once, are stemmed.
+    """
+
+    texts: DataFrame  # (product, seq, codes), in the order of the text
+    words: DataFrame  # (code, word, term)
+
+
+def review_words(reviews: DataFrame, stopwords: list[str] | DataFrame = tk.STOPWORDS) -> DataFrame:
+    """``(product, seq, words)``: the words of each review that are no stopwords and long enough, in order.
 
-    Reviews left without tokens stay, with an empty list: their product still counts.
+    Reviews left without words stay, with an empty list: their product still counts.
     A review without a text has none.  Stopwords come as a list, which becomes part of the
     expression, or as a table with a column ``word``, which is joined; the results are the same.
     """
     if isinstance(stopwords, DataFrame):
-        return _tokens_by_join(reviews, stopwords)
+        return _words_by_join(reviews, stopwords)
     text = F.coalesce(F.col(TEXT), F.lit(""))
-    return reviews.select(PRODUCT, SEQ, tk.review_tokens(text, stopwords).alias("tokens"))
+    return reviews.select(PRODUCT, SEQ, tk.kept_words(text, stopwords).alias("words"))
 
 
-def _tokens_by_join(reviews: DataFrame, stopwords: DataFrame) -> DataFrame:
+def _words_by_join(reviews: DataFrame, stopwords: DataFrame) -> DataFrame:
     spread = reviews.select(PRODUCT, SEQ, F.posexplode(tk.long_enough(tk.words(F.col(TEXT)))).alias("pos", "word"))
     kept = spread.join(stopwords.select("word"), "word", "left_anti")
     lists = kept.groupBy(PRODUCT, SEQ).agg(F.sort_array(F.collect_list(F.struct("pos", "word"))).alias("kept"))
-    lists = lists.select(PRODUCT, SEQ, tk.stem_all(F.col("kept.word")).alias("tokens"))
     empty = F.array().cast("array<string>")
     return (
         reviews.select(PRODUCT, SEQ)
         .join(lists, [PRODUCT, SEQ], "left")
-        .select(PRODUCT, SEQ, F.coalesce("tokens", empty).alias("tokens"))
+        .select(PRODUCT, SEQ, F.coalesce(F.col("kept.word"), empty).alias("words"))
     )
 
 
+def review_tokens(reviews: DataFrame, stopwords: list[str] | DataFrame = tk.STOPWORDS) -> DataFrame:
+    """``(product, seq, tokens)`` with the stems of each review in order."""
+    return review_words(reviews, stopwords).select(PRODUCT, SEQ, tk.stem_all(F.col("words")).alias("tokens"))
+
+
+def word_code(word: Column, seed: int = 0) -> Column:
+    return F.xxhash64(word, F.lit(seed)) if seed else F.xxhash64(word)
+
+
+def coded(reviews: DataFrame, stopwords: list[str] | DataFrame = tk.STOPWORDS, code=word_code) -> Tokens:
+    """The words of the reviews as codes.  If two words of the dictionary have one code, all are coded afresh."""
+    lists = stage(review_words(reviews, stopwords), "words")
+    distinct = lists.select(F.explode("words").alias("word")).distinct()
+    stems = stage(distinct.select("word", tk.stem_word("word").alias("term")), "stems")
+    seed = 0
+    while not stems.groupBy(code(F.col("word"), seed)).count().filter("count > 1").isEmpty():
+        seed += 1
+    texts = lists.select(PRODUCT, SEQ, F.transform("words", lambda w: code(w, seed)).alias("codes"))
+    words = stems.select(code(F.col("word"), seed).alias("code"), "word", "term")
+    return Tokens(stage(texts, "texts"), stage(words, "dictionary"))
+
+
 def without_stopwords(words: DataFrame, stopwords: DataFrame) -> DataFrame:
     """Rows of single words that are on no stopword list; repeats stay."""
     return words.join(stopwords.select("word"), "word", "left_anti")
 
 
-def term_counts(tokens: DataFrame) -> DataFrame:
-    """``(product, term, n)``; equal terms of a product are added up before the shuffle."""
-    spread = tokens.select(PRODUCT, F.explode("tokens").alias("term"))
-    return spread.groupBy(PRODUCT, "term").agg(F.count("*").alias("n"))
+def term_counts(tokens: Tokens) -> DataFrame:
+    """``(product, term, n)``; equal words of a product are added up before the shuffle, then the words of a term."""
+    spread = tokens.texts.select(PRODUCT, F.explode("codes").alias("code"))
+    counts = spread.groupBy(PRODUCT, "code").agg(F.count("*").alias("n"))
+    terms = counts.join(tokens.words.select("code", "term"), "code")
+    return terms.groupBy(PRODUCT, "term").agg(F.sum("n").alias("n"))

@@ -7,27 +7,29 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reviewmill.functions.tokens import adjacent_pairs
+from reviewmill.operators.tokenise import Tokens
 from reviewmill.operators.vocabulary import Vocabulary
 from reviewmill.schema import PRODUCT, SEQ, run_of
+from reviewmill.session import stage
 
 
-def inner_pairs(tokens: DataFrame) -> DataFrame:
-    """``(product, w1, w2)``: neighbours inside each review."""
-    return tokens.select(PRODUCT, F.inline(adjacent_pairs(F.col("tokens"))))
+def inner_pairs(tokens: Tokens) -> DataFrame:
+    """``(product, w1, w2)``: codes of neighbours inside each review."""
+    return tokens.texts.select(PRODUCT, F.inline(adjacent_pairs(F.col("codes"))))
 
 
-def border_pairs(tokens: DataFrame) -> DataFrame:
-    """``(product, w1, w2)``: last token of a review and first token of the product's next one.
+def border_pairs(tokens: Tokens) -> DataFrame:
+    """``(product, w1, w2)``: codes of the last word of a review and the first of the product's next one.
 
-    Only the two end tokens of each review with tokens take part.  They meet first within
+    Only the two end words of each review with words take part.  They meet first within
     a run, then one row per run meets the next run of the product.
     """
-    ends = tokens.filter(F.size("tokens") > 0).select(
+    ends = tokens.texts.filter(F.size("codes") > 0).select(
         PRODUCT,
         run_of().alias("run"),
         SEQ,
-        F.element_at("tokens", 1).alias("head"),
-        F.element_at("tokens", -1).alias("tail"),
+        F.element_at("codes", 1).alias("head"),
+        F.element_at("codes", -1).alias("tail"),
     )
     in_run = W.partitionBy(PRODUCT, "run").orderBy(SEQ)
     ends = ends.select(
@@ -48,7 +50,7 @@ def border_pairs(tokens: DataFrame) -> DataFrame:
     return met.select(PRODUCT, F.col("tail").alias("w1"), F.col("next_head").alias("w2"))
 
 
-def count_vectors(tokens: DataFrame, vocabulary: Vocabulary, boundary: str = "product") -> DataFrame:
+def count_vectors(tokens: Tokens, vocabulary: Vocabulary, boundary: str = "product") -> DataFrame:
     """``(product, idx, n)`` for terms and pairs of the vocabulary.
 
     Pairs are neighbours among all tokens of a product in review order, over review
@@ -57,8 +59,12 @@ def count_vectors(tokens: DataFrame, vocabulary: Vocabulary, boundary: str = "pr
     pairs = inner_pairs(tokens)
     if boundary == "product":
         pairs = pairs.unionByName(border_pairs(tokens))
-    # A few hundred rows by default: the size of the staged table lets Spark broadcast it.
-    wanted = vocabulary.pairs.select("w1", "w2", "term")
+    # The pairs of words that make one of the wanted pairs of terms: a few thousand rows by default, whose
+    # size Spark sees, so that it sends them if that is small.
+    known = tokens.words.select("code", "term")
+    first, second = known.toDF("c1", "w1"), known.toDF("c2", "w2")
+    wanted = vocabulary.pairs.select("w1", "w2", "term").join(first, "w1").join(second, "w2")
+    wanted = stage(wanted.select(F.col("c1").alias("w1"), F.col("c2").alias("w2"), "term"), "wanted")
     paired = pairs.join(wanted, ["w1", "w2"]).groupBy(PRODUCT, "term").agg(F.count("*").alias("n"))
     every = vocabulary.counts.unionByName(paired)
     return every.join(vocabulary.terms, "term").select(PRODUCT, "idx", "n")

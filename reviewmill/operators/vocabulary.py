@@ -4,18 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from reviewmill.functions.tokens import adjacent_pairs
-from reviewmill.operators.tokenise import term_counts
-from reviewmill.schema import PRODUCT, SEQ
+from reviewmill.operators.membership import member_test
+from reviewmill.operators.ranges import places
+from reviewmill.operators.tokenise import Tokens, term_counts
+from reviewmill.schema import PRODUCT
 from reviewmill.session import stage
 
 # Defaults of the vocabulary.
@@ -24,21 +20,19 @@ HIGH_SHARE = 0.95
 MIN_PAIR_COUNT = 2
 TOP_PAIRS = 200
 
-INDEX_PREFIX = 3
-
 
 def term_frequency(counts: DataFrame) -> DataFrame:
     """Products and occurrences of each term: ``(term, product_count, n)``."""
     return counts.groupBy("term").agg(F.count("*").alias("product_count"), F.sum("n").alias("n"))
 
 
-def product_total(tokens: DataFrame) -> DataFrame:
+def product_total(tokens: Tokens) -> DataFrame:
     """Number of products, those without any token included."""
-    return tokens.agg(F.count_distinct(PRODUCT))
+    return tokens.texts.agg(F.count_distinct(PRODUCT))
 
 
 def in_band(
-    frequency: DataFrame, tokens: DataFrame, low: float = LOW_SHARE, high: float = HIGH_SHARE
+    frequency: DataFrame, tokens: Tokens, low: float = LOW_SHARE, high: float = HIGH_SHARE
 ) -> DataFrame:
     """Terms with ``low * N <= product_count < high * N``."""
     total = product_total(tokens).scalar()
@@ -46,45 +40,25 @@ def in_band(
     return frequency.filter((df >= F.lit(low) * total) & (df < F.lit(high) * total))
 
 
-def _keep_only(terms: Broadcast):
-    @F.arrow_udf(T.ArrayType(T.StringType()))
-    def keep_only(tokens: pa.Array) -> pa.Array:
-        values = tokens.flatten()
-        kept = pc.is_in(values, value_set=terms.value)
-        # Positions of the list borders among the kept values.
-        running = np.concatenate([[0], np.cumsum(kept.to_numpy(zero_copy_only=False))])
-        offsets = tokens.offsets.to_numpy() - tokens.offsets[0].as_py()
-        return pa.ListArray.from_arrays(pa.array(running[offsets], pa.int32()), values.filter(kept))
-
-    return keep_only
-
-
-def _neighbours_in_lists(tokens: DataFrame, terms: pa.Array) -> DataFrame:
-    keep_only = _keep_only(tokens.sparkSession.sparkContext.broadcast(terms))
-    return tokens.select(keep_only("tokens").alias("kept")).select(F.inline(adjacent_pairs(F.col("kept"))))
-
-
-def _neighbours_in_rows(tokens: DataFrame, terms: DataFrame) -> DataFrame:
-    spread = tokens.select(PRODUCT, SEQ, F.posexplode("tokens").alias("pos", "term"))
-    kept = spread.join(terms.select("term"), "term", "left_semi")
-    following = F.lead("term").over(W.partitionBy(PRODUCT, SEQ).orderBy("pos"))
-    return kept.select(F.col("term").alias("w1"), following.alias("w2")).filter(F.col("w2").isNotNull())
+def pair_counts(tokens: Tokens, terms: DataFrame) -> DataFrame:
+    """``(w1, w2, n)``: neighbours inside a review once all words of other terms are removed.
 
+    Words are told apart where they are, by bit maps over the codes of the dictionary (see ``membership``); only counts of
+    pairs are shuffled, and terms are looked up for these.
+    """
+    known = tokens.words.select("code", "term")
+    inside = known.join(terms.select("term"), "term", "left_semi")
+    is_kept = member_test(inside, known.join(terms.select("term"), "term", "left_anti"))
+    lists = tokens.texts.select(F.filter("codes", is_kept).alias("codes"))
+    pairs = lists.select(F.inline(adjacent_pairs(F.col("codes")))).groupBy("w1", "w2").agg(F.count("*").alias("n"))
+    return named_pairs(pairs, inside).groupBy("w1", "w2").agg(F.sum("n").alias("n"))
 
-def pair_counts(tokens: DataFrame, terms: DataFrame, in_rows: bool = False) -> DataFrame:
-    """``(w1, w2, n)``: neighbours inside a review once all other tokens are removed.
 
-    The terms are sent to the tasks and the token lists are filtered where they are: only pair
-    counts are shuffled.  A term of the band lies in a share ``low`` of all products at least, so
-    there are at most ``1 / low`` times as many terms as an average product has, however many
-    products there are.  For other terms there is ``in_rows``: tokens are spread into
-    rows, joined with the terms and put back into order review by review; the result is the same.
-    """
-    if in_rows:
-        pairs = _neighbours_in_rows(tokens, terms)
-    else:
-        pairs = _neighbours_in_lists(tokens, terms.select("term").toArrow()["term"].combine_chunks())
-    return pairs.groupBy("w1", "w2").agg(F.count("*").alias("n"))
+def named_pairs(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """Pairs of codes as pairs of terms, by a dictionary ``(code, term)``."""
+    others = [c for c in pairs.columns if c not in ("w1", "w2")]
+    first, second = words.select("code", "term").toDF("w1", "t1"), words.select("code", "term").toDF("w2", "t2")
+    return pairs.join(first, "w1").join(second, "w2").select(F.col("t1").alias("w1"), F.col("t2").alias("w2"), *others)
 
 
 def top_pairs(
@@ -112,24 +86,9 @@ def top_pairs(
     )
 
 
-def dense_index(df: DataFrame, column: str, name: str = "idx", prefix: int = INDEX_PREFIX) -> DataFrame:
-    """Number distinct values 0, 1, ... in order without sorting them in one task.
-
-    Rows are ranked among those with the same first letters; the sizes of the earlier prefixes
-    are added.  Only prefix counts meet in a single task.
-    """
-    head = F.substring(column, 1, prefix).alias("head")
-    sizes = df.groupBy(head).agg(F.count("*").alias("size"))
-    before = W.orderBy("head").rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select("head", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
-    place = F.row_number().over(W.partitionBy("head").orderBy(column)) - 1
-    ranked = df.select(*df.columns, head).withColumn("place", place)
-    return ranked.join(starts, "head").select(*df.columns, (F.col("start") + F.col("place")).alias(name))
-
-
 @dataclass
 class Vocabulary:
-    """A fitted vocabulary.  The counts and the few best pairs are staged copies, the rest follows from them."""
+    """A fitted vocabulary.  Counts, terms of the band and the few best pairs are staged copies, the rest follows from them."""
 
     counts: DataFrame  # (product, term, n) of every token
     unigrams: DataFrame  # (term, product_count, n) within the band
@@ -139,23 +98,22 @@ class Vocabulary:
 
 def vocabulary_terms(unigrams: DataFrame, pairs: DataFrame) -> DataFrame:
     """Single terms and pairs in one sorted list with dense numbers from 0."""
-    return dense_index(unigrams.select("term").unionByName(pairs.select("term")), "term")
+    return places(unigrams.select("term").unionByName(pairs.select("term")), "term")
 
 
-def band_terms(tokens: DataFrame, low: float = LOW_SHARE, high: float = HIGH_SHARE) -> DataFrame:
+def band_terms(tokens: Tokens, low: float = LOW_SHARE, high: float = HIGH_SHARE) -> DataFrame:
     return in_band(term_frequency(term_counts(tokens)), tokens, low, high)
 
 
 def fit(
-    tokens: DataFrame,
+    tokens: Tokens,
     low: float = LOW_SHARE,
     high: float = HIGH_SHARE,
     min_count: int = MIN_PAIR_COUNT,
     top: int = TOP_PAIRS,
-    in_rows: bool = False,
 ) -> Vocabulary:
-    """Fit a vocabulary on staged token lists."""
+    """Fit a vocabulary on coded texts."""
     counts = stage(term_counts(tokens), "counts")
-    unigrams = in_band(term_frequency(counts), tokens, low, high)
-    pairs = stage(top_pairs(pair_counts(tokens, unigrams, in_rows), unigrams, min_count, top), "pairs")
+    unigrams = stage(in_band(term_frequency(counts), tokens, low, high), "unigrams")
+    pairs = stage(top_pairs(pair_counts(tokens, unigrams), unigrams, min_count, top), "pairs")
     return Vocabulary(counts, unigrams, pairs, vocabulary_terms(unigrams, pairs))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from reviewmill.functions.convert import parse_timestamp
 from reviewmill.functions.tokens import STOPWORDS
 from reviewmill.operators import extract, insights, summary, table, validate, vectors, vocabulary
-from reviewmill.operators.tokenise import review_tokens
+from reviewmill.operators.tokenise import Tokens, coded
 from reviewmill.session import stage
 from reviewmill.sinks import files
 from reviewmill.sources import dictionaries, nested, tagged_text, workbook
@@ -47,9 +47,9 @@ def staged_tokens(
     reviews: DataFrame,
     min_reviews: int = summary.MIN_REVIEWS,
     stopwords: list[str] | DataFrame = STOPWORDS,
-) -> DataFrame:
-    """Token lists of the reviews of products with enough texts, written once for all later steps."""
-    return stage(review_tokens(summary.qualified_reviews(reviews, min_reviews), stopwords), "tokens")
+) -> Tokens:
+    """Coded texts and dictionary of the reviews of products with enough texts, written once for all later steps."""
+    return coded(summary.qualified_reviews(reviews, min_reviews), stopwords)
 
 
 def vectorise(
@@ -71,7 +71,7 @@ def vectorise(
     fitted = vocabulary.fit(tokens, low, high, min_count, top)
     files.write_vocabulary(fitted.terms, f"{folder}/vocabulary")
     found = stage(vectors.count_vectors(tokens, fitted, boundary), "vectors")
-    files.write_vectors(found, tokens, f"{folder}/vectors")
+    files.write_vectors(found, tokens.texts, f"{folder}/vectors")
     return fitted
 
 

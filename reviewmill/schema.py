@@ -60,7 +60,6 @@ NESTED_DOCUMENT = T.MapType(
 SOURCE_SHIFT = 58
 WORKBOOK_SOURCE = 0
 TEXT_SOURCE = 1
-LARGE_TEXT_SOURCE = 2
 
 
 def scan_seq(source: int) -> Column:

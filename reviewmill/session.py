@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -63,6 +64,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return copy
 
 
+SMALL_BYTES = 32 << 20
+
+
+def sent_if_small(copy: DataFrame, limit: int = SMALL_BYTES) -> DataFrame:
+    """A staged table with fixed-width columns, marked for broadcast if its files are within ``limit``; else Spark joins it as it likes."""
+    size = int(copy._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return F.broadcast(copy) if size <= limit else copy
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A new place for files in the shared folder, removed when the driver ends."""
     location = f"{shared_folder(spark)}/reviewmill-{label}-{uuid.uuid4().hex}"

@@ -1,4 +1,5 @@
 import json
+import random
 import re
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from reviewmill import session
 from reviewmill.operators import nest, table, validate
+from reviewmill.operators.ranges import running_totals
 from reviewmill.plans import jobs
 from reviewmill.schema import NESTED_KEYS, REVIEW_COLUMNS
 from reviewmill.sinks import files
@@ -29,22 +31,103 @@ def text_tree(folder):
     (folder / "in_4.csv").write_text("<record>no</record>")
 
 
-@pytest.mark.parametrize("limit", [1 << 25, 0])
-def test_tagged_text(spark, tmp_path, limit):
-    text_tree(tmp_path)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+def read_with(spark, folder, split, cores, pattern="in_*.txt"):
+    """Records read with splits of ``split`` bytes, as many as ``cores`` cores would make."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    spark.conf.set("spark.sql.files.minPartitionNum", str(cores))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
     try:
-        found = tagged_text.read_records(spark, str(tmp_path), "in_*.txt", whole_file_limit=limit)
-        by_file = {}
-        for r in found.orderBy("seq").collect():
-            by_file.setdefault(r.path.rsplit("/", 1)[1], []).append(r.record)
-        assert found.select("seq").distinct().count() == found.count()
+        found = tagged_text.read_records(spark, str(folder), pattern)
+        rows = [(r.path.rsplit("/", 1)[1], r.seq, r.offset, r.record) for r in found.orderBy("seq").collect()]
     finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        for name in ("maxPartitionBytes", "minPartitionNum", "openCostInBytes"):
+            spark.conf.unset(f"spark.sql.files.{name}")
+    return rows
+
+
+def plain_records(folder):
+    """(file, offset, record) by path, from whole files."""
+    found = []
+    for path in sorted(folder.rglob("in_*.txt"), key=lambda p: p.as_uri()):
+        for m in re.finditer(rb"(?is)<record>(.*?)</record>", path.read_bytes()):
+            found.append((path.name, m.start(), m[1].decode()))
+    return found
+
+
+@pytest.mark.parametrize("split, cores", [(1 << 27, 1), (2000, 1), (300, 7)])
+def test_tagged_text(spark, tmp_path, split, cores):
+    text_tree(tmp_path)
+    rows = read_with(spark, tmp_path, split, cores)
+    by_file = {}
+    for name, _, _, record in rows:
+        by_file.setdefault(name, []).append(record)
     assert by_file["in_1.txt"] == ["a\n1", "b"]
     assert by_file["in_2.txt"] == ["é"]
     assert by_file["in_3.txt"] == [f"{i} <record> x" for i in range(500)] + ["last"]
     assert set(by_file) == {"in_1.txt", "in_2.txt", "in_3.txt"}
+    assert [(n, o, r) for n, _, o, r in rows] == plain_records(tmp_path)
+    assert [s - rows[0][1] for _, s, _, _ in rows] == list(range(len(rows)))
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_records_do_not_depend_on_splits(spark, tmp_path, seed):
+    """Tags in any case, records longer than several splits, open ends, stray tags, text that is never closed."""
+    rnd = random.Random(seed)
+    closings = ["</record>", "</RECORD>", "</Record>"][:2] if seed < 1 else ["</rEcOrD>", "</RECORD>"]
+    for i in range(4):
+        parts = []
+        for _ in range(rnd.randrange(0, 60)):
+            parts.append(rnd.choice(["<record>", "<RECORD>", "<Record>", "junk ", "\r\n", "</p>", "<", "</", "é\n", "<record", "record>"]))
+            parts.append("x" * rnd.choice([0, 3, 40, 700]))
+            parts.append(rnd.choice([*closings, *closings, "", "</recor d>"]))
+        (tmp_path / f"in_{i} b.txt").write_bytes("".join(parts).encode())
+    (tmp_path / "in_8.txt").write_bytes(b"<record>" + b"never </closed " * 300)
+    (tmp_path / "in_9.txt").write_bytes(b"")
+    want = plain_records(tmp_path)
+    first = read_with(spark, tmp_path, 1 << 27, 1)
+    assert [(n.replace("%20", " "), o, r) for n, _, o, r in first] == want
+    for split, cores in [(400, 3)]:
+        assert read_with(spark, tmp_path, split, cores) == first
+
+
+def test_invalid_bytes_do_not_stop_the_reader(spark, tmp_path):
+    (tmp_path / "in_1.txt").write_bytes(b"<record>a\xff\xfe b</record><record>c</RECORD>")
+    found = tagged_text.read_records(spark, str(tmp_path), "in_*.txt").orderBy("seq")
+    assert [bytes(r[0]) for r in found.select(found.record.cast("binary")).collect()] == [b"a\xff\xfe b", b"c"]
+
+
+def test_text_that_is_never_closed_is_not_brought_together(spark, tmp_path):
+    (tmp_path / "in_1.txt").write_bytes(b"<record>ok</record><record>" + b"open </x " * 2000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        pieces = spark.read.text(str(tmp_path), lineSep="</").select(
+            F.lit(1).cast("long").alias("file"), "_metadata.file_block_start", F.col("value").cast("binary")
+        )
+        cut = session.stage(pieces.mapInArrow(tagged_text._cut, tagged_text.CUT), "cut")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert cut.filter(F.col("kind") == tagged_text.WITHOUT).count() > 10
+    assert tagged_text._chained(cut).count() == 0
+
+
+def test_running_totals(spark):
+    rnd = random.Random(1)
+    values = [(f"k{rnd.randrange(10)}", i, rnd.randrange(5)) for i in range(200)]
+    df = spark.createDataFrame(values, "a string, b int, range int")
+    found = running_totals(df, ["a", "b"], {"range": "before"})
+    total, want = 0, []
+    for a, b, n in sorted(values):
+        want.append((a, b, n, total))
+        total += n
+    assert found.columns == ["a", "b", "range", "before"]
+    assert sorted(map(tuple, found.collect())) == want
+    assert running_totals(df.limit(0), ["a", "b"], {"range": "before"}).count() == 0
+
+
+def test_only_small_tables_are_sent(spark):
+    copy = session.stage(spark.range(1000), "numbers")
+    assert "ResolvedHint" in session.sent_if_small(copy)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in session.sent_if_small(copy, 10)._jdf.queryExecution().analyzed().toString()
 
 
 def test_file_count_and_first_record(spark, tmp_path):

@@ -3,9 +3,10 @@ from helpers import TYPES, brute_vocabulary, random_texts, token_list
 from pyspark.sql import functions as F
 
 from reviewmill.functions.tokens import STOPWORDS
-from reviewmill.operators import insights, summary, vectors, vocabulary
-from reviewmill.operators.tokenise import review_tokens, term_counts, without_stopwords
-from reviewmill.session import stage
+from reviewmill.operators import insights, membership, summary, vectors, vocabulary
+from reviewmill.operators.membership import member_test
+from reviewmill.operators.ranges import places, quantiles
+from reviewmill.operators.tokenise import coded, review_tokens, term_counts, without_stopwords, word_code
 
 LOW, HIGH, FLOOR, TOP = 0.3, 0.95, 2, 5
 
@@ -18,7 +19,7 @@ def rows():
 
 @pytest.fixture(scope="module")
 def tokens(spark, rows):
-    return stage(review_tokens(spark.createDataFrame(rows, TYPES)), "test-tokens")
+    return coded(spark.createDataFrame(rows, TYPES))
 
 
 @pytest.fixture(scope="module")
@@ -35,42 +36,78 @@ def test_against_brute_force(tokens, fitted, rows):
     for r in vectors.count_vectors(tokens, fitted).collect():
         found.setdefault(r.parent_product_id, {})[r.idx] = r.n
     assert found == {p: v for p, v in expected.items() if v}
-    lines = {r.parent_product_id: r.line for r in vectors.vector_lines(vectors.count_vectors(tokens, fitted), tokens).collect()}
+    lines = {r.parent_product_id: r.line for r in vectors.vector_lines(vectors.count_vectors(tokens, fitted), tokens.texts).collect()}
     assert lines["empty"] == "empty,"
     assert lines["p0"] == "p0," + ",".join(f"{i}:{n}" for i, n in sorted(expected["p0"].items()))
 
 
-@pytest.mark.parametrize("in_rows", [False, True])
-def test_both_ways_to_count_pairs(tokens, fitted, rows, in_rows):
+def test_pairs_after_other_words_are_removed(tokens, fitted, rows):
     pairs = brute_vocabulary(rows, LOW, HIGH, FLOOR, TOP)[1]
-    found = {(r.w1, r.w2): r.n for r in vocabulary.pair_counts(tokens, fitted.unigrams, in_rows).collect()}
+    found = {(r.w1, r.w2): r.n for r in vocabulary.pair_counts(tokens, fitted.unigrams).collect()}
     assert found == pairs
 
 
+@pytest.mark.parametrize("listed, bits", [(200, 64), (3, 64), (0, 2), (0, 8)])
+def test_members_are_told_apart_exactly(spark, monkeypatch, listed, bits):
+    """Few bits and no list make many strays and a long cascade."""
+    monkeypatch.setattr(membership, "LISTED", listed)
+    monkeypatch.setattr(membership, "BITS", bits)
+    codes = spark.range(3000).select(F.xxhash64("id").alias("code"), (F.col("id") % 7 == 0).alias("inside"))
+    is_member = member_test(codes.filter("inside"), codes.filter("NOT inside"))
+    assert codes.filter(is_member(F.col("code")) != F.col("inside")).count() == 0
+    listed = codes.agg(F.collect_list("code").alias("codes")).select(F.size(F.filter("codes", is_member)))
+    assert listed.first()[0] == codes.filter("inside").count()
+
+
+def test_membership_in_empty_sets(spark):
+    codes = spark.range(500).select(F.col("id").alias("code"))
+    for inside in (codes.limit(0), codes):
+        is_member = member_test(inside, codes.join(inside, "code", "left_anti"))
+        assert codes.filter(is_member(F.col("code"))).count() == inside.count()
+
+
+def test_words_that_share_a_code_are_coded_afresh(spark):
+    def short(word, seed=0):
+        return F.length(word).cast("long") if seed < 2 else word_code(word, seed)
+
+    rows = [("p", 1, "red glue"), ("p", 2, "dry tape dry")]
+    found = coded(spark.createDataFrame(rows, TYPES), code=short)
+    words = {r.code: r.word for r in found.words.collect()}
+    texts = {r.seq: [words[c] for c in r.codes] for r in found.texts.collect()}
+    assert texts == {1: ["red", "glue"], 2: ["dry", "tape", "dry"]}
+
+
+def test_no_python_over_the_texts(tokens, fitted):
+    """Stemming is done on the dictionary; later plans have no Python step."""
+    for df in (vocabulary.pair_counts(tokens, fitted.unigrams), vectors.count_vectors(tokens, fitted), term_counts(tokens)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Arrow" not in plan and "Python" not in plan
+
+
 def test_band_edges(spark):
     rows = [(f"p{i}", i, ("common " if i < 19 else "") + ("edge" if i == 0 else "other")) for i in range(20)]
-    tokens = review_tokens(spark.createDataFrame(rows, TYPES))
+    tokens = coded(spark.createDataFrame(rows, TYPES))
     kept = {r.term for r in vocabulary.band_terms(tokens).collect()}
     assert "edg" in kept  # in exactly 5 % of the products
     assert "common" not in kept  # in exactly 95 %
 
 
-def test_dense_index_ranks_like_a_sort(spark):
+def test_places_are_those_of_a_sort(spark):
     words = sorted({f"{a}{b}{c}" for a in ("", "a", "ab", "b") for b in ("_x", "y", "zz") for c in ("", "q", "r_s")})
     df = spark.createDataFrame([(w,) for w in words], "term string").repartition(7)
-    assert [r.term for r in vocabulary.dense_index(df, "term").orderBy("idx").collect()] == words
-    assert sorted(r.idx for r in vocabulary.dense_index(df, "term").collect()) == list(range(len(words)))
+    assert [r.term for r in places(df, "term").orderBy("idx").collect()] == words
+    assert sorted(r.idx for r in places(df, "term").collect()) == list(range(len(words)))
 
 
 def test_result_does_not_depend_on_partitions(spark, rows, fitted):
-    other = stage(review_tokens(spark.createDataFrame(rows, TYPES).repartition(13)), "test-tokens")
+    other = coded(spark.createDataFrame(rows, TYPES).repartition(13))
     again = vocabulary.fit(other, LOW, HIGH, FLOOR, TOP)
     assert sorted(fitted.terms.collect()) == sorted(again.terms.collect())
 
 
 def test_boundary_inside_reviews_only(spark):
     rows = [("p", 1, "red glue"), ("p", (1 << 20) + 1, "tape dry"), ("q", 3, "glue tape"), ("q", 4, "glue tape")]
-    tokens = stage(review_tokens(spark.createDataFrame(rows, TYPES)), "test-tokens")
+    tokens = coded(spark.createDataFrame(rows, TYPES))
     fitted = vocabulary.fit(tokens, 0.0, 2.0)
     glue_tape = fitted.terms.filter("term = 'glue_tape'").first().idx
     count = {b: {r.parent_product_id: r.n for r in vectors.count_vectors(tokens, fitted, b).filter(F.col("idx") == glue_tape).collect()}
@@ -111,3 +148,30 @@ def test_products_with_enough_texts(spark):
     assert summary.qualified_reviews(df, 2).count() == 5
     counts = {r.parent_product_id: (r.review_count, r.review_text_count) for r in summary.product_summary(df).collect()}
     assert counts == {"a": (3, 3), "b": (3, 2), "c": (1, 0)}
+
+
+def test_places_of_words_with_a_common_beginning_are_shared_out(spark):
+    words = spark.range(20_000).select(F.concat(F.lit("https://www."), F.lpad("id", 6, "0")).alias("term"))
+    found = places(words.repartition(8), "term")
+    assert found.filter("term <> concat('https://www.', lpad(idx, 6, '0'))").count() == 0
+    sizes = [r[0] for r in found.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert sum(sizes) == 20_000
+
+
+@pytest.mark.parametrize("share", [0.0, 0.25, 0.5, 0.95, 1.0])
+def test_quantiles_are_exact(spark, share):
+    rows = spark.range(200_000).select(
+        F.when(F.col("id") % 5 < 4, F.col("id") % 5).alias("g"), F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("v"), (1 + F.col("id") % 3).alias("n")
+    )
+    rows = rows.union(spark.sql("SELECT 2L, CAST(NULL AS long), 5L")).groupBy("g", "v").agg(F.sum("n").alias("n"))
+    want = {r.g: r.q for r in rows.groupBy("g").agg(F.percentile("v", share, F.col("n")).alias("q")).collect()}
+    found = {r.g: r.quantile for r in quantiles(rows, ["g"], "v", "n", share).collect()}
+    assert found.keys() == want.keys() and all(abs(found[g] - want[g]) < 1e-3 for g in want)
+    whole = rows.groupBy("v").agg(F.sum("n").alias("n"))
+    assert abs(quantiles(whole, [], "v", "n", share).first()[0] - whole.agg(F.percentile("v", share, F.col("n"))).first()[0]) < 1e-3
+
+
+def test_quantiles_of_nothing(spark):
+    empty = spark.createDataFrame([], "g int, v int, n int")
+    assert quantiles(empty, ["g"], "v", "n", 0.5).count() == 0
+    assert quantiles(empty, [], "v", "n", 0.5).first()[0] is None
