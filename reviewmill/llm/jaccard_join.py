@@ -11,12 +11,18 @@
    sets scan inverted lists, one for each of their first ``d + 1`` elements; light sets within reach of the
    boundary are in these lists too.  The boundary minimises the estimated cost: subsets to enumerate against
    list entries to scan, summed by size.
-4. A pair is held against each other only if it can link by size and by parity: every element that only one of
+4. Each list has a *pivot*, a member whose elements are among the most common (an original rather than an altered copy), of several
+   the one with the smallest id.
+   All members are held against it; exact intersections of whole sets decide, and components of these links are found.
+   A group of copies thus costs as many comparisons as it has members.
+5. Pairs within a component cannot change it.  A list that is *mixed*, with members of other components than its pivot's, is
+   crossed if it has at most ``SHORT`` members: each outsider meets the members of other components.
+   A longer mixed list says too little about its members (a passage that many share).  They are joined once more
+   among themselves by steps 2 to 5 with all elements in the block, so that what they share with few others decides,
+   and there every mixed list is crossed.  Two sets that link share a list in the first join; if none of these is short,
+   both are in the second.  No link between different components is lost.
+6. A pair is held against each other only if it can link by size and by parity: every element that only one of
    two sets has flips one bit of ``BITS`` parity bits, so their maps differ in no more bits than the sets differ in elements.
-5. Within a list every member is first held against the list's smallest id (its pivot); exact intersections of whole sets decide.  Components
-   of these links are found, and then every pair of a list across components is held against each other.
-   Pairs within a component are not: they cannot change it.  So a group of copies costs as many
-   comparisons as it has members, and no link between different components is lost.
 
 Staged tables are in the shared folder and are released when the result is staged; no step gathers documents on the driver (the size bands'
 costs, at most some 200 rows, are).
@@ -43,8 +49,10 @@ from reviewmill.session import Scratch, stage
 THRESHOLD = 90  # per cent
 BLOCK = 1.25  # times the share that a set may miss: the part of the hash range that the block takes
 ENTRY = 20  # cost of one list entry, in looks at an entry of a list
+SHORT = 64  # members of a mixed list that is crossed as it is
 BETWEEN = 1 << 40  # frequency rank of elements outside the block
 BITS = 256  # of the parity map of a set
+HALF = 1 << 54  # doc_ids lie between this and its negative
 WORDS = BITS // 64
 PARITY = [f"p{k}" for k in range(WORDS)]
 NARROW = "doc_id long, n int, sig_a long, sig_b long, parity array<long>, block array<long>, tail array<long>"
@@ -92,8 +100,8 @@ def listed(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int64()))
 
 
-def narrow_batches(width: int, threshold: int):
-    part = min(256, int(256 * BLOCK * (1 - threshold / 100)))
+def narrow_batches(width: int, threshold: int, part: int):
+    """Sets as their signature, the elements in the first ``part`` of 256 parts of the hash range, and what is missing to a beginning."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -154,7 +162,7 @@ def boundary(beginnings: DataFrame) -> int:
     costs = beginnings.select(
         F.floor(F.log2(F.col("n")) * 4).alias("band"),
         F.expr(f"{ENTRY}D * size(begin) * (size(begin) - 1) / 2").alias("pairs"),
-        F.expr(f"{ENTRY}D * size(begin) + aggregate(begin, 0D, (a, x) -> a + x.f % {BETWEEN})").alias("scans"),
+        F.expr(f"{ENTRY}D * size(begin) + aggregate(begin, 0D, (a, x) -> a + least(x.f % {BETWEEN}, {SHORT}))").alias("scans"),
     )
     rows = costs.groupBy("band").agg(F.sum("pairs").alias("pairs"), F.sum("scans").alias("scans")).collect()
     rows = sorted((r.band, r.pairs, r.scans) for r in rows)
@@ -172,7 +180,7 @@ def near(threshold: int, x: str, y: str) -> Column:
 
 
 def beginnings(classes: DataFrame, threshold: int) -> DataFrame:
-    """Per class the elements of its beginning that another class has, with the room for them.
+    """Per class the elements of its beginning that another class has, with the room for them and how common its elements are.
 
     Only (class, element) is shuffled; what else is known of a class is joined to the few that are left.
     """
@@ -180,9 +188,11 @@ def beginnings(classes: DataFrame, threshold: int) -> DataFrame:
     often = block.groupBy("h").count().filter("count > 1").select("h", F.col("count").alias("f"))
     hits = block.join(often, "h").select("key", "h", "f")
     rest = classes.select("key", F.explode("tail").alias("h"), F.lit(BETWEEN).alias("f"))
+    inside = F.col("f") < BETWEEN
     lists = hits.unionByName(rest).groupBy("key").agg(
         F.sort_array(F.collect_list(F.struct("f", "h"))).alias("begin"),
-        F.sum((F.col("f") < BETWEEN).cast("int")).alias("hits"),
+        F.sum(inside.cast("int")).alias("hits"),
+        F.sum(F.when(inside, F.col("f")).otherwise(0)).alias("uses"),
     )
     known = classes.select(
         "key", "rep", "n", F.size("block").alias("size"), *[F.col("parity")[k].alias(f"p{k}") for k in range(WORDS)]
@@ -190,11 +200,12 @@ def beginnings(classes: DataFrame, threshold: int) -> DataFrame:
     rows = lists.join(known, "key")
     rows = rows.withColumn("room", F.expr(f"n - int(ceil({threshold} * n / 100)) + 2 - (size - hits)"))
     begin = F.expr("slice(begin, 1, greatest(room, 0))").alias("begin")
-    return rows.select("rep", "n", *PARITY, "room", begin).filter("size(begin) > 0")
+    common = (F.col("uses") / F.greatest("size", F.lit(1))).cast("float").alias("common")
+    return rows.select("rep", "n", *PARITY, "room", common, begin).filter("size(begin) > 0")
 
 
 def entries(begin: DataFrame, heavy_from: int, threshold: int) -> DataFrame:
-    """Members of lists: (rep, n, parity, key)."""
+    """Members of lists: (rep, rank to be the pivot, key)."""
     single = "transform(slice(begin, 1, greatest(room - 1, 0)), x -> xxhash64(x.h))"
     double = (
         "flatten(transform(begin, (x, i) -> transform(slice(begin, i + 2, size(begin)),"
@@ -204,7 +215,9 @@ def entries(begin: DataFrame, heavy_from: int, threshold: int) -> DataFrame:
         f"concat(CASE WHEN 100 * n >= {threshold} * {heavy_from} THEN {single} ELSE array() END,"
         f" CASE WHEN n < {heavy_from} THEN {double} ELSE array() END)"
     )
-    return begin.select("rep", "n", *PARITY, F.explode(F.array_distinct(F.expr(keys))).alias("key"))
+    # By commonness in steps of a fifth, then by the smallest id, so that lists of one group have few pivots.
+    rank = F.expr(f"shiftleft(CAST(least(4 * log2(1 + common), 200) AS long), 55) + ({HALF - 1}L - rep)").alias("rank")
+    return begin.select("rep", rank, F.explode(F.array_distinct(F.expr(keys))).alias("key"))
 
 
 def verified(docs: DataFrame, pairs: DataFrame, scratch: Scratch, width: int, threshold: int) -> DataFrame:
@@ -218,48 +231,87 @@ def verified(docs: DataFrame, pairs: DataFrame, scratch: Scratch, width: int, th
     return pairs.join(left, "a").join(right, "b").filter(100 * common >= threshold * union).select("a", "b").distinct()
 
 
-def join(docs: DataFrame, width: int = 3, threshold: int = THRESHOLD) -> DataFrame:
+def compared(pairs: DataFrame, facts: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b) that can link by size and parity."""
+    first = facts.select(F.col("rep").alias("a"), *[F.col(c).alias(f"{c}_a") for c in ("n", *PARITY)])
+    second = facts.select(F.col("rep").alias("b"), *[F.col(c).alias(f"{c}_b") for c in ("n", *PARITY)])
+    return pairs.join(first, "a").join(second, "b").filter(near(threshold, "_a", "_b")).select("a", "b")
+
+
+def labelled(pairs: DataFrame, label: DataFrame | None) -> DataFrame:
+    """Pairs (a, b) of different components."""
+    if label is None:
+        return pairs
+    for side in "ab":
+        pairs = pairs.join(label.toDF(side, f"c_{side}"), side, "left").withColumn(f"c_{side}", F.coalesce(f"c_{side}", side))
+    return pairs.filter("c_a <> c_b").select("a", "b")
+
+
+class Sweep:
+    """One join by lists: links of pivots, then of the members of mixed lists."""
+
+    def __init__(self, docs: DataFrame, scratch: Scratch, width: int, threshold: int):
+        self.docs, self.scratch, self.width, self.threshold = docs, scratch, width, threshold
+        self.links: DataFrame | None = None
+        self.label: DataFrame | None = None
+
+    def linked(self, pairs: DataFrame, facts: DataFrame) -> None:
+        """Adds the links among the pairs (a, b) and finds the components again."""
+        pairs = self.scratch.stage(compared(labelled(pairs, self.label), facts, self.threshold), "pairs")
+        found = self.scratch.stage(verified(self.docs, pairs, self.scratch, self.width, self.threshold), "verified")
+        self.links = found if self.links is None else self.links.union(found)
+        self.label = components(self.links, self.scratch)
+
+    def run(self, begin: DataFrame, short: int | None) -> DataFrame:
+        """Links what lists of ``begin`` tell; the members (rep) of mixed lists with more than ``short`` of them."""
+        members = entries(begin, boundary(begin), self.threshold)
+        pivots = members.groupBy("key").agg(F.max("rank").alias("rank"), F.count("*").alias("m")).filter("m > 1")
+        pivots = pivots.select("key", "m", F.expr(f"{HALF - 1}L - (rank & {2 * HALF - 1}L)").alias("pivot"))
+        long = F.lit(False) if short is None else F.col("m") > short
+        lists = members.join(pivots, "key").select("key", "rep", "pivot", long.alias("long"))
+        lists = self.scratch.stage(lists, "lists")
+        spokes = self.scratch.stage(lists.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), "spokes")
+        self.linked(spokes, begin)
+
+        # Members of other components than their pivot's, and the lists that have them.
+        foreign = self.scratch.stage(labelled(spokes, self.label).toDF("pivot", "rep"), "foreign")
+        outsiders = lists.join(foreign, ["pivot", "rep"], "left_semi").select("key", "rep", "long")
+        outsiders = self.scratch.stage(outsiders, "outsiders")
+        mixed = outsiders.select("key").distinct()
+        crossing = outsiders.filter("NOT long").select("key", F.col("rep").alias("a"))
+        others = lists.filter("NOT long AND rep <> pivot").join(mixed, "key", "left_semi").select("key", F.col("rep").alias("b"))
+        both = crossing.join(others, "key").filter("a <> b")
+        both = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        self.linked(both, begin)
+        return lists.filter("long").join(mixed, "key", "left_semi").select("rep").distinct()
+
+
+def join(docs: DataFrame, width: int = 3, threshold: int = THRESHOLD, short: int = SHORT) -> DataFrame:
     """doc_id, n_shingles, class_id (smallest doc_id of the same set), component_id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     with Scratch(docs.sparkSession) as scratch:
-        narrow = scratch.stage(docs.mapInArrow(narrow_batches(width, threshold), NARROW), "narrow")
+        part = min(256, int(256 * BLOCK * (1 - threshold / 100)))
+        narrow = scratch.stage(docs.mapInArrow(narrow_batches(width, threshold, part), NARROW), "narrow")
         signature = ["n", "sig_a", "sig_b"]
         sets = narrow.filter("doc_id IS NOT NULL AND n > 0")
-        # A set of fewer elements than a difference of one needs links with none but its equals.
-        alone = math.ceil(threshold / (100 - threshold))
-        classes = sets.filter(f"n >= {alone}").groupBy(*signature).agg(
-            F.min("doc_id").alias("rep"),
-            *[F.first(c).alias(c) for c in ("parity", "block", "tail")],
-        )
+
         # Sets of one doc_id are told apart by eight bits of their signature.
-        classes = classes.withColumn("key", F.shiftleft("rep", 8).bitwiseOR(F.col("sig_a").bitwiseAND(255)))
-        begin = scratch.stage(beginnings(classes, threshold), "beginnings")
-        members = entries(begin, boundary(begin), threshold)
-        pivots = members.groupBy("key").agg(F.min("rep").alias("rep_p"), F.count("*").alias("m"))
-        members = members.join(pivots.filter("m > 1").drop("m"), "key")
-        members = scratch.stage(members.select("key", "rep", "n", *PARITY, "rep_p"), "lists")
-
-        stars = members.filter("rep_p < rep").select("rep_p", "rep").distinct()
-        facts = begin.select("rep", "n", *PARITY)
-        stars = stars.join(facts, "rep").join(facts.select(*[F.col(c).alias(f"{c}_p") for c in facts.columns]), "rep_p")
-        stars = stars.filter(near(threshold, "", "_p")).select(F.col("rep_p").alias("a"), F.col("rep").alias("b"))
-        stars = scratch.stage(stars.distinct(), "stars")
-        links = scratch.stage(verified(docs, stars, scratch, width, threshold), "verified")
-        label = components(links, scratch)
-
-        marked = members.join(label.toDF("rep", "c"), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
-        marked = marked.join(label.toDF("rep_p", "c_p"), "rep_p", "left").withColumn("c_p", F.coalesce("c_p", "rep_p"))
-        others = marked.filter("c <> c_p").select(
-            "key", *[F.col(c).alias(f"{c}_o") for c in ["rep", "n", "c", *PARITY]]
-        )
-        # An outsider meets the members of other components; of two outsiders the smaller comes first.
-        once = (F.col("c") == F.col("c_p")) | (F.col("rep_o") < F.col("rep"))
-        crossed = others.join(marked.filter("rep <> rep_p"), "key")
-        crossed = crossed.filter((F.col("c") != F.col("c_o")) & once & near(threshold, "", "_o"))
-        crossed = crossed.select(F.least("rep_o", "rep").alias("a"), F.greatest("rep_o", "rep").alias("b")).distinct()
-        crossed = scratch.stage(crossed.join(stars, ["a", "b"], "left_anti"), "crossed")
-        more = scratch.stage(verified(docs, crossed, scratch, width, threshold), "verified")
-        label = components(links.union(more), scratch).toDF("class_id", "component")
+        key = F.shiftleft("rep", 8).bitwiseOR(F.col("sig_a").bitwiseAND(255)).alias("key")
+        about = [F.first(c).alias(c) for c in ("parity", "block", "tail")]
+        # A set of fewer elements than a difference of one needs links with none but its equals.
+        linking = f"n >= {math.ceil(threshold / (100 - threshold))}"
+        classes = sets.filter(linking).groupBy(*signature).agg(F.min("doc_id").alias("rep"), *about)
+        sweep = Sweep(docs, scratch, width, threshold)
+        begin = scratch.stage(beginnings(classes.select("*", key), threshold), "beginnings")
+        crowded = scratch.stage(sweep.run(begin, short), "crowded")
+        if not crowded.isEmpty():
+            again = docs.join(crowded.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
+            whole = scratch.stage(again.mapInArrow(narrow_batches(width, threshold, 256), NARROW), "whole")
+            named = sets.groupBy(*signature).agg(F.min("doc_id").alias("rep")).join(crowded, "rep", "left_semi")
+            classes = whole.filter(linking).groupBy(*signature).agg(*about).join(named, signature)
+            begin = scratch.stage(beginnings(classes.select("*", key), threshold), "beginnings")
+            sweep.run(begin, None)
+        label = sweep.label.toDF("class_id", "component")
 
         names = sets.groupBy(*signature).agg(F.min("doc_id").alias("class_id")).join(label, "class_id", "left")
         rows = narrow.select("doc_id", *signature).join(names, signature, "left")
