@@ -81,7 +81,7 @@ def op12_piece_tokens(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return piece_tokens.digest(piece_tokens.decoded(piece_tokens.encoded(table(spark, folder, "documents"), model), model))
+    return piece_tokens.digest(piece_tokens.encoded(table(spark, folder, "documents"), model, decoded="decoded"))
 
 
 def op13_impact_search(spark: SparkSession, folder: str) -> DataFrame:
