@@ -8,7 +8,7 @@ if both reach its byte, and further cuts inside are found.  Between two cuts lie
 
 No token of either reaches over certain *borders*: before a blank between two characters that are no white space; around a line
 feed between such, and between a letter and a closing mark, if no piece of B has the two together (A's words never do).  Texts are
-aligned part by part between borders, and the groups of short parts are kept (``PARTS`` at most, then afresh); longer
+aligned part by part between borders, and the groups of short parts are kept (``PARTS`` of them; with the next ones begun, those used again stay); longer
 parts are aligned each time.
 
 A link is a token of A and one of B that end at the same byte.  Then the bytes of the shorter are the end of those of
@@ -25,8 +25,9 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from reviewmill.llm.arrays import slices
 from reviewmill.session import Scratch, stage
 
-PARTS = 300_000
+PARTS = 200_000
 PART_LENGTH = 48  # characters of a part whose groups are kept
 BLANK = "▁"
 MARKS = ",.;:!?"
@@ -86,7 +87,9 @@ class Pair:
             rf"(?<={solid})(?= {solid})|(?<={solid})(?=\n{solid})|(?<={solid}\n)(?={solid})"
             + (rf"|(?<=[{LETTERS}])(?=[{marks}][ \n])" if marks else "")
         )
-        self.known: dict[str, tuple | None] = {}
+        self.a_text, self.b_text = [str(i) for i in range(len(self.a_bytes))], [str(i) for i in numbers]
+        self.kept: dict[str, tuple | None] = {}
+        self.older: dict[str, tuple | None] = {}
 
     @classmethod
     def of(cls, vocabulary: str, model: str) -> "Pair":
@@ -97,42 +100,46 @@ class Pair:
     def most_links(self) -> int:
         return sum(map(len, self.a_bytes)) + sum(map(len, self.b_bytes))
 
-    def part(self, text: str, a: object) -> tuple | None:
+    def spans(self, parts: list[str]) -> list[tuple[list[int], list[int]]]:
+        """Ids of B's pieces of each part, and the bytes of it at which they end."""
+        # B adds the blank of a part that begins with one itself.  A line feed is no part of any piece, so before
+        # the others it stands for what came before.
+        read = [p[1:] if p[0] == " " else "\n" + p for p in parts]
+        found = []
+        for part, row in zip(parts, self.b.encode(read, return_type="proto", num_threads=1)):
+            pieces, before = (row.pieces, 1) if part[0] == " " else (row.pieces[2:], -1)
+            found.append(([p.id for p in pieces], [p.end + before for p in pieces]))
+        return found
+
+    def part(self, text: str, a: object, b_ids: list[int], b_ends: list[int]) -> tuple | None:
         """(ids of A, ids of B, number of groups, groups as text, links) of a part; None if bytes differ."""
         raw = text.encode()
-        if text[0] == " ":  # B adds the blank itself
-            pieces = self.b.encode(text[1:], return_type="proto").pieces
-            before = 1
-        else:  # a line feed is no part of any piece, so it stands for what came before
-            pieces = self.b.encode("\n" + text, return_type="proto").pieces[2:]
-            before = -1
-        a_ids, b_ids = a.ids, [p.id for p in pieces]
+        a_ids = a.ids
         a_bytes, b_bytes = [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids]
         if b"".join(a_bytes) != raw or b"".join(b_bytes) != raw:
             return None
-        # Ends as characters of the text with its blank; of several tokens that end there, the last.  B's spans count
-        # bytes.
-        a_at = {end: i for i, (_, end) in enumerate(a.offsets)}
+        a_ends = [end for _, end in a.offsets]
         if len(raw) == len(text):
-            b_at = {p.end + before: i for i, p in enumerate(pieces)}
-            cuts = [(a_at[e], b_at[e]) for e in sorted(a_at.keys() & b_at.keys())]
+            cuts = met(a_ends, b_ends)
         else:
             place = [0, *accumulate(len(c.encode()) for c in text)]  # byte at which each character begins
             character = {byte: i for i, byte in enumerate(place)}
-            b_at = {character[p.end + before]: i for i, p in enumerate(pieces)}
-            cuts = self.refined(place, a_at, b_at, a_bytes, b_bytes)
+            cuts = self.refined(place, a_ends, [character[e] for e in b_ends], a_bytes, b_bytes)
         groups, links = [], []
+        a_text, b_text = self.a_text, self.b_text
         i = j = 0
         for x, y in cuts:
-            groups.append(f"{','.join(map(str, a_ids[i : x + 1]))}|{','.join(map(str, b_ids[j : y + 1]))}")
+            groups.append(",".join([a_text[k] for k in a_ids[i : x + 1]]) + "|" + ",".join([b_text[k] for k in b_ids[j : y + 1]]))
             links.append(a_ids[x] << 32 | b_ids[y])
             i, j = x + 1, y + 1
-        return len(a_ids), len(b_ids), len(cuts), ";".join(groups), links
+        return len(a_ids), len(b_ids), len(cuts), ";".join(groups), array("q", links).tobytes()
 
     @staticmethod
-    def refined(place: list, a_at: dict, b_at: dict, a_bytes: list, b_bytes: list) -> list[tuple[int, int]]:
+    def refined(place: list, a_chars: list, b_chars: list, a_bytes: list, b_bytes: list) -> list[tuple[int, int]]:
         """Cuts as (token of A, token of B), with stretches of longer characters measured in bytes."""
         a_ends, b_ends = list(accumulate(map(len, a_bytes))), list(accumulate(map(len, b_bytes)))
+        # Of several tokens that end at a character, the last one can end where it ends.
+        a_at, b_at = {e: i for i, e in enumerate(a_chars)}, {e: i for i, e in enumerate(b_chars)}
         cuts: list[tuple[int, int]] = []
         i = j = start = 0  # tokens and characters before the last cut
         for e in sorted(a_at.keys() & b_at.keys()):
@@ -140,34 +147,49 @@ class Pair:
             if not a_ends[x] == b_ends[y] == place[e]:
                 continue  # a token ends inside the character
             if place[e] - place[start] > e - start:
-                inside = {end: k for k, end in enumerate(b_ends[j:y], j)}
-                cuts += [(k, inside[end]) for k, end in enumerate(a_ends[i:x], i) if end in inside]
+                cuts += [(i + k, j + m) for k, m in met(a_ends[i:x], b_ends[j:y])]
             cuts.append((x, y))
             i, j, start = x + 1, y + 1, e
         return cuts
 
     def aligned(self, text: str) -> tuple | None:
-        """(tokens of A, of B, groups, links, groups as text, link keys) of a text; None if it has no tokens."""
+        """(tokens of A, of B, groups, groups as text, link keys) of a text; None if it has no tokens."""
         if not text:
             return None
         parts = self.border.split(" " + text)
-        known = self.known
-        new = [p for p in dict.fromkeys(parts) if p not in known]
-        if new:
-            encoded = self.a.encode_batch(new, add_special_tokens=False)
-            found = {p: self.part(p, a) for p, a in zip(new, encoded)}
-            rows = [known[p] if p in known else found[p] for p in parts]
-            short = {p: f for p, f in found.items() if len(p) <= PART_LENGTH}
-            if len(known) + len(short) > PARTS:
-                known.clear()
-            known |= short
-        else:
-            rows = [known[p] for p in parts]
+        kept, found = self.kept, []
+        missing = [p for p in dict.fromkeys(parts) if p not in kept]
+        if missing:
+            found = [p for p in missing if p not in self.older]
+            kept.update((p, self.older[p]) for p in missing if p in self.older)
+            if found:
+                encoded = self.a.encode_batch(found, add_special_tokens=False)
+                kept.update((p, self.part(p, a, *b)) for p, a, b in zip(found, encoded, self.spans(found)))
+        rows = [kept[p] for p in parts]
+        for p in found:
+            if len(p) > PART_LENGTH:
+                del kept[p]
+        if len(kept) >= PARTS:
+            self.older, self.kept = kept, {}
         if None in rows:
             return None
         n_a, n_b, n_groups, written, links = zip(*rows)
-        keys = list(chain.from_iterable(links))
-        return sum(n_a), sum(n_b), sum(n_groups), len(keys), ";".join(written), keys
+        return sum(n_a), sum(n_b), sum(n_groups), ";".join(written), np.frombuffer(b"".join(links), dtype=np.int64)
+
+
+def met(first: list[int], second: list[int]) -> list[tuple[int, int]]:
+    """Places (in the first, in the second) of equal values of two rising lists."""
+    found = []
+    i = j = 0
+    while i < len(first) and j < len(second):
+        if first[i] == second[j]:
+            found.append((i, j))
+            i, j = i + 1, j + 1
+        elif first[i] < second[j]:
+            i += 1
+        else:
+            j += 1
+    return found
 
 
 def aligned(docs: DataFrame, vocabulary: str, model: str) -> DataFrame:
@@ -178,10 +200,9 @@ def aligned(docs: DataFrame, vocabulary: str, model: str) -> DataFrame:
         for batch in slices(batches):
             numbers, groups, links, times = [], [], [], []
             for text in batch.column(1).to_pylist():
-                found = pair.aligned(text)
-                *counts, written, keys = found or (0, 0, 0, 0, "", [])
-                keys, n = np.unique(np.array(keys, dtype=np.int64), return_counts=True)
-                numbers.append(counts)
+                *counts, written, every = pair.aligned(text) or (0, 0, 0, "", np.empty(0, dtype=np.int64))
+                keys, n = np.unique(every, return_counts=True)
+                numbers.append((*counts, len(every)))
                 groups.append(written)
                 links.append(keys)
                 times.append(n.astype(np.int32))
