@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.schema import MISSING, NESTED_DOCUMENT, NESTED_KEYS, PRODUCT, RUN_BITS, SEQ
+from reviewmill.sources.json_object import read_members
 
 
 def read_documents(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
-    """JSON text as ``value``: one document per line, or one per file."""
-    return spark.read.text(path, wholetext=whole_file)
+    """JSON text as ``value``: one document per line, or with ``whole_file`` the products of one object per file."""
+    return read_members(spark, path) if whole_file else spark.read.text(path)
 
 
 def flatten(documents: DataFrame) -> DataFrame:
