@@ -278,10 +278,14 @@ class Sweep:
         outsiders = lists.join(foreign, ["pivot", "rep"], "left_semi").select("key", "rep", "long")
         outsiders = self.scratch.stage(outsiders, "outsiders")
         mixed = outsiders.select("key").distinct()
-        crossing = outsiders.filter("NOT long").select("key", F.col("rep").alias("a"))
-        others = lists.filter("NOT long AND rep <> pivot").join(mixed, "key", "left_semi").select("key", F.col("rep").alias("b"))
-        both = crossing.join(others, "key").filter("a <> b")
-        both = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        crossing = outsiders.filter("NOT long").select("key", "rep")
+        others = lists.filter("NOT long AND rep <> pivot").join(mixed, "key", "left_semi").select("key", "rep")
+        # What decides whether a pair can link comes to the members of mixed lists, so that a list gives no other pairs.
+        about = begin.select("rep", "n", *PARITY).join(self.label.toDF("rep", "c"), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
+        first = crossing.join(about, "rep").select("key", *[F.col(x).alias(f"{x}_a") for x in ("rep", "n", "c", *PARITY)])
+        second = others.join(about, "rep").select("key", *[F.col(x).alias(f"{x}_b") for x in ("rep", "n", "c", *PARITY)])
+        apart = (first["key"] == second["key"]) & (F.col("c_a") != F.col("c_b")) & near(self.threshold, "_a", "_b")
+        both = first.join(second, apart).select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
         self.linked(both, begin)
         return lists.filter("long").join(mixed, "key", "left_semi").select("rep").distinct()
 
