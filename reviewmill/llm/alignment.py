@@ -101,14 +101,27 @@ class Pair:
         return sum(map(len, self.a_bytes)) + sum(map(len, self.b_bytes))
 
     def spans(self, parts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids of B's pieces of each part, and the bytes of it at which they end."""
-        # B adds the blank of a part that begins with one itself.  A line feed is no part of any piece, so before
-        # the others it stands for what came before.
-        read = [p[1:] if p[0] == " " else "\n" + p for p in parts]
+        """Ids of B's pieces of each part, and the bytes of it at which they end.
+
+        A line feed is no part of any piece, so parts between line feeds are read together as they are alone.
+        """
+        pieces = iter(self.b.encode("\n" + "\n".join(parts), return_type="proto").pieces)
+        next(pieces)  # the blank that B adds
         found = []
-        for part, row in zip(parts, self.b.encode(read, return_type="proto", num_threads=1)):
-            pieces, before = (row.pieces, 1) if part[0] == " " else (row.pieces[2:], -1)
-            found.append(([p.id for p in pieces], [p.end + before for p in pieces]))
+        next(pieces)  # the first line feed
+        at = 0
+        for part in parts:
+            at += 1  # the line feed before
+            stop = at + len(part.encode())
+            ids, ends = [], []
+            for piece in pieces:
+                end = piece.end
+                if end > stop:  # the next line feed
+                    break
+                ids.append(piece.id)
+                ends.append(end - at)
+            found.append((ids, ends))
+            at = stop
         return found
 
     def part(self, text: str, a: object, b_ids: list[int], b_ends: list[int]) -> tuple | None:
