@@ -38,6 +38,8 @@ def read_vector_maps(spark: SparkSession, path: str) -> DataFrame:
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:
     """The same lines in long form ``(product, idx, n)``."""
     product, items = _items(F.col("value"))
-    long = spark.read.text(path).select(product.alias(PRODUCT), F.explode(items).alias("item"))
+    lines = spark.read.text(path).select(product.alias(PRODUCT), items.alias("items"))
+    # Taken before the items are spread: beside ``explode`` the line would be split again for every item.
+    long = lines.select(PRODUCT, F.explode("items").alias("item"))
     parts = F.split("item", ":")
     return long.select(PRODUCT, parts[0].cast("bigint").alias("idx"), parts[1].cast("bigint").alias("n"))

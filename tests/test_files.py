@@ -364,3 +364,11 @@ def test_workbook_without_references_and_with_blank_flags(spark, tmp_path):
         typed = table.typed(found, missing_flag=None).distinct().collect()
         flags = sorted((r.review_text, r.is_verified_purchase, r.rating) for r in typed if r.review_text)
         assert flags == [("glue", True, 4.0), ("tape", None, 5.0)]
+
+
+def test_a_vector_line_is_split_once_and_not_for_every_item(spark, tmp_path):
+    (tmp_path / "v.txt").write_text("p,0:2,3:1\nq,\n")
+    found = dictionaries.read_vectors(spark, str(tmp_path / "v.txt"))
+    assert sorted(map(tuple, found.collect())) == [("p", 0, 2), ("p", 3, 1)]
+    above = found._jdf.queryExecution().optimizedPlan().toString().split("Generate explode")[0]
+    assert "split(trim(" not in above and "value#" not in above
