@@ -71,8 +71,9 @@ def stem_word(token: pa.Array) -> pa.Array:
 
 
 def kept_words(text: Column, stopwords: list[str]) -> Column:
-    """Split, stop, cut by length, before stemming, so that short stems stay."""
-    return long_enough(without_stopwords(words(text), stopwords))
+    """Split, stop, cut by length, before stemming, so that short stems stay.  Short runs are left out as the text is split."""
+    long_runs = F.regexp_extract_all(F.lower(text), F.lit(f"[a-z]{{{MIN_TOKEN_LENGTH},}}"), 0)
+    return without_stopwords(long_runs, stopwords)
 
 
 def review_tokens(text: Column, stopwords: list[str]) -> Column:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.session import Scratch
@@ -35,9 +35,17 @@ def _bit_map(codes: DataFrame, level: int, slots: int) -> np.ndarray:
     return words
 
 
-def _hit(code: Column, level: int, words: np.ndarray) -> Column:
-    place = _place(code, level, len(words))
-    word = F.get(F.lit(words), F.shiftright(place, 6).cast("int"))
+def _literal(spark: SparkSession, words: np.ndarray) -> Column:
+    """The map as an array literal.  ``F.lit`` would send it number by number, a call to the JVM for each; it goes as bytes, in one."""
+    jvm = spark._jvm
+    numbers = spark.sparkContext._gateway.new_array(jvm.long, len(words))
+    jvm.java.nio.ByteBuffer.wrap(words.astype(">i8").tobytes()).asLongBuffer().get(numbers)
+    return Column(jvm.org.apache.spark.sql.functions.lit(numbers))
+
+
+def _hit(code: Column, level: int, words: Column, slots: int) -> Column:
+    place = _place(code, level, slots)
+    word = F.get(words, F.shiftright(place, 6).cast("int"))
     return F.call_function("shiftrightunsigned", word, (place % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
@@ -46,7 +54,7 @@ def member_test(members: DataFrame, others: DataFrame) -> Callable[[Column], Col
 
     The maps are made of the smaller of the two.
     """
-    maps: list[np.ndarray] = []
+    maps: list[tuple[Column, int]] = []
     with Scratch(members.sparkSession) as scratch:
         inside, outside = (scratch.stage(codes.select("code"), "codes") for codes in (members, others))
         swapped = outside.count() < inside.count()
@@ -54,15 +62,16 @@ def member_test(members: DataFrame, others: DataFrame) -> Callable[[Column], Col
             inside, outside = outside, inside
         while (n := inside.count()) > LISTED:
             level = len(maps)
-            maps.append(_bit_map(inside, level, -(-n * BITS // 64)))
-            strays = scratch.stage(outside.filter(_hit(F.col("code"), level, maps[level])), "strays")
+            slots = -(-n * BITS // 64)
+            maps.append((_literal(members.sparkSession, _bit_map(inside, level, slots)), slots))
+            strays = scratch.stage(outside.filter(_hit(F.col("code"), level, *maps[level])), "strays")
             inside, outside = strays, inside
         named = [r.code for r in inside.collect()]
 
     def test(code: Column) -> Column:
         found = code.isin(named) if named else F.lit(False)
         for level in reversed(range(len(maps))):
-            found = _hit(code, level, maps[level]) & ~found
+            found = _hit(code, level, *maps[level]) & ~found
         return ~found if swapped else found
 
     return test

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.functions import tokens as tk
+from reviewmill.functions.clean import has_text
+from reviewmill.operators.summary import of_products, qualified_reviews
 from reviewmill.schema import PRODUCT, SEQ
 from reviewmill.session import stage
 
@@ -16,7 +18,7 @@ TEXT = "review_text"
 
 @dataclass
 class Tokens:
-    """Reviews as lists of word codes, and the dictionary of the words; both are staged.
+    """Reviews as lists of word codes, the dictionary of the words and how often products have them; all are staged.
 
     A code is a 64-bit hash of the word, so a text is coded where it is: no token is shuffled to find its number.  Counting and
     pairing run on codes; terms (stems) are looked up for counts, never for tokens, and
@@ -25,6 +27,7 @@ class Tokens:
 
     texts: DataFrame  # (product, seq, codes), in the order of the text
     words: DataFrame  # (code, word, term)
+    counts: DataFrame  # (product, code, n)
 
 
 def review_words(reviews: DataFrame, stopwords: list[str] | DataFrame = tk.STOPWORDS) -> DataFrame:
@@ -61,17 +64,49 @@ def word_code(word: Column, seed: int = 0) -> Column:
     return F.xxhash64(word, F.lit(seed)) if seed else F.xxhash64(word)
 
 
-def coded(reviews: DataFrame, stopwords: list[str] | DataFrame = tk.STOPWORDS, code=word_code) -> Tokens:
-    """The words of the reviews as codes.  If two words of the dictionary have one code, all are coded afresh."""
-    lists = stage(review_words(reviews, stopwords), "words")
-    distinct = lists.select(F.explode("words").alias("word")).distinct()
-    stems = stage(distinct.select("word", tk.stem_word("word").alias("term")), "stems")
+def _lists(reviews: DataFrame, stopwords: list[str] | DataFrame, code, at_least: int) -> tuple[DataFrame, DataFrame | None]:
+    """``(product, seq, words, codes)``, staged, and the products with enough texts (none named: all).
+
+    A text is cleaned once: whether a review has one is written beside its words, and products are counted from that.
+    """
+    if isinstance(stopwords, DataFrame):
+        kept = qualified_reviews(reviews, at_least) if at_least else reviews
+        lists = review_words(kept, stopwords).select("*", _codes(code).alias("codes"))
+        return stage(lists, "words"), None
+    text = F.coalesce(F.col(TEXT), F.lit(""))
+    lists = reviews.select(PRODUCT, SEQ, has_text(F.col(TEXT)).alias("has_text"), tk.kept_words(text, stopwords).alias("words"))
+    lists = stage(lists.select("*", _codes(code).alias("codes")), "words")
+    if not at_least:
+        return lists, None
+    lists = lists.filter("has_text")
+    products = lists.groupBy(PRODUCT).agg(F.count("*").alias("n")).filter(F.col("n") >= at_least)
+    return lists, stage(products.select(PRODUCT), "products")
+
+
+def _codes(code, seed: int = 0) -> Column:
+    return F.transform("words", lambda w: code(w, seed))
+
+
+def coded(reviews: DataFrame, stopwords: list[str] | DataFrame = tk.STOPWORDS, code=word_code, at_least: int = 0) -> Tokens:
+    """The words of the reviews as codes; with ``at_least``, of the reviews with text of products with so many of them.
+
+    Words are counted by product first and the dictionary comes from these counts.  If two of its words have one code, all are
+    coded afresh.
+    """
+    lists, products = _lists(reviews, stopwords, code, at_least)
+    if products is not None:
+        lists = of_products(lists, products)
+    counts = lists.select(PRODUCT, F.explode("words").alias("word")).groupBy(PRODUCT, "word").agg(F.count("*").alias("n"))
+    counts = stage(counts, "word-counts")
+    stems = stage(counts.select("word").distinct().select("word", tk.stem_word("word").alias("term")), "stems")
     seed = 0
     while not stems.groupBy(code(F.col("word"), seed)).count().filter("count > 1").isEmpty():
         seed += 1
-    texts = lists.select(PRODUCT, SEQ, F.transform("words", lambda w: code(w, seed)).alias("codes"))
-    words = stems.select(code(F.col("word"), seed).alias("code"), "word", "term")
-    return Tokens(stage(texts, "texts"), stage(words, "dictionary"))
+    texts = lists.select(PRODUCT, SEQ, "codes")
+    if seed:
+        texts = stage(lists.select(PRODUCT, SEQ, _codes(code, seed).alias("codes")), "texts")
+    coded_word = code(F.col("word"), seed).alias("code")
+    return Tokens(texts, stage(stems.select(coded_word, "word", "term"), "dictionary"), counts.select(PRODUCT, coded_word, "n"))
 
 
 def without_stopwords(words: DataFrame, stopwords: DataFrame) -> DataFrame:
@@ -80,8 +115,6 @@ def without_stopwords(words: DataFrame, stopwords: DataFrame) -> DataFrame:
 
 
 def term_counts(tokens: Tokens) -> DataFrame:
-    """``(product, term, n)``; equal words of a product are added up before the shuffle, then the words of a term."""
-    spread = tokens.texts.select(PRODUCT, F.explode("codes").alias("code"))
-    counts = spread.groupBy(PRODUCT, "code").agg(F.count("*").alias("n"))
-    terms = counts.join(tokens.words.select("code", "term"), "code")
+    """``(product, term, n)``; equal words of a product are added up before, then the words of a term."""
+    terms = tokens.counts.join(tokens.words.select("code", "term"), "code")
     return terms.groupBy(PRODUCT, "term").agg(F.sum("n").alias("n"))

@@ -20,6 +20,9 @@ HIGH_SHARE = 0.95
 MIN_PAIR_COUNT = 2
 TOP_PAIRS = 200
 
+FIRST_SHARE = 0.9  # of the terms, the rarest, whose pairs are counted first
+ROUNDING = 1e-9  # more than scores in doubles can be off
+
 
 def term_frequency(counts: DataFrame) -> DataFrame:
     """Products and occurrences of each term: ``(term, product_count, n)``."""
@@ -40,17 +43,24 @@ def in_band(
     return frequency.filter((df >= F.lit(low) * total) & (df < F.lit(high) * total))
 
 
-def pair_counts(tokens: Tokens, terms: DataFrame) -> DataFrame:
+def pair_counts(tokens: Tokens, terms: DataFrame, among: DataFrame | None = None) -> DataFrame:
     """``(w1, w2, n)``: neighbours inside a review once all words of other terms are removed.
 
     Words are told apart where they are, by bit maps over the codes of the dictionary (see ``membership``); only counts of
-    pairs are shuffled, and terms are looked up for these.
+    pairs are shuffled, and terms are looked up for these.  With ``among``, some of the terms, only pairs of two of these are counted.
     """
     known = tokens.words.select("code", "term")
     inside = known.join(terms.select("term"), "term", "left_semi")
     is_kept = member_test(inside, known.join(terms.select("term"), "term", "left_anti"))
     lists = tokens.texts.select(F.filter("codes", is_kept).alias("codes"))
-    pairs = lists.select(F.inline(adjacent_pairs(F.col("codes")))).groupBy("w1", "w2").agg(F.count("*").alias("n"))
+    pairs = lists.select(F.inline(adjacent_pairs(F.col("codes"))))
+    if among is not None:
+        inside = stage(inside, "band")
+        others = inside.join(among.select("term"), "term", "left_anti")
+        inside = inside.join(among.select("term"), "term", "left_semi")
+        is_meant = member_test(inside, others)
+        pairs = pairs.filter(is_meant(F.col("w1")) & is_meant(F.col("w2")))
+    pairs = pairs.groupBy("w1", "w2").agg(F.count("*").alias("n"))
     return named_pairs(pairs, inside).groupBy("w1", "w2").agg(F.sum("n").alias("n"))
 
 
@@ -86,6 +96,29 @@ def top_pairs(
     )
 
 
+def best_pairs(tokens: Tokens, terms: DataFrame, min_count: int = MIN_PAIR_COUNT, top: int = TOP_PAIRS) -> DataFrame:
+    """:func:`top_pairs` over all pairs, staged, without counting those that cannot be among them.
+
+    A pair is no more frequent than either term, so ``n / (n1 * n2)`` is at most one by the more frequent term's count.  Pairs of
+    terms of up to ``limit`` occurrences are counted first.  If their worst of ``top`` is better than that bound of the next count, they
+    are the best of all; else it tells the counts above which no term can have a pair as good, and pairs up to there are counted.
+    """
+    bounds = terms.agg(F.percentile_approx("n", FIRST_SHARE), F.max("n")).first()
+    limit, most = bounds[0] or 0, bounds[1] or 0
+    while limit < most:
+        rare = terms.filter(F.col("n") <= limit)
+        found = stage(top_pairs(pair_counts(tokens, terms, rare), terms, min_count, top), "pairs")
+        score = F.col("n") / (F.col("n1").cast("double") * F.col("n2").cast("double"))
+        n, worst = found.agg(F.count("*"), F.min(score)).first()
+        if n < top:
+            break
+        reach = int((1 + ROUNDING) / worst)  # a more frequent term has no pair as good as the worst
+        if reach <= limit:
+            return found
+        limit = reach
+    return stage(top_pairs(pair_counts(tokens, terms), terms, min_count, top), "pairs")
+
+
 @dataclass
 class Vocabulary:
     """A fitted vocabulary.  Counts, terms of the band and the few best pairs are staged copies, the rest follows from them."""
@@ -115,5 +148,5 @@ def fit(
     """Fit a vocabulary on coded texts."""
     counts = stage(term_counts(tokens), "counts")
     unigrams = stage(in_band(term_frequency(counts), tokens, low, high), "unigrams")
-    pairs = stage(top_pairs(pair_counts(tokens, unigrams), unigrams, min_count, top), "pairs")
+    pairs = best_pairs(tokens, unigrams, min_count, top)
     return Vocabulary(counts, unigrams, pairs, vocabulary_terms(unigrams, pairs))

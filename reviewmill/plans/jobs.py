@@ -49,7 +49,7 @@ def staged_tokens(
     stopwords: list[str] | DataFrame = STOPWORDS,
 ) -> Tokens:
     """Coded texts and dictionary of the reviews of products with enough texts, written once for all later steps."""
-    return coded(summary.qualified_reviews(reviews, min_reviews), stopwords)
+    return coded(reviews, stopwords, at_least=min_reviews)
 
 
 def vectorise(

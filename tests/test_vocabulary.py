@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from helpers import TYPES, brute_vocabulary, random_texts, token_list
 from pyspark.sql import functions as F
@@ -175,3 +176,41 @@ def test_quantiles_of_nothing(spark):
     empty = spark.createDataFrame([], "g int, v int, n int")
     assert quantiles(empty, ["g"], "v", "n", 0.5).count() == 0
     assert quantiles(empty, [], "v", "n", 0.5).first()[0] is None
+
+
+def test_best_pairs_are_found_among_rare_terms_first(spark, monkeypatch):
+    monkeypatch.setattr(vocabulary, "FIRST_SHARE", 0.5)
+    counted = []
+    plain = vocabulary.pair_counts
+    monkeypatch.setattr(vocabulary, "pair_counts", lambda *a: counted.append(a) or plain(*a))
+    rows = [(f"p{i % 7}", i, f"filler{i % 5} word{i % 11} " + (f"rare{i % 40}x next{i % 40}x" if i < 80 else "")) for i in range(300)]
+    tokens = coded(spark.createDataFrame(rows, TYPES))
+    terms = vocabulary.in_band(vocabulary.term_frequency(term_counts(tokens)), tokens, 0.0, 2.0)
+    every = plain(tokens, terms).localCheckpoint()
+    for top in (3, 4000):  # the last one is more than there are, so all pairs are needed
+        found = [tuple(r) for r in vocabulary.best_pairs(tokens, terms, 2, top).orderBy("term").collect()]
+        assert found == [tuple(r) for r in vocabulary.top_pairs(every, terms, 2, top).orderBy("term").collect()]
+    assert len(counted[-1]) == 2 and any(len(a) == 3 for a in counted)
+
+
+def test_maps_are_not_sent_number_by_number(spark, monkeypatch):
+    plain = F.lit
+
+    def lit(value):
+        assert not isinstance(value, np.ndarray)
+        return plain(value)
+
+    monkeypatch.setattr(membership.F, "lit", lit)
+    codes = spark.range(4000).select(F.xxhash64("id").alias("code"), (F.col("id") % 3 == 0).alias("inside"))
+    is_member = member_test(codes.filter("inside"), codes.filter("NOT inside"))
+    assert codes.filter(is_member(F.col("code")) != F.col("inside")).count() == 0
+
+
+def test_products_are_counted_as_texts_are_coded(spark):
+    rows = [("a", 1, "red glue"), ("a", 2, "1 2"), ("a", 3, "none"), ("a", 4, None), ("b", 5, "dry tape"), ("b", 6, "None")]
+    df = spark.createDataFrame(rows, TYPES)
+    for stopwords in (STOPWORDS, spark.createDataFrame([(w,) for w in STOPWORDS], "word string")):
+        found = coded(df, stopwords, at_least=2)
+        words = {r.code: r.word for r in found.words.collect()}
+        assert {r.seq: [words[c] for c in r.codes] for r in found.texts.collect()} == {1: ["red", "glue"], 2: []}
+        assert {(words[r.code], r.n) for r in found.counts.collect()} == {("red", 1), ("glue", 1)}
