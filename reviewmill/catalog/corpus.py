@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.schema import REVIEW_COLUMNS, SEQ
+from reviewmill.schema import PRODUCT, REVIEW_COLUMNS, SEQ
 
 MIN_REVIEWS = 20
 
@@ -24,8 +24,14 @@ def texts(spark: SparkSession, folder: str, name: str = "documents", shared_out:
     return rows.hint("rebalance") if shared_out else rows
 
 
-def reviews(spark: SparkSession, folder: str, flags: bool = True, shared_out: bool = False) -> DataFrame:
-    """Typed review table: ``documents``, with ``labels`` where the flags are used."""
+def reviews(
+    spark: SparkSession, folder: str, flags: bool = True, shared_out: bool = False, by_product: bool = False
+) -> DataFrame:
+    """Typed review table: ``documents``, with ``labels`` where the flags are used.
+
+    ``by_product`` deals the rows anew as ``shared_out`` does, but those of a product to few tasks, so that counts by product
+    are nearly whole before they are shuffled.  A product with more rows than a task should have is divided.
+    """
     docs = texts(spark, folder, shared_out=shared_out).drop("n_chars")
     if flags:
         docs = docs.join(load(spark, folder, "labels").select("doc_id", "quality"), "doc_id", "left")
@@ -33,7 +39,7 @@ def reviews(spark: SparkSession, folder: str, flags: bool = True, shared_out: bo
         docs = docs.withColumn("quality", F.lit(None).cast("int"))
     i = F.col("doc_id")
     start = F.lit("2014-01-01 00:00:00").cast("timestamp")
-    return docs.select(
+    rows = docs.select(
         F.col("lang").alias("category"),
         F.concat(F.lit("u"), i % 97).alias("reviewer_id"),
         (1 + i % 5).cast("double").alias("rating"),
@@ -47,6 +53,7 @@ def reviews(spark: SparkSession, folder: str, flags: bool = True, shared_out: bo
         (i % 4).alias("helpful_votes"),
         i.alias(SEQ),
     )
+    return rows.hint("rebalance", PRODUCT) if by_product else rows
 
 
 REVIEWS_SQL = """

@@ -46,7 +46,8 @@ def _records(spark: SparkSession, folder: str, leave_out: bool = False) -> DataF
 
 
 def _tokens(spark: SparkSession, folder: str) -> tokenise.Tokens:
-    return staged_tokens(_standard(spark, folder).select(PRODUCT, SEQ, "review_text"), MIN_REVIEWS)
+    rows = reviews(spark, folder, flags=False, by_product=True).select(*REVIEW_COLUMNS, SEQ)
+    return staged_tokens(table.standard(table.cleaned(rows)).select(PRODUCT, SEQ, "review_text"), MIN_REVIEWS)
 
 
 # ---- summaries --------------------------------------------------------------------

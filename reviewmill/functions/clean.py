@@ -27,7 +27,7 @@ ASCII_ONLY = r"^[\x00-\x7F]*$"
 
 
 def strip_html(x: Column) -> Column:
-    return F.regexp_replace(x, HTML_TAG, "")
+    return F.when(F.contains(x, F.lit("<")), F.regexp_replace(x, HTML_TAG, "")).otherwise(x)
 
 
 def strip_emoji(x: Column) -> Column:

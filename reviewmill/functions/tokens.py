@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column
@@ -76,6 +77,38 @@ def kept_words(text: Column, stopwords: list[str]) -> Column:
     return without_stopwords(long_runs, stopwords)
 
 
+def split_words(texts: pa.Array, stopwords: pa.Array, at_least: int = MIN_TOKEN_LENGTH) -> tuple[pa.ListArray, pa.Array]:
+    """:func:`kept_words` of lower-cased texts without nulls, and the words that these have, each once.
+
+    Runs of letters are found for all texts at once; words are stopped in the dictionary, not one by one.
+    """
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    borders = offsets - offsets[0]
+    letter = (data - np.uint8(97)) < 26
+    begins = letter.copy()
+    begins[1:] &= ~letter[:-1]
+    inside = borders[borders < len(data)]
+    begins[inside] = letter[inside]  # a text begins: what is before it is none of its words
+    ends = letter.copy()
+    ends[:-1] &= ~letter[1:] | begins[1:]
+    begins, ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    long = ends - begins >= at_least
+    begins, ends = begins[long], ends[long]
+    # Words and what lies between them, in turn, as one array over the bytes of the texts; then the words of it.
+    turns = np.empty(2 * len(begins) + 1, np.int32)
+    turns[0:-1:2], turns[1::2], turns[-1] = begins, ends, len(data)
+    pieces = pa.StringArray.from_buffers(2 * len(begins), pa.py_buffer(turns), pa.py_buffer(np.ascontiguousarray(data)))
+    coded = pieces.take(pa.array(np.arange(0, 2 * len(begins), 2))).dictionary_encode()
+    kept = ~pa.compute.is_in(coded.dictionary, value_set=stopwords).to_numpy(zero_copy_only=False)
+    indices = coded.indices.to_numpy()
+    wanted = kept[indices]
+    before = np.concatenate([[0], np.cumsum(wanted)])
+    first = before[np.searchsorted(begins, borders)].astype(np.int32)
+    words = coded.dictionary.take(pa.array(indices[wanted]))
+    return pa.ListArray.from_arrays(pa.array(first), words), coded.dictionary.filter(pa.array(kept))
+
+
 def review_tokens(text: Column, stopwords: list[str]) -> Column:
     """Split, stop, cut by length, stem - in this order."""
     return stem_all(kept_words(text, stopwords))

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewmill.functions import tokens as tk
 from reviewmill.functions.clean import has_text
@@ -14,6 +19,7 @@ from reviewmill.schema import PRODUCT, SEQ
 from reviewmill.session import stage
 
 TEXT = "review_text"
+SLICE_BYTES = 4 << 20  # of text that is split at once
 
 
 @dataclass
@@ -64,49 +70,66 @@ def word_code(word: Column, seed: int = 0) -> Column:
     return F.xxhash64(word, F.lit(seed)) if seed else F.xxhash64(word)
 
 
-def _lists(reviews: DataFrame, stopwords: list[str] | DataFrame, code, at_least: int) -> tuple[DataFrame, DataFrame | None]:
-    """``(product, seq, words, codes)``, staged, and the products with enough texts (none named: all).
+def _split_batches(stopwords: list[str]):
+    """Rows (product, seq, has_text, text) with the words of the text and, at the first of the rows read together, the words of all of these."""
 
-    A text is cleaned once: whether a review has one is written beside its words, and products are counted from that.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stops = pa.array(stopwords, pa.string())
+        for batch in batches:
+            at = 0
+            while at < len(batch):
+                ends = np.frombuffer(batch.column(3).buffers()[1], np.int32)[batch.column(3).offset :][: len(batch) + 1]
+                stop = max(at + 1, int(np.searchsorted(ends, int(ends[at]) + SLICE_BYTES, "right")) - 1)
+                rows = batch.slice(at, stop - at)
+                words, new = tk.split_words(rows.column(3), stops)
+                firsts = np.full(len(rows) + 1, len(new), np.int32)
+                firsts[0] = 0
+                columns = [*rows.columns[:3], words, pa.ListArray.from_arrays(pa.array(firsts), new)]
+                yield pa.RecordBatch.from_arrays(columns, names=[PRODUCT, SEQ, "has_text", "words", "new"])
+                at = stop
+
+    return run
+
+
+def _lists(reviews: DataFrame, stopwords: list[str] | DataFrame, code, at_least: int) -> tuple[DataFrame, DataFrame]:
+    """``(product, seq, codes)`` of the texts that count, and the words of all texts.
+
+    A text is cleaned and split once: whether a review has one is written beside its codes, and products are counted from that.
+    Each word is written once for the texts read together; from there on a text is its codes.
     """
+    codes = F.transform("words", code).alias("codes")
     if isinstance(stopwords, DataFrame):
         kept = qualified_reviews(reviews, at_least) if at_least else reviews
-        lists = review_words(kept, stopwords).select("*", _codes(code).alias("codes"))
-        return stage(lists, "words"), None
-    text = F.coalesce(F.col(TEXT), F.lit(""))
-    lists = reviews.select(PRODUCT, SEQ, has_text(F.col(TEXT)).alias("has_text"), tk.kept_words(text, stopwords).alias("words"))
-    lists = stage(lists.select("*", _codes(code).alias("codes")), "words")
-    if not at_least:
-        return lists, None
-    lists = lists.filter("has_text")
-    products = lists.groupBy(PRODUCT).agg(F.count("*").alias("n")).filter(F.col("n") >= at_least)
-    return lists, stage(products.select(PRODUCT), "products")
-
-
-def _codes(code, seed: int = 0) -> Column:
-    return F.transform("words", lambda w: code(w, seed))
+        lists = stage(review_words(kept, stopwords).select(PRODUCT, SEQ, codes, F.col("words").alias("new")), "codes")
+        return lists, lists.select(F.explode("new").alias("word")).distinct()
+    text = F.lower(F.coalesce(F.col(TEXT), F.lit(""))).alias("text")
+    rows = reviews.select(PRODUCT, SEQ, has_text(F.col(TEXT)).alias("has_text"), text)
+    fields = [*rows.schema.fields[:3], *[T.StructField(c, T.ArrayType(T.StringType())) for c in ("words", "new")]]
+    lists = rows.mapInArrow(_split_batches(stopwords), T.StructType(fields))
+    lists = stage(lists.select(PRODUCT, SEQ, "has_text", codes, "new"), "codes")
+    words = lists.select(F.explode("new").alias("word")).distinct()
+    if at_least:
+        lists = lists.filter("has_text")
+        products = lists.groupBy(PRODUCT).agg(F.count("*").alias("n")).filter(F.col("n") >= at_least)
+        lists = of_products(lists, stage(products.select(PRODUCT), "products"))
+    return lists, words
 
 
 def coded(reviews: DataFrame, stopwords: list[str] | DataFrame = tk.STOPWORDS, code=word_code, at_least: int = 0) -> Tokens:
     """The words of the reviews as codes; with ``at_least``, of the reviews with text of products with so many of them.
 
-    Words are counted by product first and the dictionary comes from these counts.  If two of its words have one code, all are
+    Codes are counted by product, and the dictionary holds the words that were counted.  If two of its words have one code, all are
     coded afresh.
     """
-    lists, products = _lists(reviews, stopwords, code, at_least)
-    if products is not None:
-        lists = of_products(lists, products)
-    counts = lists.select(PRODUCT, F.explode("words").alias("word")).groupBy(PRODUCT, "word").agg(F.count("*").alias("n"))
-    counts = stage(counts, "word-counts")
-    stems = stage(counts.select("word").distinct().select("word", tk.stem_word("word").alias("term")), "stems")
-    seed = 0
-    while not stems.groupBy(code(F.col("word"), seed)).count().filter("count > 1").isEmpty():
-        seed += 1
-    texts = lists.select(PRODUCT, SEQ, "codes")
-    if seed:
-        texts = stage(lists.select(PRODUCT, SEQ, _codes(code, seed).alias("codes")), "texts")
-    coded_word = code(F.col("word"), seed).alias("code")
-    return Tokens(texts, stage(stems.select(coded_word, "word", "term"), "dictionary"), counts.select(PRODUCT, coded_word, "n"))
+    for seed in count():
+        lists, words = _lists(reviews, stopwords, lambda word: code(word, seed), at_least)
+        lists = lists.select(PRODUCT, SEQ, "codes")
+        counts = lists.select(PRODUCT, F.explode("codes").alias("code")).groupBy(PRODUCT, "code").agg(F.count("*").alias("n"))
+        counts = stage(counts, "word-counts")
+        words = words.select(code(F.col("word"), seed).alias("code"), "word").join(counts.select("code").distinct(), "code", "left_semi")
+        words = stage(words.select("code", "word", tk.stem_word("word").alias("term")), "dictionary")
+        if words.groupBy("code").count().filter("count > 1").isEmpty():
+            return Tokens(lists, words, counts)
 
 
 def without_stopwords(words: DataFrame, stopwords: DataFrame) -> DataFrame:

@@ -49,16 +49,17 @@ def pair_counts(tokens: Tokens, terms: DataFrame, among: DataFrame | None = None
     Words are told apart where they are, by bit maps over the codes of the dictionary (see ``membership``); only counts of
     pairs are shuffled, and terms are looked up for these.  With ``among``, some of the terms, only pairs of two of these are counted.
     """
-    known = tokens.words.select("code", "term")
-    inside = known.join(terms.select("term"), "term", "left_semi")
-    is_kept = member_test(inside, known.join(terms.select("term"), "term", "left_anti"))
+    meant = terms if among is None else among
+    # The dictionary meets the terms once; the rest is told by what is written beside its words.
+    known = tokens.words.select("code", "term").join(terms.select("term", F.lit(True).alias("inside")), "term", "left")
+    known = known.join(meant.select("term", F.lit(True).alias("meant")), "term", "left")
+    known = stage(known.select("code", "term", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("inside", "meant")]), "band")
+    is_kept = member_test(known.filter("inside"), known.filter("NOT inside"))
     lists = tokens.texts.select(F.filter("codes", is_kept).alias("codes"))
     pairs = lists.select(F.inline(adjacent_pairs(F.col("codes"))))
+    inside = known.filter("inside AND meant")
     if among is not None:
-        inside = stage(inside, "band")
-        others = inside.join(among.select("term"), "term", "left_anti")
-        inside = inside.join(among.select("term"), "term", "left_semi")
-        is_meant = member_test(inside, others)
+        is_meant = member_test(inside, known.filter("inside AND NOT meant"))
         pairs = pairs.filter(is_meant(F.col("w1")) & is_meant(F.col("w2")))
     pairs = pairs.groupBy("w1", "w2").agg(F.count("*").alias("n"))
     return named_pairs(pairs, inside).groupBy("w1", "w2").agg(F.sum("n").alias("n"))

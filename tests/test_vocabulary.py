@@ -1,10 +1,15 @@
+import random
+import re
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import TYPES, brute_vocabulary, random_texts, token_list
 from pyspark.sql import functions as F
 
-from reviewmill.functions.tokens import STOPWORDS
-from reviewmill.operators import insights, membership, summary, vectors, vocabulary
+from reviewmill.catalog import corpus
+from reviewmill.functions.tokens import STOPWORDS, split_words
+from reviewmill.operators import insights, membership, summary, tokenise, vectors, vocabulary
 from reviewmill.operators.membership import member_test
 from reviewmill.operators.ranges import places, quantiles
 from reviewmill.operators.tokenise import coded, review_tokens, term_counts, without_stopwords, word_code
@@ -214,3 +219,49 @@ def test_products_are_counted_as_texts_are_coded(spark):
         words = {r.code: r.word for r in found.words.collect()}
         assert {r.seq: [words[c] for c in r.codes] for r in found.texts.collect()} == {1: ["red", "glue"], 2: []}
         assert {(words[r.code], r.n) for r in found.counts.collect()} == {("red", 1), ("glue", 1)}
+
+
+def test_words_of_texts_that_are_read_together():
+    rnd = random.Random(3)
+    bits = ["abc", "the", "x", "é", "ab", " ", "1", "\n", "zzzz", "and", "日本", "glue", "", ">", "foo-bar"]
+    for n in [*range(40)] * 3:
+        texts = ["".join(rnd.choice(bits) for _ in range(rnd.randrange(7))) for _ in range(n)]
+        array = pa.array(["left out", *texts, "left out"], pa.string()).slice(1, n)
+        words, new = split_words(array, pa.array(STOPWORDS))
+        expected = [[w for w in re.findall("[a-z]{3,}", text) if w not in STOPWORDS] for text in texts]
+        assert words.to_pylist() == expected
+        assert sorted(new.to_pylist()) == sorted({w for found in expected for w in found})
+
+
+def test_words_are_not_written_text_by_text(spark, monkeypatch):
+    """The staged texts hold codes; a word comes once for the texts that are read together, however they are cut."""
+    rows = [(f"p{i % 3}", i, "red glue red glue" if i % 5 else None) for i in range(200)]
+    staged = []
+    plain = tokenise.stage
+    monkeypatch.setattr(tokenise, "stage", lambda df, label: staged.append(plain(df, label)) or staged[-1])
+    coded(spark.createDataFrame(rows, TYPES).coalesce(1), at_least=2)
+    assert staged[0].agg(F.sum(F.size("new"))).first()[0] == 2 and staged[0].agg(F.sum(F.size("codes"))).first()[0] == 640
+    monkeypatch.setattr(tokenise, "SLICE_BYTES", 40)
+    found = coded(spark.createDataFrame(rows, TYPES).coalesce(1), at_least=2)
+    words = {r.code: r.word for r in found.words.collect()}
+    assert {r.seq: [words[c] for c in r.codes] for r in found.texts.collect()} == {i: ["red", "glue"] * 2 for i in range(200) if i % 5}
+
+
+def test_texts_are_shared_out_by_product(spark, tmp_path, monkeypatch):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "'word glue tape' AS text", "'en' AS lang", "concat('s', id % 7) AS source", "5 AS n_chars")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    rows = corpus.reviews(spark, str(tmp_path), flags=False, by_product=True).select("parent_product_id", F.spark_partition_id().alias("task"))
+    assert rows.count() == 3000
+    assert rows.groupBy("parent_product_id").agg(F.count_distinct("task").alias("n")).filter("n > 1").isEmpty()
+
+
+def test_dictionary_meets_the_terms_once(tokens, fitted, monkeypatch):
+    staged = []
+    plain = vocabulary.stage
+    monkeypatch.setattr(vocabulary, "stage", lambda df, label: staged.append(label) or plain(df, label))
+    rare = fitted.unigrams.filter("n < 300")
+    found = {(r.w1, r.w2): r.n for r in vocabulary.pair_counts(tokens, fitted.unigrams, rare).collect()}
+    kept = {r.term for r in rare.collect()}
+    every = {(r.w1, r.w2): r.n for r in vocabulary.pair_counts(tokens, fitted.unigrams).collect()}
+    assert found == {p: n for p, n in every.items() if kept.issuperset(p)}
+    assert staged == ["band", "band"]
