@@ -257,8 +257,9 @@ class Sweep:
 
     def linked(self, pairs: DataFrame, facts: DataFrame) -> None:
         """Adds the links among the pairs (a, b) and finds the components again."""
-        pairs = self.scratch.stage(compared(labelled(pairs, self.label), facts, self.threshold), "pairs")
-        found = self.scratch.stage(verified(self.docs, pairs, self.scratch, self.width, self.threshold), "verified")
+        with Scratch(self.docs.sparkSession) as brief:
+            pairs = brief.stage(compared(labelled(pairs, self.label), facts, self.threshold), "pairs")
+            found = self.scratch.stage(verified(self.docs, pairs, brief, self.width, self.threshold), "verified")
         self.links = found if self.links is None else self.links.union(found)
         self.label = components(self.links, self.scratch)
 
@@ -299,21 +300,27 @@ def join(docs: DataFrame, width: int = 3, threshold: int = THRESHOLD, short: int
         signature = ["n", "sig_a", "sig_b"]
         sets = narrow.filter("doc_id IS NOT NULL AND n > 0")
 
-        # Sets of one doc_id are told apart by eight bits of their signature.
-        key = F.shiftleft("rep", 8).bitwiseOR(F.col("sig_a").bitwiseAND(255)).alias("key")
+        def begun(classes: DataFrame) -> DataFrame:
+            """The beginnings of ``classes``, which they read four times: these are made once, and released when they are used."""
+            # Sets of one doc_id are told apart by eight bits of their signature.
+            key = F.shiftleft("rep", 8).bitwiseOR(F.col("sig_a").bitwiseAND(255)).alias("key")
+            with Scratch(docs.sparkSession) as brief:
+                classes = brief.stage(classes.select(key, "rep", "n", "parity", "block", "tail"), "classes")
+                return scratch.stage(beginnings(classes, threshold), "beginnings")
+
         about = [F.first(c).alias(c) for c in ("parity", "block", "tail")]
         # A set of fewer elements than a difference of one needs links with none but its equals.
         linking = f"n >= {math.ceil(threshold / (100 - threshold))}"
         classes = sets.filter(linking).groupBy(*signature).agg(F.min("doc_id").alias("rep"), *about)
         sweep = Sweep(docs, scratch, width, threshold)
-        begin = scratch.stage(beginnings(classes.select("*", key), threshold), "beginnings")
+        begin = begun(classes)
         crowded = scratch.stage(sweep.run(begin, short), "crowded")
         if not crowded.isEmpty():
             again = docs.join(crowded.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
             whole = scratch.stage(again.mapInArrow(narrow_batches(width, threshold, 256), NARROW), "whole")
             named = sets.groupBy(*signature).agg(F.min("doc_id").alias("rep")).join(crowded, "rep", "left_semi")
             classes = whole.filter(linking).groupBy(*signature).agg(*about).join(named, signature)
-            begin = scratch.stage(beginnings(classes.select("*", key), threshold), "beginnings")
+            begin = begun(classes)
             sweep.run(begin, None)
         label = sweep.label.toDF("class_id", "component")
 

@@ -1,5 +1,6 @@
 """Join, language, toxicity, packing, pages, quality model and pipeline."""
 
+import os
 import random
 import re
 import zlib
@@ -403,3 +404,22 @@ def test_pipeline_rejects_languages_not_learnt(spark):
     rows += [(700, "น้ำท่วมหลายพื้นที่ในภาคเหนือของประเทศ the", None, None), (701, "qxz wvk jjq zzx kqp vbw xqz and", None, None)]
     kept = {r.doc_id for r in corpus_pipeline.by_language(spark, frame(spark, rows), "").collect()}
     assert kept == {r[0] for r in rows} - {700, 701}
+
+
+def test_classes_are_made_once_and_released(spark, monkeypatch):
+    """The beginnings read the staged classes; signatures are not grouped again for each of the four reads."""
+    plans, places = {}, {}
+    plain = jaccard_join.Scratch.stage
+
+    def stage(self, df, label):
+        plans.setdefault(label, df._jdf.queryExecution().executedPlan().toString())
+        places.setdefault(label, self.folder)
+        return plain(self, df, label)
+
+    monkeypatch.setattr(jaccard_join.Scratch, "stage", stage)
+    texts = [" ".join(f"w{(i // 2) * 40 + k}" for k in range(40)) + f" end{i % 2}" for i in range(20)]
+    found = jaccard_join.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: i - i % 2 for i in range(20)}
+    assert "sig_b" in plans["classes"] and "sig_b" not in plans["beginnings"]
+    assert not any(os.path.exists(places[label].removeprefix("file:")) for label in ("classes", "pairs", "sets", "beginnings"))
+    assert len({places["classes"], places["pairs"], places["beginnings"]}) == 3
