@@ -37,14 +37,14 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if not filters.languages:
         return docs
     taken = {c.lower() for c in docs.columns}
-    told, names = _free(taken, "words"), tuple(_free(taken, c) for c in ("language", "share", "coverage"))
+    names = tuple(_free(taken, c) for c in ("language", "share", "coverage"))
     text = F.col("text").cast("string")
-    judged = docs.select(*docs.columns, F.regexp_replace(text, OPAQUE, " ").alias(told))
-    found = language.identify(judged, filters, judged.columns, names, told)
+    told = F.regexp_replace(text, OPAQUE, " ")
+    found = language.identify(docs, filters, docs.columns, names, told)
     known = (F.col(names[0]) != language.UNKNOWN) & (F.col(names[1]) >= MIN_SCORE) & (F.col(names[2]) >= MIN_COVERAGE)
     enough = F.regexp_like(told, F.lit(rf"(?:\p{{L}}[^\p{{L}}]*+){{{MIN_LETTERS}}}"))
     kept = F.regexp_like(text, F.lit(r"\p{L}")) & (known | ~enough)
-    return found.filter(kept).drop(told, *names)
+    return found.filter(kept).drop(*names)
 
 
 def _free(taken: set[str], name: str) -> str:

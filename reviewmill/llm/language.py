@@ -26,7 +26,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -146,26 +146,33 @@ def identify(
     filters: Filters,
     keep: list[str] | None = None,
     names: tuple[str, ...] = ("lang_pred", "score"),
-    text: str = "text",
+    text: str | Column = "text",
 ) -> DataFrame:
-    """The ``keep`` columns (doc_id alone by default) with predicted language and score, and coverage if a third name is given."""
+    """The ``keep`` columns (doc_id alone by default) with predicted language and score, and coverage if a third name is given.
+
+    Only the text is sent to Python and only the verdict comes back; the columns kept stay where they are.
+    """
     keep = ["doc_id"] if keep is None else keep
-    name = "_read"
+    name = "_found"
     while name in keep:
         name += "_"
-    rows = docs.select(F.col(text).cast("string").alias(name), *keep)
-    schema = T.StructType(rows.schema.fields[1:]).add(names[0], "string")
+    schema = T.StructType().add(names[0], "string")
     for number in names[1:]:
         schema = schema.add(number, "double")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, name):
-            language, *numbers = weighed(filters, batch.column(0))
-            columns = [*batch.columns[1:], pa.array(language, pa.string())]
-            columns += [pa.array(x, pa.float64()) for x in numbers[: len(names) - 1]]
-            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
-
-    return rows.mapInArrow(run, schema)
+    def run(texts: pa.Array) -> pa.Array:
+        whole = pa.RecordBatch.from_arrays([texts], names=["text"])
+        found = [weighed(filters, part.column(0)) for part in slices([whole])]
+        columns = [pa.array([x for language, *_ in found for x in language], pa.string())]
+        for k in range(1, len(names)):
+            columns.append(pa.array(np.concatenate([np.empty(0), *[part[k] for part in found]]), pa.float64()))
+        return pa.StructArray.from_arrays(columns, names=list(names))
+
+    text = F.col(text) if isinstance(text, str) else text
+    # Not to be repeated in a filter of its results.
+    verdict = F.arrow_udf(run, schema).asNondeterministic()(text.cast("string"))
+    rows = docs.select(*keep, verdict.alias(name))
+    return rows.select(*keep, *[F.col(name)[c].alias(c) for c in names])
 
 
 def held_out_query(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:

@@ -423,3 +423,15 @@ def test_classes_are_made_once_and_released(spark, monkeypatch):
     assert "sig_b" in plans["classes"] and "sig_b" not in plans["beginnings"]
     assert not any(os.path.exists(places[label].removeprefix("file:")) for label in ("classes", "pairs", "sets", "beginnings"))
     assert len({places["classes"], places["pairs"], places["beginnings"]}) == 3
+
+
+def test_language_sends_texts_alone(spark):
+    """No column but the text goes to Python, and none comes back: a text is in memory once, not in four copies."""
+    docs = frame(spark, corpus(60, 6))
+    found = corpus_pipeline.by_language(spark, docs, "")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and plan.count("ArrowEvalPython") == 1 and plan.count("regexp_replace") == 2
+    assert found.columns == docs.columns
+    filters = language.fit(docs)
+    kept = language.identify(docs.limit(0), filters, ["lang", "text"], ("a", "b", "c"))
+    assert kept.count() == 0 and kept.columns == ["lang", "text", "a", "b", "c"]
