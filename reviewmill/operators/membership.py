@@ -49,6 +49,19 @@ def _hit(code: Column, level: int, words: Column, slots: int) -> Column:
     return F.call_function("shiftrightunsigned", word, (place % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
+def likely_test(members: DataFrame) -> Callable[[Column], Column]:
+    """A test that all ``members`` (a staged column ``code``) pass, and about one in ``BITS`` of other codes: the first map alone.
+
+    It spares a join the rows that cannot match; the join itself still decides.
+    """
+    n = members.count()
+    if not n:
+        return lambda code: F.lit(False)
+    slots = -(-n * BITS // 64)
+    words = _literal(members.sparkSession, _bit_map(members, 0, slots))
+    return lambda code: _hit(code, 0, words, slots)
+
+
 def member_test(members: DataFrame, others: DataFrame) -> Callable[[Column], Column]:
     """A test of codes for membership; ``members`` and ``others`` (columns ``code``) are all codes that can come.
 

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reviewmill.functions.tokens import adjacent_pairs
+from reviewmill.operators.membership import likely_test
 from reviewmill.operators.tokenise import Tokens
 from reviewmill.operators.vocabulary import Vocabulary
 from reviewmill.schema import PRODUCT, SEQ, run_of
@@ -56,15 +57,17 @@ def count_vectors(tokens: Tokens, vocabulary: Vocabulary, boundary: str = "produ
     Pairs are neighbours among all tokens of a product in review order, over review
     borders too; ``boundary="review"`` stops at the borders.
     """
-    pairs = inner_pairs(tokens)
-    if boundary == "product":
-        pairs = pairs.unionByName(border_pairs(tokens))
     # The pairs of words that make one of the wanted pairs of terms: a few thousand rows by default, whose
     # size Spark sees, so that it sends them if that is small.
     known = tokens.words.select("code", "term")
     first, second = known.toDF("c1", "w1"), known.toDF("c2", "w2")
     wanted = vocabulary.pairs.select("w1", "w2", "term").join(first, "w1").join(second, "w2")
     wanted = stage(wanted.select(F.col("c1").alias("w1"), F.col("c2").alias("w2"), "term"), "wanted")
+    pairs = inner_pairs(tokens)
+    if boundary == "product":
+        pairs = pairs.unionByName(border_pairs(tokens))
+    # Nearly all pairs begin with another word, and one look at a bit map tells: the join gets the rest.
+    pairs = pairs.filter(likely_test(wanted.select(F.col("w1").alias("code")))(F.col("w1")))
     paired = pairs.join(wanted, ["w1", "w2"]).groupBy(PRODUCT, "term").agg(F.count("*").alias("n"))
     every = vocabulary.counts.unionByName(paired)
     return every.join(vocabulary.terms, "term").select(PRODUCT, "idx", "n")

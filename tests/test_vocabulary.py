@@ -265,3 +265,14 @@ def test_dictionary_meets_the_terms_once(tokens, fitted, monkeypatch):
     every = {(r.w1, r.w2): r.n for r in vocabulary.pair_counts(tokens, fitted.unigrams).collect()}
     assert found == {p: n for p, n in every.items() if kept.issuperset(p)}
     assert staged == ["band", "band"]
+
+
+def test_pairs_are_sifted_before_the_join(spark, tokens, fitted):
+    """Pairs whose first word begins no wanted pair do not come to the join; all others do."""
+    codes = spark.range(20_000).select(F.xxhash64("id").alias("code"), (F.col("id") % 100 == 0).alias("inside"))
+    is_likely = membership.likely_test(codes.filter("inside"))
+    assert codes.filter("inside").filter(~is_likely(F.col("code"))).count() == 0
+    assert codes.filter("NOT inside").filter(is_likely(F.col("code"))).count() < 20_000 / 30
+    assert codes.filter(membership.likely_test(codes.limit(0))(F.col("code"))).count() == 0
+    plan = vectors.count_vectors(tokens, fitted)._jdf.queryExecution().optimizedPlan().toString()
+    assert "shiftrightunsigned" in plan.lower() or ">>>" in plan
