@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+from pandas.util import hash_array
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,9 +78,10 @@ def kept_words(text: Column, stopwords: list[str]) -> Column:
     return without_stopwords(long_runs, stopwords)
 
 
-def split_words(texts: pa.Array, stopwords: pa.Array, at_least: int = MIN_TOKEN_LENGTH) -> tuple[pa.ListArray, pa.Array]:
-    """:func:`kept_words` of lower-cased texts without nulls, and the words that these have, each once.
+def split_places(texts: pa.Array, stopwords: pa.Array, at_least: int = MIN_TOKEN_LENGTH) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """:func:`kept_words` of lower-cased texts without nulls, as places in the words that these have, each once.
 
+    The first array tells where each text begins among the places.
     Runs of letters are found for all texts at once; words are stopped in the dictionary, not one by one.
     """
     offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
@@ -105,8 +107,19 @@ def split_words(texts: pa.Array, stopwords: pa.Array, at_least: int = MIN_TOKEN_
     wanted = kept[indices]
     before = np.concatenate([[0], np.cumsum(wanted)])
     first = before[np.searchsorted(begins, borders)].astype(np.int32)
-    words = coded.dictionary.take(pa.array(indices[wanted]))
-    return pa.ListArray.from_arrays(pa.array(first), words), coded.dictionary.filter(pa.array(kept))
+    place = (np.cumsum(kept) - 1).astype(np.int32)
+    return first, place[indices[wanted]], coded.dictionary.filter(pa.array(kept))
+
+
+def split_words(texts: pa.Array, stopwords: pa.Array, at_least: int = MIN_TOKEN_LENGTH) -> tuple[pa.ListArray, pa.Array]:
+    """The words of :func:`split_places` text by text, and each once."""
+    first, places, new = split_places(texts, stopwords, at_least)
+    return pa.ListArray.from_arrays(pa.array(first), new.take(pa.array(places))), new
+
+
+def hashed(words: list[str], seed: int = 0) -> np.ndarray:
+    """64-bit hashes of words; another seed gives others."""
+    return hash_array(np.array(words, object), hash_key=f"{seed:016d}", categorize=False).view(np.int64)
 
 
 def review_tokens(text: Column, stopwords: list[str]) -> Column:

@@ -15,21 +15,32 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.session import Scratch
+from reviewmill.session import Scratch, stage
 
 BITS = 64
 LISTED = 200
 
 
-def _place(code: Column, level: int, slots: int) -> Column:
-    return F.pmod(F.xxhash64(code, F.lit(level)), F.lit(slots * 64))
+def _place(code: Column, level: int, slots: int) -> tuple[Column, Column]:
+    """The word of a code in a map, and its bit there.
+
+    The first two maps take other parts of the code itself, which is a hash and is tested for each word of a text; the
+    maps after them, for the few codes that are left, hash it anew, so that a cascade ends for codes of any kind.
+    """
+    mixed = code if level < 2 else F.xxhash64(code, F.lit(level))
+    bit = F.call_function("shiftrightunsigned", mixed, F.lit(44 - 12 * (level % 2))).bitwiseAND(F.lit(63))
+    return F.pmod(mixed, F.lit(slots)).cast("int"), bit.cast("int")
+
+
+def _slots(members: int) -> int:
+    return -(-members * BITS // 64) | 1
 
 
 def _bit_map(codes: DataFrame, level: int, slots: int) -> np.ndarray:
     """The map as 64-bit words; one for each slot that has a bit comes to the driver."""
-    place = codes.select(_place(F.col("code"), level, slots).alias("place"))
-    bit = F.expr("shiftleft(1L, CAST(place % 64 AS int))")
-    found = place.groupBy(F.shiftright("place", 6).alias("slot")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    slot, bit = _place(F.col("code"), level, slots)
+    placed = codes.select(slot.alias("slot"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit"))
+    found = placed.groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow()
     words = np.zeros(slots, dtype=np.int64)
     words[found.column("slot").to_numpy()] = found.column("bits").to_numpy()
     return words
@@ -44,9 +55,8 @@ def _literal(spark: SparkSession, words: np.ndarray) -> Column:
 
 
 def _hit(code: Column, level: int, words: Column, slots: int) -> Column:
-    place = _place(code, level, slots)
-    word = F.get(words, F.shiftright(place, 6).cast("int"))
-    return F.call_function("shiftrightunsigned", word, (place % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
+    slot, bit = _place(code, level, slots)
+    return F.getbit(F.get(words, slot), bit) == 1
 
 
 def likely_test(members: DataFrame) -> Callable[[Column], Column]:
@@ -57,7 +67,7 @@ def likely_test(members: DataFrame) -> Callable[[Column], Column]:
     n = members.count()
     if not n:
         return lambda code: F.lit(False)
-    slots = -(-n * BITS // 64)
+    slots = _slots(n)
     words = _literal(members.sparkSession, _bit_map(members, 0, slots))
     return lambda code: _hit(code, 0, words, slots)
 
@@ -65,20 +75,21 @@ def likely_test(members: DataFrame) -> Callable[[Column], Column]:
 def member_test(members: DataFrame, others: DataFrame) -> Callable[[Column], Column]:
     """A test of codes for membership; ``members`` and ``others`` (columns ``code``) are all codes that can come.
 
-    The maps are made of the smaller of the two.
+    The maps are made of the smaller of the two.  Both are read more than once, so they should be cheap to read, as a staged table is.
     """
     maps: list[tuple[Column, int]] = []
     with Scratch(members.sparkSession) as scratch:
-        inside, outside = (scratch.stage(codes.select("code"), "codes") for codes in (members, others))
-        swapped = outside.count() < inside.count()
+        inside, outside = members.select("code"), others.select("code")
+        n, left = inside.count(), outside.count()
+        swapped = left < n
         if swapped:
-            inside, outside = outside, inside
-        while (n := inside.count()) > LISTED:
+            inside, outside, n = outside, inside, left
+        while n > LISTED:
             level = len(maps)
-            slots = -(-n * BITS // 64)
+            slots = _slots(n)
             maps.append((_literal(members.sparkSession, _bit_map(inside, level, slots)), slots))
             strays = scratch.stage(outside.filter(_hit(F.col("code"), level, *maps[level])), "strays")
-            inside, outside = strays, inside
+            inside, outside, n = strays, inside, strays.count()
         named = [r.code for r in inside.collect()]
 
     def test(code: Column) -> Column:
@@ -88,3 +99,12 @@ def member_test(members: DataFrame, others: DataFrame) -> Callable[[Column], Col
         return ~found if swapped else found
 
     return test
+
+
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """A staged copy of ``df``, in whose expressions are maps.
+
+    Spark plans anew after each shuffle and goes through the maps every time, on the driver and alone; the plans that go on from
+    the copy are without them.
+    """
+    return stage(df, label)

@@ -19,7 +19,9 @@ from reviewmill.schema import PRODUCT, SEQ
 from reviewmill.session import stage
 
 TEXT = "review_text"
-SLICE_BYTES = 4 << 20  # of text that is split at once
+SLICE_BYTES = 16 << 20  # of text that is split at once
+SEEN_WORDS = 1_000_000  # that a task remembers as written
+COUNTED_TOGETHER = 2_000_000  # counts that a task keeps before it adds them up, and writes them if they are still many
 
 
 @dataclass
@@ -70,63 +72,126 @@ def word_code(word: Column, seed: int = 0) -> Column:
     return F.xxhash64(word, F.lit(seed)) if seed else F.xxhash64(word)
 
 
-def _split_batches(stopwords: list[str]):
-    """Rows (product, seq, has_text, text) with the words of the text and, at the first of the rows read together, the words of all of these."""
+def _counted(products: pa.Array, first: np.ndarray, places: np.ndarray, codes: np.ndarray, counting: np.ndarray) -> pa.Table:
+    """``(product, code, n)``: how often the texts marked ``counting`` have each code, added up by product."""
+    coded = products.dictionary_encode(null_encoding="encode")
+    product = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    lengths = np.diff(first)
+    keys = np.repeat(product, lengths) * len(codes) + places
+    found = pa.array(keys[np.repeat(counting, lengths)], pa.int64()).value_counts()
+    owner, place = np.divmod(found.field("values").to_numpy(zero_copy_only=False), max(1, len(codes)))
+    return pa.table([coded.dictionary.take(pa.array(owner)), pa.array(codes[place]), found.field("counts")], names=[PRODUCT, "code", "n"])
+
+
+def _split_batches(stopwords: list[str], seed: int, texts_only: bool):
+    """Rows (product, seq, has_text, text) with the codes of the words of the text.
+
+    At the first of the rows read together stand those of their words that the task has not written yet.  Counts of codes by product,
+    with ``texts_only`` of the rows that have a text, are added up over many texts and stand in rows of their own, whose ``has_text`` is null.
+    """
+    names = [PRODUCT, SEQ, "has_text", "codes", "new", "counted"]
+    code_list, word_list = pa.list_(pa.int64()), pa.list_(pa.struct([("code", pa.int64()), ("word", pa.string())]))
+    count_list = pa.list_(pa.struct([(PRODUCT, pa.string()), ("code", pa.int64()), ("n", pa.int64())]))
+
+    def added_up(parts: list[pa.Table]) -> pa.Table:
+        found = pa.concat_tables(parts).group_by([PRODUCT, "code"], use_threads=False).aggregate([("n", "sum")])
+        return found.rename_columns({"n_sum": "n"}).select([PRODUCT, "code", "n"])
+
+    def counts_row(found: pa.Table, like: pa.Schema) -> pa.RecordBatch:
+        values = found.combine_chunks().to_struct_array().combine_chunks()
+        blank = [pa.nulls(1, like.field(i).type) for i in range(3)]
+        ends = pa.array([0, len(values)], pa.int32())
+        lists = pa.ListArray.from_arrays(ends, values).cast(count_list)
+        return pa.RecordBatch.from_arrays([*blank, pa.array([[]], code_list), pa.array([[]], word_list), lists], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stops = pa.array(stopwords, pa.string())
+        seen: set[str] = set()
+        parts: list[pa.Table] = []
+        schema = None
         for batch in batches:
+            schema = batch.schema
             at = 0
             while at < len(batch):
                 ends = np.frombuffer(batch.column(3).buffers()[1], np.int32)[batch.column(3).offset :][: len(batch) + 1]
                 stop = max(at + 1, int(np.searchsorted(ends, int(ends[at]) + SLICE_BYTES, "right")) - 1)
                 rows = batch.slice(at, stop - at)
-                words, new = tk.split_words(rows.column(3), stops)
-                firsts = np.full(len(rows) + 1, len(new), np.int32)
-                firsts[0] = 0
-                columns = [*rows.columns[:3], words, pa.ListArray.from_arrays(pa.array(firsts), new)]
-                yield pa.RecordBatch.from_arrays(columns, names=[PRODUCT, SEQ, "has_text", "words", "new"])
+                first, places, words = tk.split_places(rows.column(3), stops)
+                named = words.to_pylist()
+                codes = tk.hashed(named, seed)
+                counting = rows.column(2).to_numpy(zero_copy_only=False) if texts_only else np.ones(len(rows), bool)
+                parts.append(_counted(rows.column(0), first, places, codes, counting))
+                if sum(map(len, parts)) > COUNTED_TOGETHER:
+                    parts = [added_up(parts)]
+                    if len(parts[0]) > COUNTED_TOGETHER // 2:
+                        yield counts_row(parts.pop(), schema)
+                fresh = np.array([word not in seen for word in named], bool)
+                if len(seen) > SEEN_WORDS:
+                    seen.clear()
+                seen.update(named)
+                new = pa.StructArray.from_arrays([pa.array(codes[fresh]), words.filter(pa.array(fresh))], names=["code", "word"])
+                ends = np.full(len(rows) + 1, len(new), np.int32)
+                ends[0] = 0
+                lists = pa.ListArray.from_arrays(pa.array(first), pa.array(codes[places]))
+                none = pa.ListArray.from_arrays(pa.array(np.zeros(len(rows) + 1, np.int32)), pa.array([], count_list.value_type))
+                columns = [*rows.columns[:3], lists, pa.ListArray.from_arrays(pa.array(ends), new), none]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
                 at = stop
+        if parts:
+            yield counts_row(added_up(parts), schema)
 
     return run
 
 
-def _lists(reviews: DataFrame, stopwords: list[str] | DataFrame, code, at_least: int) -> tuple[DataFrame, DataFrame]:
-    """``(product, seq, codes)`` of the texts that count, and the words of all texts.
+def _coded_by(
+    reviews: DataFrame, stopwords: list[str] | DataFrame, code, at_least: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What :func:`_coded_where_split` gives, by built-in expressions: for stopwords in a table, or codes of another kind."""
+    kept = qualified_reviews(reviews, at_least) if at_least else reviews
+    words = review_words(kept, stopwords)
+    lists = stage(words.select(PRODUCT, SEQ, F.transform("words", code).alias("codes"), F.col("words").alias("new")), "codes")
+    counts = lists.select(PRODUCT, F.explode("codes").alias("code")).groupBy(PRODUCT, "code").agg(F.count("*").alias("n"))
+    new = lists.select(F.explode("new").alias("word")).distinct()
+    return lists, new.select(code(F.col("word")).alias("code"), "word"), counts
+
+
+def _coded_where_split(
+    reviews: DataFrame, stopwords: list[str], seed: int, at_least: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(product, seq, codes)`` of the texts that count, ``(code, word)`` of all texts, and ``(product, code, n)``.
 
     A text is cleaned and split once: whether a review has one is written beside its codes, and products are counted from that.
-    Each word is written once for the texts read together; from there on a text is its codes.
+    Words are hashed and counted once for the texts read together; a word is written once for these, and from there on a text is its codes.
     """
-    codes = F.transform("words", code).alias("codes")
-    if isinstance(stopwords, DataFrame):
-        kept = qualified_reviews(reviews, at_least) if at_least else reviews
-        lists = stage(review_words(kept, stopwords).select(PRODUCT, SEQ, codes, F.col("words").alias("new")), "codes")
-        return lists, lists.select(F.explode("new").alias("word")).distinct()
     text = F.lower(F.coalesce(F.col(TEXT), F.lit(""))).alias("text")
-    rows = reviews.select(PRODUCT, SEQ, has_text(F.col(TEXT)).alias("has_text"), text)
-    fields = [*rows.schema.fields[:3], *[T.StructField(c, T.ArrayType(T.StringType())) for c in ("words", "new")]]
-    lists = rows.mapInArrow(_split_batches(stopwords), T.StructType(fields))
-    lists = stage(lists.select(PRODUCT, SEQ, "has_text", codes, "new"), "codes")
-    words = lists.select(F.explode("new").alias("word")).distinct()
+    rows = reviews.select(PRODUCT, SEQ, F.coalesce(has_text(F.col(TEXT)), F.lit(False)).alias("has_text"), text)
+    added = f"codes array<long>, new array<struct<code: long, word: string>>, counted array<struct<{PRODUCT}: string, code: long, n: long>>"
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields[:3]] + T.StructType.fromDDL(added).fields)
+    lists = stage(rows.mapInArrow(_split_batches(stopwords, seed, at_least > 0), schema), "codes")
+    words = lists.select(F.inline("new")).distinct()
+    counts = lists.select(F.inline("counted")).groupBy(PRODUCT, "code").agg(F.sum("n").alias("n"))
+    lists = lists.filter("has_text" if at_least else "has_text IS NOT NULL")
     if at_least:
-        lists = lists.filter("has_text")
         products = lists.groupBy(PRODUCT).agg(F.count("*").alias("n")).filter(F.col("n") >= at_least)
-        lists = of_products(lists, stage(products.select(PRODUCT), "products"))
-    return lists, words
+        products = stage(products.select(PRODUCT), "products")
+        lists, counts = of_products(lists, products), of_products(counts, products)
+    return lists, words, counts
 
 
-def coded(reviews: DataFrame, stopwords: list[str] | DataFrame = tk.STOPWORDS, code=word_code, at_least: int = 0) -> Tokens:
+def coded(reviews: DataFrame, stopwords: list[str] | DataFrame = tk.STOPWORDS, code=None, at_least: int = 0) -> Tokens:
     """The words of the reviews as codes; with ``at_least``, of the reviews with text of products with so many of them.
 
     Codes are counted by product, and the dictionary holds the words that were counted.  If two of its words have one code, all are
-    coded afresh.
+    coded afresh.  ``code`` makes codes of another kind, from a column of words and a seed.
     """
     for seed in count():
-        lists, words = _lists(reviews, stopwords, lambda word: code(word, seed), at_least)
+        if code is None and not isinstance(stopwords, DataFrame):
+            lists, words, counts = _coded_where_split(reviews, stopwords, seed, at_least)
+        else:
+            lists, words, counts = _coded_by(reviews, stopwords, lambda word: (code or word_code)(word, seed), at_least)
         lists = lists.select(PRODUCT, SEQ, "codes")
-        counts = lists.select(PRODUCT, F.explode("codes").alias("code")).groupBy(PRODUCT, "code").agg(F.count("*").alias("n"))
         counts = stage(counts, "word-counts")
-        words = words.select(code(F.col("word"), seed).alias("code"), "word").join(counts.select("code").distinct(), "code", "left_semi")
+        words = words.join(counts.select("code").distinct(), "code", "left_semi")
         words = stage(words.select("code", "word", tk.stem_word("word").alias("term")), "dictionary")
         if words.groupBy("code").count().filter("count > 1").isEmpty():
             return Tokens(lists, words, counts)

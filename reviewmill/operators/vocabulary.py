@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.functions.tokens import adjacent_pairs
-from reviewmill.operators.membership import member_test
+from reviewmill.operators.membership import member_test, settled
 from reviewmill.operators.ranges import places
 from reviewmill.operators.tokenise import Tokens, term_counts
 from reviewmill.schema import PRODUCT
@@ -61,7 +61,7 @@ def pair_counts(tokens: Tokens, terms: DataFrame, among: DataFrame | None = None
     if among is not None:
         is_meant = member_test(inside, known.filter("inside AND NOT meant"))
         pairs = pairs.filter(is_meant(F.col("w1")) & is_meant(F.col("w2")))
-    pairs = pairs.groupBy("w1", "w2").agg(F.count("*").alias("n"))
+    pairs = settled(pairs.groupBy("w1", "w2").agg(F.count("*").alias("n")), "code-pairs")
     return named_pairs(pairs, inside).groupBy("w1", "w2").agg(F.sum("n").alias("n"))
 
 

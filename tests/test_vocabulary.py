@@ -276,3 +276,35 @@ def test_pairs_are_sifted_before_the_join(spark, tokens, fitted):
     assert codes.filter(membership.likely_test(codes.limit(0))(F.col("code"))).count() == 0
     plan = vectors.count_vectors(tokens, fitted)._jdf.queryExecution().optimizedPlan().toString()
     assert "shiftrightunsigned" in plan.lower() or ">>>" in plan
+
+
+@pytest.mark.parametrize("together", [2_000_000, 3])
+def test_a_task_writes_a_word_and_its_counts_once(spark, monkeypatch, together):
+    """However small the parts that are split at once; counts that do not fit come in several rows and are the same."""
+    rows = [(f"p{i % 3}", i, ("red glue red glue", None, "none", "tape")[i % 4]) for i in range(200)]
+    staged = []
+    plain = tokenise.stage
+    monkeypatch.setattr(tokenise, "stage", lambda df, label: staged.append(plain(df, label)) or staged[-1])
+    monkeypatch.setattr(tokenise, "SLICE_BYTES", 40)
+    monkeypatch.setattr(tokenise, "COUNTED_TOGETHER", together)
+    for at_least in (0, 2):
+        staged.clear()
+        found = coded(spark.createDataFrame(rows, TYPES).coalesce(1), at_least=at_least)
+        expected = {}
+        for product, _, text in rows:
+            for word in (text or "").split():
+                if word != "none" or not at_least:
+                    expected[product, word] = expected.get((product, word), 0) + 1
+        words = {r.code: r.word for r in found.words.collect()}
+        assert {(r.parent_product_id, words[r.code]): r.n for r in found.counts.collect()} == expected
+        assert found.texts.count() == (100 if at_least else 200)
+        assert staged[0].agg(F.sum(F.size("new"))).first()[0] == 4
+        if together > 3:
+            assert staged[0].agg(F.sum(F.size("counted"))).first()[0] == len(expected)
+
+
+def test_maps_do_not_stay_in_later_plans(tokens, fitted):
+    """Spark goes through the whole plan again after each shuffle, so pairs are written before they are joined."""
+    for among in (None, fitted.unigrams.filter("n < 300")):
+        plan = vocabulary.pair_counts(tokens, fitted.unigrams, among)._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert "getbit" not in plan and "bit_get" not in plan and "shiftrightunsigned" not in plan and ">>>" not in plan
